@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UNKNOWN = "unknown"
-GRAM_SIZES = (1, 2, 3)
 TOP_GRAMS = 400
-# A profile has at most TOP_GRAMS x MAX_LANGUAGES rows; that bound is what allows broadcasting it.
+# A profile has at most 400 grams of each of 64 languages; that bound allows broadcasting it.
 MAX_LANGUAGES = 64
 
 PROFILE_SCHEMA = T.StructType(
@@ -41,43 +42,48 @@ class LanguageProfile:
         return LanguageProfile(languages, stored.select("gram", "weights"))
 
 
-def letters_only(text: Column) -> Column:
-    """Lower-cased words, each with a blank on both sides; empty without letters."""
+def padded_words(text: Column) -> Column:
+    """Lower-cased words between single blanks, one blank ahead and two behind."""
     words = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+", " ")
-    trimmed = F.trim(words)
-    return F.when(trimmed == "", F.lit("")).otherwise(F.concat(F.lit(" "), trimmed, F.lit(" ")))
+    return F.concat(F.lit(" "), F.trim(words), F.lit("  "))
 
 
-def grams_of(padded: Column, sizes: Sequence[int] = GRAM_SIZES) -> Column:
-    """All overlapping grams of the whole text, without the lone blank."""
-    # A look-ahead gives every start position in one linear pass; substring() would restart at
-    # the front of the text for each.
-    per_size = [
-        F.regexp_extract_all(padded, F.lit(rf"(?=(.{{{n}}}))" if n > 1 else r"(\p{L})"), F.lit(1))
-        for n in sizes
-    ]
-    return F.flatten(F.array(*per_size)) if len(per_size) > 1 else per_size[0]
+def trigrams(padded: Column) -> Column:
+    """The three characters at every place of the whole text.
+
+    Their first one and two characters are the shorter grams, so one pass serves all three sizes.
+    The look-ahead takes linear time; substring() would restart at the front for each place.
+    """
+    return F.regexp_extract_all(padded, F.lit("(?!  )(?=(.{3}))"), F.lit(1))
 
 
 def train_profile(
-    corpus: DataFrame,
-    text: str = "text",
-    language: str = "lang",
-    top: int = TOP_GRAMS,
-    sizes: Sequence[int] = GRAM_SIZES,
+    corpus: DataFrame, text: str = "text", language: str = "lang", top: int = TOP_GRAMS
 ) -> LanguageProfile:
     """Fit a profile on labelled texts.
 
-    The vocabulary is the union of each language's most frequent grams; a weight is the smoothed
-    log-share of a gram among a language's vocabulary grams. Like any fitted model the result is
-    small and lives on the driver: at most ``top`` x languages rows.
+    The vocabulary is the union of each language's most frequent grams of one to three
+    characters; a weight is the smoothed log-share of a gram among a language's vocabulary grams.
+    Like any fitted model the result is small and lives on the driver: at most ``top`` x
+    languages rows.
     """
     spark = corpus.sparkSession
-    grams = corpus.where(F.col(language).isNotNull()).select(
-        F.col(language).alias("lang"),
-        F.explode(grams_of(letters_only(F.col(text)), sizes)).alias("gram"),
+    places = (
+        corpus.where(F.col(language).isNotNull())
+        .select(F.col(language).alias("lang"), padded_words(F.col(text)).alias("_padded"))
+        .select("lang", F.explode(trigrams(F.col("_padded"))).alias("gram"))
+    )
+    # Shorter grams are counted from the counts of the longest.
+    sizes = F.array("gram", F.substring("gram", 1, 2), F.substring("gram", 1, 1))
+    counts = (
+        places.groupBy("lang", "gram")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("lang", F.explode(sizes).alias("gram"), "n")
+        .where(F.col("gram") != " ")
+        .groupBy("lang", "gram")
+        .agg(F.sum("n").alias("n"))
+        .persist()
     )
-    counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n")).persist()
     try:
         found = counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()
         languages = tuple(sorted(row["lang"] for row in found))
@@ -107,14 +113,12 @@ def train_profile(
     return LanguageProfile(languages, _weights(spark, table, len(languages)))
 
 
-def _weights(spark: SparkSession, table, n_languages: int) -> DataFrame:
-    import numpy as np
-
+def _weights(spark: SparkSession, table: pd.DataFrame, n_languages: int) -> DataFrame:
+    table = table.sort_values("gram")
     counts = table[[f"n{i}" for i in range(n_languages)]].to_numpy(dtype="float64")
     shares = (counts + 1) / (counts.sum(axis=0) + len(table))
     weights = np.floor(np.log(shares) * 1e6 + 0.5).astype("int64")
-    order = table["gram"].argsort()
-    rows = [(table["gram"].iloc[i], weights[i].tolist()) for i in order]
+    rows = list(zip(table["gram"].tolist(), weights.tolist()))
     return spark.createDataFrame(rows, PROFILE_SCHEMA)
 
 
@@ -123,7 +127,6 @@ def detect_language(
     profile: LanguageProfile,
     text: str,
     keep: Sequence[str],
-    sizes: Sequence[int] = GRAM_SIZES,
     into: str = "language",
 ) -> DataFrame:
     """Most likely language of each text, or ``unknown`` without any known gram.
@@ -131,24 +134,32 @@ def detect_language(
     ``keep`` names the columns to carry along and must include a key. A text's grams all sit in
     one partition, so they are summed before the shuffle, which moves one narrow row per text.
     """
-    grams = df.select(
-        *keep, F.explode_outer(grams_of(letters_only(F.col(text)), sizes)).alias("gram")
+    n_languages = len(profile.languages)
+    places = df.select(*keep, padded_words(F.col(text)).alias("_padded")).select(
+        *keep, F.explode_outer(trigrams(F.col("_padded"))).alias("_gram")
     )
-    totals = [
-        F.sum(F.col("weights")[i]).alias(f"_w{i}") for i in range(len(profile.languages))
-    ]
-    scored = (
-        grams.join(F.broadcast(profile.weights), "gram", "left").groupBy(*keep).agg(*totals)
+    # Grams meet by 64-bit hash: a number is a far cheaper key than a string. With 25,600 grams
+    # at most, one foreign gram in 10^15 would be taken for a known one.
+    hashed = places.select(
+        *keep, *[F.xxhash64(F.substring("_gram", 1, n)).alias(f"_h{n}") for n in (1, 2, 3)]
     )
+    for n in (1, 2, 3):
+        side = profile.weights.select(
+            F.xxhash64("gram").alias(f"_k{n}"), F.col("weights").alias(f"_weights{n}")
+        )
+        hashed = hashed.join(F.broadcast(side), F.col(f"_h{n}") == F.col(f"_k{n}"), "left")
+    totals = []
+    for i in range(n_languages):
+        parts = [F.coalesce(F.col(f"_weights{n}")[i], F.lit(0)) for n in (1, 2, 3)]
+        totals.append(F.sum(parts[0] + parts[1] + parts[2]).alias(f"_w{i}"))
+    scored = hashed.groupBy(*keep).agg(*totals)
     # Largest sum; on a tie the language that sorts first.
     ranked = F.array(
-        *[
-            F.struct(F.col(f"_w{i}").alias("w"), F.lit(-i).alias("i"))
-            for i in range(len(profile.languages))
-        ]
+        *[F.struct(F.col(f"_w{i}").alias("w"), F.lit(-i).alias("i")) for i in range(n_languages)]
     )
     names = F.array(*[F.lit(name) for name in profile.languages])
+    # Every weight is below zero, so a sum of zero means that no gram was known.
     best = F.when(
-        F.col("_w0").isNotNull(), F.element_at(names, 1 - F.array_max(ranked)["i"])
+        F.col("_w0") < 0, F.element_at(names, 1 - F.array_max(ranked)["i"])
     ).otherwise(F.lit(UNKNOWN))
     return scored.select(*keep, best.alias(into))

@@ -120,23 +120,22 @@ def shown(prefix: str = "", replaced: dict[str, str] | None = None) -> str:
 
 def padded(text: str) -> str:
     trimmed = f"trim(regexp_replace(lower(coalesce({text}, '')), '[^\\p{{L}}]+', ' ', 'g'))"
-    return f"CASE WHEN {trimmed} = '' THEN '' ELSE ' ' || {trimmed} || ' ' END"
+    return f"CASE WHEN {trimmed} = '' THEN '' ELSE ' ' || {trimmed} || '  ' END"
 
 
 def grams(relation: str, key: str, text: str, name: str) -> str:
-    """One row per gram and place, for grams of one to three characters."""
+    """Counts of the grams of one to three characters that start at each place."""
     return f"""
 {name}_chars AS (
   SELECT {key}, regexp_extract_all({padded(text)}, '.') AS ch FROM {relation}),
-{name}_long AS (
-  SELECT {key}, unnest([ch[i] || ch[i+1] || ch[i+2] for i in range(1, len(ch) - 1)]) AS gram
-    FROM {name}_chars
-  UNION ALL
-  SELECT {key}, unnest([ch[i] || ch[i+1] for i in range(1, len(ch))]) FROM {name}_chars
-  UNION ALL
-  SELECT {key}, unnest([c for c in ch if c <> ' ']) FROM {name}_chars),
+{name}_places AS (
+  SELECT {key}, unnest([ch[i] || ch[i+1] || ch[i+2] for i in range(1, len(ch) - 1)]) AS g
+  FROM {name}_chars),
+{name}_longest AS (SELECT {key}, g, count(*) AS n FROM {name}_places GROUP BY ALL),
 {name} AS (
-  SELECT {key}, gram, count(*) AS n FROM {name}_long GROUP BY ALL)
+  SELECT {key}, gram, sum(n) AS n FROM (
+    SELECT {key}, unnest([g, g[1:2], g[1:1]]) AS gram, n FROM {name}_longest)
+  WHERE gram <> ' ' GROUP BY ALL)
 """
 
 
