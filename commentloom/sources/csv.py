@@ -14,6 +14,7 @@ from commentloom.schemas import (
     RAW_COMMENTS,
     STAGING_VIDEOS,
 )
+from commentloom.sources.split_csv import read_split_csv
 from commentloom.sources.tables import evolve_schema
 
 # No field can hold this text. As "null value" it keeps the two kinds of empty field apart:
@@ -29,14 +30,29 @@ OPTIONS = {
     "nullValue": NO_SUCH_TEXT,
     "emptyValue": "",
     "mode": "FAILFAST",
-    # With pruning, a bad value in an unread column would pass unnoticed.
+    # A row with too few fields fails even if only some columns are read.
     "columnPruning": "false",
 }
 
 
-def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
+# Quoted line breaks keep the built-in reader from splitting a file, so a file larger than this is
+# read by ``read_split_csv``.
+MAX_WHOLE_FILE = 512 * 2**20
+
+
+def read_csv(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: T.StructType,
+    max_whole_file: int = MAX_WHOLE_FILE,
+) -> DataFrame:
     """One or more files with a header line as one table; a bad row fails the load."""
     files = [paths] if isinstance(paths, str) else list(paths)
+    # The sizes come from the file listing; no content is read.
+    listing = spark.read.format("binaryFile").load(files)
+    largest = listing.agg(F.max("length").alias("n")).first()["n"] or 0
+    if largest > max_whole_file:
+        return read_split_csv(spark, files, schema, OPTIONS)
     return spark.read.schema(schema).options(**OPTIONS).csv(files)
 
 
@@ -44,9 +60,11 @@ def load_videos_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
     return read_csv(spark, paths, STAGING_VIDEOS)
 
 
-def load_comments_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def load_comments_csv(
+    spark: SparkSession, paths: str | Sequence[str], max_whole_file: int = MAX_WHOLE_FILE
+) -> DataFrame:
     """All comment files as one table, with the enrichment columns still NULL."""
-    return evolve_schema(read_csv(spark, paths, RAW_COMMENTS), COMMENTS)
+    return evolve_schema(read_csv(spark, paths, RAW_COMMENTS, max_whole_file), COMMENTS)
 
 
 def load_videos_camel(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

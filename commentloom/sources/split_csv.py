@@ -1,0 +1,125 @@
+"""CSV with line breaks inside quotes, read in parallel from within one large file.
+
+The built-in reader gives such a file to a single task. Here its lines are read in splits; a line
+belongs to the record before it if an odd number of quotes stands ahead of it in the file. That
+number is summed per split first, then each split finds its own records. Only the lines that
+finish a record begun in an earlier split travel to it.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+SPLIT = ("_file", "_block")
+
+
+def read_split_csv(
+    spark: SparkSession,
+    files: Sequence[str],
+    schema: T.StructType,
+    options: Mapping[str, str],
+) -> DataFrame:
+    lines = _lines(spark, files)
+    splits = _splits(lines)
+    return _parse(_records(lines, splits), schema, options)
+
+
+def _lines(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    text = F.col("value")
+    return (
+        spark.read.option("lineSep", "\n")
+        .text(list(files))
+        .select(
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            # Order of the lines in their split; splits of a file are ordered by their offset.
+            F.monotonically_increasing_id().alias("_line"),
+            text.alias("_text"),
+            (F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))).alias("_quotes"),
+        )
+    )
+
+
+def _splits(lines: DataFrame) -> DataFrame:
+    """Per split: whether it begins inside quotes, where its first record starts, and which
+    earlier record its first lines belong to. Only counts are shuffled, no text."""
+    inside = W.partitionBy(*SPLIT).orderBy("_line").rowsBetween(W.unboundedPreceding, -1)
+    parity = F.coalesce(F.sum("_quotes").over(inside), F.lit(0)) % 2
+    per_split = (
+        lines.select(*SPLIT, "_line", "_quotes")
+        .withColumn("_odd", parity)
+        .groupBy(*SPLIT)
+        .agg(
+            (F.sum("_quotes") % 2).alias("_odd_total"),
+            # Record starts if the split begins outside (0) or inside (1) quotes.
+            *[F.count_if(F.col("_odd") == o).alias(f"_starts{o}") for o in (0, 1)],
+            *[F.min(F.when(F.col("_odd") == o, F.col("_line"))).alias(f"_first{o}") for o in (0, 1)],
+        )
+    )
+    earlier = W.partitionBy("_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    outside = F.col("_open") == 0
+    known = per_split.withColumn(
+        "_open", F.coalesce(F.sum("_odd_total").over(earlier), F.lit(0)) % 2
+    ).select(
+        *SPLIT,
+        "_open",
+        F.when(outside, F.col("_starts0")).otherwise(F.col("_starts1")).alias("_starts"),
+        F.when(outside, F.col("_first0")).otherwise(F.col("_first1")).alias("_first"),
+    )
+    last_with_start = F.last(
+        F.when(F.col("_starts") > 0, F.struct("_block", "_starts")), ignorenulls=True
+    )
+    return known.withColumn("_owner", last_with_start.over(earlier))
+
+
+def _records(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    placed = lines.join(splits, [*SPLIT])
+    # Lines ahead of a split's first record finish the last record of an earlier split.
+    tails = (
+        placed.where(F.col("_first").isNull() | (F.col("_line") < F.col("_first")))
+        .groupBy("_file", F.col("_owner._block").alias("_block"), F.col("_owner._starts").alias("_record"))
+        .agg(_joined_lines().alias("_tail"))
+    )
+    upto = W.partitionBy(*SPLIT).orderBy("_line")
+    ahead = F.sum("_quotes").over(upto.rowsBetween(W.unboundedPreceding, -1))
+    starts = ((F.col("_open") + F.coalesce(ahead, F.lit(0))) % 2 == 0).cast("int")
+    own = (
+        placed.where(F.col("_line") >= F.col("_first"))
+        # From its first record on, a split is outside quotes.
+        .withColumn("_open", F.lit(0))
+        .withColumn("_start", starts)
+        .withColumn(
+            "_record", F.sum("_start").over(upto.rowsBetween(W.unboundedPreceding, 0))
+        )
+        .groupBy(*SPLIT, "_record")
+        .agg(_joined_lines().alias("_text"))
+    )
+    return own.join(tails, [*SPLIT, "_record"], "left").select(
+        *SPLIT, "_record", F.concat_ws("\n", "_text", "_tail").alias("_text")
+    )
+
+
+def _joined_lines():
+    # A group is one record, never more.
+    ordered = F.array_sort(F.collect_list(F.struct("_block", "_line", "_text")))
+    return F.array_join(F.transform(ordered, lambda l: l["_text"]), "\n")
+
+
+def _parse(records: DataFrame, schema: T.StructType, options: Mapping[str, str]) -> DataFrame:
+    header = (F.col("_block") == 0) & (F.col("_record") == 1)
+    row = F.regexp_replace("_text", r"\r\z", "")
+    names = ("sep", "quote", "escape", "nullValue", "emptyValue", "mode")
+    kept = {k: v for k, v in options.items() if k in names}
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return (
+        records.where(~header)
+        .select(row.alias("_row"))
+        .where(F.col("_row") != "")
+        .select(F.from_csv("_row", ddl, kept).alias("_parsed"))
+        .select("_parsed.*")
+    )

@@ -299,6 +299,10 @@ ORPHANS = f"""
 WITH {RAW}, {STAGING}, {clean('staging', 'videos')}
 """
 
+LOADED = f"""WITH {RAW} SELECT kind, {KEYS}, channel_id, video_id, author_id,
+        text_original, parent_comment_id, like_count, CAST(NULL AS VARCHAR) AS sentiment,
+        CAST(NULL AS INTEGER) AS comment_length FROM comments"""
+
 ORACLES: dict[str, str] = {
     "comment_triage": f"""WITH {RAW}, {TRIAGE}
         SELECT {KEYS}, is_spam, is_relevant, word_count, comment_length, language_confidence
@@ -404,9 +408,8 @@ ORACLES: dict[str, str] = {
     "csv_videos": f"WITH {STAGING} SELECT {RAW_VIDEO} FROM staging",
     "csv_videos_camel": f"""WITH {STAGING}
         SELECT {RAW_VIDEO.removeprefix('kind, ')} FROM staging""",
-    "csv_comments": f"""WITH {RAW} SELECT kind, {KEYS}, channel_id, video_id, author_id,
-        text_original, parent_comment_id, like_count, CAST(NULL AS VARCHAR) AS sentiment,
-        CAST(NULL AS INTEGER) AS comment_length FROM comments""",
+    "csv_comments": LOADED,
+    "csv_comments_split": LOADED,
     "time_partitioned_scan": f"""WITH {RAW} SELECT {KEYS}, video_id, text_original FROM comments
         WHERE comments.published_at >= TIMESTAMP '2024-01-08'
           AND comments.published_at < TIMESTAMP '2024-01-15'""",

@@ -24,7 +24,13 @@ from commentloom.functions.videos import (
 from commentloom.operators import merging, profiling, ranking
 from commentloom.operators.language import detect_language, train_profile
 from commentloom.operators.rules import match_rules
-from commentloom.operators.scoring import LexiconScorer, ModelScorer, parallel_map
+from commentloom.operators.scoring import (
+    NEGATIVE_TERMS,
+    POSITIVE_TERMS,
+    LexiconScorer,
+    ModelScorer,
+    parallel_map,
+)
 from commentloom.plans.comments import KEY, enrich_comments, enrich_rows, triage_comments
 from commentloom.plans.marts import (
     category_breakdown,
@@ -111,28 +117,35 @@ def dominant_sentiments(v: Views) -> DataFrame:
     return stamp(scored.select(*KEY, dominant_sentiment(F.col("scores")).alias("sentiment")))
 
 
-def _load_lexicon():
-    """A stand-in for a caller's model: the same lexicon as a plain Python function."""
-    scorer = LexiconScorer()
+def _lexicon_model():
+    """A stand-in for a caller's model: the same lexicon as a plain Python function.
+
+    Nested functions travel to the workers by value, so these need no import of this package.
+    """
+    positive, negative = POSITIVE_TERMS, NEGATIVE_TERMS
 
-    def score(texts):
-        results = []
-        for text in texts:
-            lowered = text.lower()
-            p = sum(term in lowered for term in scorer.positive)
-            n = sum(term in lowered for term in scorer.negative)
-            whole = p + n + 1
-            values = zip(("POSITIVE", "negative", "Neutral"), (p / whole, n / whole, 1 / whole))
-            results.append([{"label": label, "score": value} for label, value in values])
-        return results
+    def load():
+        def score(texts):
+            results = []
+            for text in texts:
+                lowered = text.lower()
+                p = sum(term in lowered for term in positive)
+                n = sum(term in lowered for term in negative)
+                shares = {"POSITIVE": p, "negative": n, "Neutral": 1}
+                results.append(
+                    [{"label": k, "score": v / (p + n + 1)} for k, v in shares.items()]
+                )
+            return results
 
-    return score
+        return score
+
+    return load
 
 
 @query
 def model_scores(v: Views) -> DataFrame:
     """A Python model through Arrow; relevant comments only, like the enrichment."""
-    rows = enrich_rows(v.comments(), ModelScorer(_load_lexicon))
+    rows = enrich_rows(v.comments(), ModelScorer(_lexicon_model()))
     scores = [f"sentiment_score_{s}" for s in ("positive", "negative", "neutral")]
     return show_enriched(rows.select(*KEY, "sentiment", *scores))
 
@@ -436,15 +449,13 @@ def csv_videos_camel(v: Views) -> DataFrame:
     return _show_staging(csv_source.load_videos_camel(v.spark, path).drop("kind"))
 
 
-@query
-def csv_comments(v: Views) -> DataFrame:
-    """Two exports loaded as one table."""
+def _loaded_comments(v: Views, **options) -> DataFrame:
     paths = []
     for part in v.comment_exports():
         path = scratch_path(v.spark, "comments-csv")
         csv_source.write_csv(part, path)
         paths.append(path)
-    loaded = csv_source.load_comments_csv(v.spark, paths)
+    loaded = csv_source.load_comments_csv(v.spark, paths, **options)
     return stamp(
         loaded.select(
             "kind", *KEY, "channel_id", "video_id", "author_id", "text_original",
@@ -454,6 +465,18 @@ def csv_comments(v: Views) -> DataFrame:
     )
 
 
+@query
+def csv_comments(v: Views) -> DataFrame:
+    """Two exports loaded as one table."""
+    return _loaded_comments(v)
+
+
+@query
+def csv_comments_split(v: Views) -> DataFrame:
+    """The way for files too large for one task, forced."""
+    return _loaded_comments(v, max_whole_file=0)
+
+
 @query
 def time_partitioned_scan(v: Views) -> DataFrame:
     """Comments laid out by week; the second week of January read back."""
