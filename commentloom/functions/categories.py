@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import functools
-import operator
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from commentloom.functions import quote
+from commentloom.schemas import RULES
 
 # Categories in priority order, each with its keywords.
 CATEGORY_RULES: dict[str, tuple[str, ...]] = {
@@ -41,38 +41,41 @@ MATCH_CONFIDENCE = 0.9
 FALLBACK_CONFIDENCE = 0.5
 
 
-def contains_any(lowered: Column, keywords: Sequence[str]) -> Column:
-    return functools.reduce(operator.or_, [lowered.contains(k) for k in keywords])
+def contains_any(lowered: str, keywords: Sequence[str]) -> str:
+    return " OR ".join(f"contains({lowered}, {quote(k)})" for k in keywords)
 
 
-def category_of(
-    lowered: Column, rules: Mapping[str, Sequence[str]] = CATEGORY_RULES
-) -> Column:
+def category_of(lowered: str, rules: Mapping[str, Sequence[str]] = CATEGORY_RULES) -> str:
     """First category, in declared order, with a keyword inside the lower-cased text."""
-    picked = None
-    for name, keywords in rules.items():
-        hit = contains_any(lowered, keywords)
-        picked = F.when(hit, F.lit(name)) if picked is None else picked.when(hit, F.lit(name))
-    if picked is None:
-        return F.lit(FALLBACK_CATEGORY)
-    return picked.otherwise(F.lit(FALLBACK_CATEGORY))
+    return first_match(lowered, list(rules.items()))
+
 
+def first_match(lowered: str, ordered: Sequence[tuple[str, Sequence[str]]]) -> str:
+    branches = [
+        f"WHEN {contains_any(lowered, keywords)} THEN {quote(name)}" for name, keywords in ordered
+    ]
+    fallback = quote(FALLBACK_CATEGORY)
+    return f"CASE {' '.join(branches)} ELSE {fallback} END" if branches else fallback
 
-def keyword_category(text: Column, rules=CATEGORY_RULES) -> Column:
-    return category_of(F.lower(F.coalesce(text, F.lit(""))), rules)
 
+def keyword_category(text: str, rules: Mapping[str, Sequence[str]] = CATEGORY_RULES) -> str:
+    # A one-element transform names the lowered text, so it is worked out once.
+    lowered = f"array(lower(coalesce({text}, '')))"
+    return f"transform({lowered}, lowered -> {category_of('lowered', rules)})[0]"
 
-def confidence_of(category: Column) -> Column:
+
+def confidence_of(category: str) -> str:
     """Confidence that goes with a category picked by ``category_of``."""
-    return F.when(category == FALLBACK_CATEGORY, F.lit(FALLBACK_CONFIDENCE)).otherwise(
-        F.lit(MATCH_CONFIDENCE)
+    return (
+        f"CASE WHEN {category} = {quote(FALLBACK_CATEGORY)} THEN {FALLBACK_CONFIDENCE}D "
+        f"WHEN {category} IS NOT NULL THEN {MATCH_CONFIDENCE}D END"
     )
 
 
-def rules_table(spark, rules=CATEGORY_RULES):
+def rules_table(
+    spark: SparkSession, rules: Mapping[str, Sequence[str]] = CATEGORY_RULES
+) -> DataFrame:
     """The mapping as rows of (priority, category, keyword)."""
-    from commentloom.schemas import RULES
-
     rows = [
         (priority, name, keyword)
         for priority, (name, keywords) in enumerate(rules.items(), start=1)

@@ -2,33 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from commentloom.functions import quote
 
 # Fixed values.
 DEFAULT_SENTIMENT = "Neutral"
 LABELS = ("positive", "negative", "neutral")
+SCORE_COLUMNS = tuple(f"sentiment_score_{label}" for label in LABELS)
 
 
-def dominant_sentiment(scores: Column) -> Column:
+def dominant_sentiment(scores: str) -> str:
     """Label of the first largest score above zero, capitalised; otherwise Neutral."""
-    values = F.transform(scores, lambda s: s["score"])
-    top = F.array_max(values)
-    label = F.try_element_at(scores, F.array_position(values, top).cast("int"))["label"]
-    capitalised = F.concat(F.upper(F.substring(label, 1, 1)), F.lower(F.substring(label, 2, 2**30)))
+    top = f"array_max({scores}.score)"
+    label = f"try_element_at({scores}.label, int(array_position({scores}.score, {top})))"
     return (
-        F.when(scores.isNull(), F.lit(None).cast("string"))
-        .when(top > 0, capitalised)
-        .otherwise(F.lit(DEFAULT_SENTIMENT))
+        f"CASE WHEN {scores} IS NULL THEN NULL "
+        f"WHEN {top} > 0 THEN concat(upper(left({label}, 1)), lower(substring({label}, 2))) "
+        f"ELSE {quote(DEFAULT_SENTIMENT)} END"
     )
 
 
-def score_for(scores: Column, label: str) -> Column:
+def score_for(scores: str, label: str) -> str:
     """Score of a label, matched without case; the last wins, and a missing one is 0.0."""
-    same = F.filter(scores, lambda s: F.lower(s["label"]) == label)
-    found = F.coalesce(F.try_element_at(same, F.lit(-1))["score"], F.lit(0.0))
-    return F.when(scores.isNotNull(), found)
+    same = f"filter({scores}, s -> lower(s.label) = {quote(label)})"
+    return f"if({scores} IS NULL, NULL, coalesce(try_element_at({same}, -1).score, 0.0D))"
 
 
-def spread_scores(scores: Column) -> list[Column]:
-    return [score_for(scores, label).alias(f"sentiment_score_{label}") for label in LABELS]
+def spread_scores(scores: str) -> list[str]:
+    return [f"{score_for(scores, label)} AS sentiment_score_{label}" for label in LABELS]

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from commentloom.functions import quote
 
 # The Unicode whitespace set, as the body of a regex character class.
 # Java's \s covers only part of it, and trim() only U+0020.
@@ -14,34 +13,33 @@ WHITESPACE = (
 HASHTAG = r"#[\p{L}\p{N}_]+"
 
 
-def strip(text: Column) -> Column:
+def has_text(text: str) -> str:
+    return f"coalesce({text}, '') <> ''"
+
+
+def strip(text: str) -> str:
     # The look-behind lets a run in mid-text fail at once instead of once per character.
-    return F.regexp_replace(
-        text, rf"\A[{WHITESPACE}]+|(?<![{WHITESPACE}])[{WHITESPACE}]+\z", ""
-    )
+    ends = rf"\A[{WHITESPACE}]+|(?<![{WHITESPACE}])[{WHITESPACE}]+\z"
+    return f"regexp_replace({text}, {quote(ends)}, '')"
 
 
-def word_count(text: Column) -> Column:
+def word_count(text: str) -> str:
     """Whitespace-separated tokens; 0 for NULL, empty and blank text."""
-    pieces = F.size(F.split(text, f"[{WHITESPACE}]+"))
-    leading = text.rlike(rf"\A[{WHITESPACE}]").cast("int")
-    trailing = text.rlike(rf"[{WHITESPACE}]\z").cast("int")
-    return (
-        F.when(text.isNull() | (text == ""), F.lit(0))
-        .otherwise(pieces - leading - trailing)
-        .cast("int")
-    )
+    pieces = f"size(split({text}, {quote(f'[{WHITESPACE}]+')}))"
+    leading = rf"int({text} RLIKE {quote(rf'\A[{WHITESPACE}]')})"
+    trailing = rf"int({text} RLIKE {quote(rf'[{WHITESPACE}]\z')})"
+    return f"CASE WHEN {has_text(text)} THEN {pieces} - {leading} - {trailing} ELSE 0 END"
 
 
-def comment_length(text: Column) -> Column:
+def comment_length(text: str) -> str:
     """Code points of the unstripped text."""
-    return F.coalesce(F.length(text), F.lit(0)).cast("int")
+    return f"coalesce(length({text}), 0)"
 
 
-def strip_hashtags(text: Column) -> Column:
-    """Delete #words and strip the ends; inner blanks stay, and so does a lone #."""
-    return strip(F.regexp_replace(F.coalesce(text, F.lit("")), HASHTAG, ""))
+def fill_text(text: str) -> str:
+    return f"coalesce({text}, '')"
 
 
-def fill_text(text: Column) -> Column:
-    return F.coalesce(text, F.lit(""))
+def strip_hashtags(text: str) -> str:
+    """Delete #words and strip the ends; inner blanks stay, and so does a lone #."""
+    return strip(f"regexp_replace({fill_text(text)}, {quote(HASHTAG)}, '')")

@@ -2,45 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from commentloom.functions.text import WHITESPACE, word_count
+from commentloom.functions import quote
+from commentloom.functions.text import WHITESPACE, has_text, word_count
 
 # Fixed values.
 LINK_MARKERS = ("http://", "https://")
-MIN_STRIPPED_CHARS = 3
 MIN_RELEVANT_WORDS = 4
 MAX_QUALITY = 5
 WORDS_PER_QUALITY_POINT = 10
 
 
-def has_text(text: Column) -> Column:
-    return text.isNotNull() & (text != "")
-
-
-def is_spam(text: Column) -> Column:
+def is_spam(text: str) -> str:
     """A link (case-sensitive), or fewer than three characters once stripped; no text is not spam."""
-    links = F.lit(False)
-    for marker in LINK_MARKERS:
-        links = links | text.contains(marker)
+    links = " OR ".join(f"contains({text}, {quote(m)})" for m in LINK_MARKERS)
     # Three stripped characters = two non-blanks with something in between; no copy is made.
-    long_enough = text.rlike(rf"(?s)[^{WHITESPACE}].+[^{WHITESPACE}]")
-    return F.when(has_text(text), links | ~long_enough).otherwise(F.lit(False))
+    long_enough = f"{text} RLIKE {quote(f'(?s)[^{WHITESPACE}].+[^{WHITESPACE}]')}"
+    return f"CASE WHEN {has_text(text)} THEN {links} OR NOT ({long_enough}) ELSE false END"
 
 
-def is_relevant(spam: Column, words: Column) -> Column:
-    return ~spam & (words >= MIN_RELEVANT_WORDS)
+def is_relevant(spam: str, words: str) -> str:
+    return f"(NOT {spam} AND {words} >= {MIN_RELEVANT_WORDS})"
 
 
-def language_confidence(text: Column) -> Column:
-    return F.when(has_text(text), F.lit(1.0)).otherwise(F.lit(0.0))
+def language_confidence(text: str) -> str:
+    return f"CASE WHEN {has_text(text)} THEN 1.0D ELSE 0.0D END"
 
 
-def quality_from_words(words: Column) -> Column:
-    points = F.floor(words / F.lit(WORDS_PER_QUALITY_POINT))
-    return F.least(F.lit(MAX_QUALITY), F.greatest(F.lit(1), points)).cast("int")
+def quality_from_words(words: str) -> str:
+    points = f"({words} DIV {WORDS_PER_QUALITY_POINT})"
+    return f"int(least({MAX_QUALITY}, greatest(1, {points})))"
 
 
-def quality_score(text: Column) -> Column:
-    return quality_from_words(word_count(text))
+def quality_score(text: str) -> str:
+    return quality_from_words(f"({word_count(text)})")

@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+from commentloom.functions import quote
 from commentloom.functions.text import strip
 
 # Seconds per duration part, in the order of the pattern's groups.
@@ -27,57 +23,57 @@ LANGUAGE_NAMES = {
 }
 UNKNOWN_LANGUAGE = "Unknown"
 
-_QUOTED = r"""(?:'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+")"""
-STRING_LIST = rf"(?s)\A[ \t]*+\[\s*+(?:{_QUOTED}\s*+(?:,\s*+|(?=\])))*+\]\s*+\z"
+QUOTED = r"""(?:'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+")"""
+STRING_LIST = rf"(?s)\A[ \t]*+\[\s*+(?:{QUOTED}\s*+(?:,\s*+|(?=\])))*+\]\s*+\z"
 
 
-def parse_duration(iso: Column) -> Column:
+def parse_duration(iso: str) -> str:
     """Seconds of the leading ISO-8601 part; NULL unless the text starts with P."""
-    total = F.lit(0).cast("bigint")
+    parts = []
     for group, unit in enumerate(DURATION_PARTS, start=1):
-        digits = F.nullif(F.regexp_extract(iso, DURATION, group), F.lit(""))
-        total = total + F.coalesce(digits.try_cast("bigint"), F.lit(0)) * unit
-    return F.when(iso.startswith("P"), total)
+        digits = f"nullif(regexp_extract({iso}, {quote(DURATION)}, {group}), '')"
+        parts.append(f"coalesce(try_cast({digits} AS BIGINT), 0L) * {unit}L")
+    return f"CASE WHEN startswith({iso}, 'P') THEN {' + '.join(parts)} END"
 
 
-def duration_in(seconds: Column, unit: int) -> Column:
+def duration_in(seconds: str, unit: int) -> str:
     """Seconds in a larger unit, two decimals, halves to even on the scaled value."""
-    return F.rint(seconds / F.lit(unit) * F.lit(100)) / F.lit(100)
+    return f"rint({seconds} / {unit}D * 100D) / 100D"
 
 
-def normalise_lang(code: Column) -> Column:
-    return F.when(code != "", F.lower(F.split_part(code, F.lit("-"), F.lit(1))))
+def normalise_lang(code: str) -> str:
+    return f"CASE WHEN {code} <> '' THEN lower(split_part({code}, '-', 1)) END"
 
 
-def resolve_lang(default: Column, audio: Column) -> Column:
-    return F.coalesce(normalise_lang(default), normalise_lang(audio))
+def resolve_lang(default: str, audio: str) -> str:
+    return f"coalesce({normalise_lang(default)}, {normalise_lang(audio)})"
 
 
-def language_name(code: Column) -> Column:
-    names = F.create_map(*[F.lit(x) for x in chain.from_iterable(LANGUAGE_NAMES.items())])
-    return F.coalesce(F.element_at(names, code), code, F.lit(UNKNOWN_LANGUAGE))
+def language_name(code: str) -> str:
+    pairs = ", ".join(f"{quote(c)}, {quote(n)}" for c, n in LANGUAGE_NAMES.items())
+    return f"coalesce(element_at(map({pairs}), {code}), {code}, {quote(UNKNOWN_LANGUAGE)})"
 
 
-def topic_names(literal: Column) -> Column:
+def topic_names(literal: str) -> str:
     """Last URL segments of a list literal of strings, underscores as blanks.
 
     Anything that is not a list of quoted strings gives an empty list.
     """
     # A trailing comma is legal in the literal but not in JSON.
-    tidy = F.regexp_replace(literal, r",\s*\]\s*\z", "]")
-    urls = F.when(literal.rlike(STRING_LIST), F.from_json(strip(tidy), "array<string>"))
-    names = F.transform(
-        urls, lambda u: F.translate(F.substring_index(u, "/", -1), "_", " ")
+    tidy = rf"regexp_replace({literal}, {quote(r',\s*\]\s*\z')}, ']')"
+    urls = (
+        f"CASE WHEN {literal} RLIKE {quote(STRING_LIST)} "
+        f"THEN from_json({strip(tidy)}, 'array<string>') END"
     )
-    return F.coalesce(names, F.array().cast("array<string>"))
+    names = f"transform({urls}, u -> translate(substring_index(u, '/', -1), '_', ' '))"
+    return f"coalesce({names}, cast(array() AS array<string>))"
 
 
-def fill_count(count: Column) -> Column:
+def fill_count(count: str) -> str:
     """Missing counts as 0, fractions cut off."""
-    return F.coalesce(count, F.lit(0)).cast("bigint")
+    return f"bigint(coalesce({count}, 0))"
 
 
-def as_count(count: Column) -> Column:
+def as_count(count: str) -> str:
     """A count as DOUBLE, with NaN read as missing."""
-    value = count.cast("double")
-    return F.when(~F.isnan(value), value)
+    return f"nullif(double({count}), double('NaN'))"

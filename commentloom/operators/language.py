@@ -7,11 +7,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from commentloom.functions import quote
+
 UNKNOWN = "unknown"
 TOP_GRAMS = 400
 # A profile has at most 400 grams of each of 64 languages; that bound allows broadcasting it.
@@ -42,19 +44,19 @@ class LanguageProfile:
         return LanguageProfile(languages, stored.select("gram", "weights"))
 
 
-def padded_words(text: Column) -> Column:
+def padded_words(text: str) -> str:
     """Lower-cased words between single blanks, one blank ahead and two behind."""
-    words = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+", " ")
-    return F.concat(F.lit(" "), F.trim(words), F.lit("  "))
+    words = rf"regexp_replace(lower(coalesce({text}, '')), {quote(r'[^\p{L}]+')}, ' ')"
+    return f"concat(' ', trim({words}), '  ')"
 
 
-def trigrams(padded: Column) -> Column:
+def trigrams(padded: str) -> str:
     """The three characters at every place of the whole text.
 
     Their first one and two characters are the shorter grams, so one pass serves all three sizes.
     The look-ahead takes linear time; substring() would restart at the front for each place.
     """
-    return F.regexp_extract_all(padded, F.lit("(?!  )(?=(.{3}))"), F.lit(1))
+    return f"regexp_extract_all({padded}, '(?!  )(?=(.{{3}}))', 1)"
 
 
 def train_profile(
@@ -70,18 +72,17 @@ def train_profile(
     spark = corpus.sparkSession
     places = (
         corpus.where(F.col(language).isNotNull())
-        .select(F.col(language).alias("lang"), padded_words(F.col(text)).alias("_padded"))
-        .select("lang", F.explode(trigrams(F.col("_padded"))).alias("gram"))
+        .selectExpr(f"{language} AS lang", f"{padded_words(text)} AS _padded")
+        .selectExpr("lang", f"explode({trigrams('_padded')}) AS gram")
     )
     # Shorter grams are counted from the counts of the longest.
-    sizes = F.array("gram", F.substring("gram", 1, 2), F.substring("gram", 1, 1))
     counts = (
         places.groupBy("lang", "gram")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("lang", F.explode(sizes).alias("gram"), "n")
-        .where(F.col("gram") != " ")
+        .agg(F.expr("count(1) AS n"))
+        .selectExpr("lang", "explode(array(gram, left(gram, 2), left(gram, 1))) AS gram", "n")
+        .where("gram <> ' '")
         .groupBy("lang", "gram")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.expr("sum(n) AS n"))
         .persist()
     )
     try:
@@ -99,7 +100,7 @@ def train_profile(
             .distinct()
         )
         per_language = [
-            F.coalesce(F.sum(F.when(F.col("lang") == name, F.col("n"))), F.lit(0)).alias(f"n{i}")
+            F.expr(f"coalesce(sum(n) FILTER (WHERE lang = {quote(name)}), 0) AS n{i}")
             for i, name in enumerate(languages)
         ]
         table = (
@@ -134,32 +135,25 @@ def detect_language(
     ``keep`` names the columns to carry along and must include a key. A text's grams all sit in
     one partition, so they are summed before the shuffle, which moves one narrow row per text.
     """
-    n_languages = len(profile.languages)
-    places = df.select(*keep, padded_words(F.col(text)).alias("_padded")).select(
-        *keep, F.explode_outer(trigrams(F.col("_padded"))).alias("_gram")
+    places = df.selectExpr(*keep, f"{padded_words(text)} AS _padded").selectExpr(
+        *keep, f"explode_outer({trigrams('_padded')}) AS _gram"
     )
     # Grams meet by 64-bit hash: a number is a far cheaper key than a string. With 25,600 grams
-    # at most, one foreign gram in 10^15 would be taken for a known one.
-    hashed = places.select(
-        *keep, *[F.xxhash64(F.substring("_gram", 1, n)).alias(f"_h{n}") for n in (1, 2, 3)]
-    )
+    # at most, one foreign gram in 10^14 would be taken for a known one.
+    hashed = places.selectExpr(*keep, *[f"xxhash64(left(_gram, {n})) AS _h{n}" for n in (1, 2, 3)])
     for n in (1, 2, 3):
-        side = profile.weights.select(
-            F.xxhash64("gram").alias(f"_k{n}"), F.col("weights").alias(f"_weights{n}")
-        )
-        hashed = hashed.join(F.broadcast(side), F.col(f"_h{n}") == F.col(f"_k{n}"), "left")
-    totals = []
-    for i in range(n_languages):
-        parts = [F.coalesce(F.col(f"_weights{n}")[i], F.lit(0)) for n in (1, 2, 3)]
-        totals.append(F.sum(parts[0] + parts[1] + parts[2]).alias(f"_w{i}"))
+        side = profile.weights.selectExpr(f"xxhash64(gram) AS _h{n}", f"weights AS _weights{n}")
+        hashed = hashed.join(F.broadcast(side), f"_h{n}", "left")
+    places_of_language = range(len(profile.languages))
+    totals = [
+        F.expr("sum(" + " + ".join(f"coalesce(_weights{n}[{i}], 0)" for n in (1, 2, 3)) + f") AS _w{i}")
+        for i in places_of_language
+    ]
     scored = hashed.groupBy(*keep).agg(*totals)
     # Largest sum; on a tie the language that sorts first.
-    ranked = F.array(
-        *[F.struct(F.col(f"_w{i}").alias("w"), F.lit(-i).alias("i")) for i in range(n_languages)]
-    )
-    names = F.array(*[F.lit(name) for name in profile.languages])
+    ranked = ", ".join(f"named_struct('w', _w{i}, 'i', {-i})" for i in places_of_language)
+    names = ", ".join(quote(name) for name in profile.languages)
     # Every weight is below zero, so a sum of zero means that no gram was known.
-    best = F.when(
-        F.col("_w0") < 0, F.element_at(names, 1 - F.array_max(ranked)["i"])
-    ).otherwise(F.lit(UNKNOWN))
-    return scored.select(*keep, best.alias(into))
+    best = f"""CASE WHEN _w0 < 0 THEN element_at(array({names}), 1 - array_max(array({ranked})).i)
+        ELSE {quote(UNKNOWN)} END AS {into}"""
+    return scored.selectExpr(*keep, best)

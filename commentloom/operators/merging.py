@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from commentloom.functions import quote
 from commentloom.schemas import ENRICHMENT
 
 # What a comment that was triaged but not scored gets.
@@ -25,12 +26,16 @@ SKIP_DEFAULTS = {
 
 def with_skip_defaults(df: DataFrame) -> DataFrame:
     """Complete enrichment rows: absent columns and NULLs get their defaults."""
-    filled = {}
+    present = df.columns
+    others = [f"`{c}`" for c in present if c not in SKIP_DEFAULTS]
+    filled = []
     for field in ENRICHMENT.fields:
-        default = F.lit(SKIP_DEFAULTS[field.name]).cast(field.dataType)
-        known = field.name in df.columns
-        filled[field.name] = F.coalesce(F.col(field.name), default) if known else default
-    return df.withColumns(filled)
+        value = SKIP_DEFAULTS[field.name]
+        literal = quote(value) if isinstance(value, str) else str(value).lower()
+        default = f"cast({literal} AS {field.dataType.simpleString()})"
+        source = f"coalesce(`{field.name}`, {default})" if field.name in present else default
+        filled.append(f"{source} AS `{field.name}`")
+    return df.selectExpr(*others, *filled)
 
 
 def pending_comments(comments: DataFrame, enriched: DataFrame) -> DataFrame:
@@ -62,18 +67,19 @@ def apply_enrichment(comments: DataFrame, enriched: DataFrame) -> DataFrame:
     The enriched side holds one row per id. A matched row takes all of its columns, defaults for
     missing ones included; an unmatched row keeps what it had.
     """
-    names = ENRICHMENT.fieldNames()
-    update = with_skip_defaults(enriched).select(
-        F.col("comment_id"), F.struct(*names).alias("_update")
+    update = with_skip_defaults(enriched).selectExpr(
+        "comment_id", f"struct({', '.join(ENRICHMENT.fieldNames())}) AS _update"
     )
-    merged = comments.join(update, "comment_id", "left")
-    replaced = {}
+    present = comments.columns
+    others = [f"`{c}`" for c in present if c not in SKIP_DEFAULTS]
+    replaced = []
     for field in ENRICHMENT.fields:
-        old = F.col(field.name) if field.name in comments.columns else F.lit(None)
-        replaced[field.name] = F.when(
-            F.col("_update").isNotNull(), F.col("_update")[field.name]
-        ).otherwise(old.cast(field.dataType))
-    return merged.withColumns(replaced).drop("_update")
+        old = f"`{field.name}`" if field.name in present else "NULL"
+        kind = field.dataType.simpleString()
+        replaced.append(
+            f"if(_update IS NOT NULL, _update.{field.name}, cast({old} AS {kind})) AS `{field.name}`"
+        )
+    return comments.join(update, "comment_id", "left").selectExpr(*others, *replaced)
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str = "video_id") -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import operator
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Protocol
@@ -12,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commentloom.functions.sentiment import LABELS
+from commentloom.functions import quote
 from commentloom.schemas import SCORES
 
 POSITIVE_TERMS = (
@@ -30,8 +28,8 @@ BATCH_SIZE = 32
 
 
 class Scorer(Protocol):
-    def scores(self, text: Column) -> Column:
-        """Array of (label, score) per text; NULL in, NULL out."""
+    def scores(self, text: str) -> Column:
+        """Array of (label, score) for a SQL text expression; NULL in, NULL out."""
         ...
 
 
@@ -45,32 +43,20 @@ class LexiconScorer:
     positive: Sequence[str] = POSITIVE_TERMS
     negative: Sequence[str] = NEGATIVE_TERMS
 
-    def scores(self, text: Column) -> Column:
+    def scores(self, text: str) -> Column:
+        def hits(terms: Sequence[str]) -> str:
+            distinct = ", ".join(quote(t) for t in dict.fromkeys(terms))
+            return f"size(filter(array({distinct}), t -> contains(lowered, t)))"
+
         # One-element transforms name the lowered text and then the counts, so that each is
         # worked out once per text.
-        lowered = F.transform(F.array(text), F.lower)
-        counts = F.transform(lowered, self._counts)
-        return F.transform(counts, lambda c: self._shares(c["p"], c["n"]))[0]
-
-    def _counts(self, lowered: Column) -> Column:
-        def distinct_terms(terms):
-            return functools.reduce(
-                operator.add, [lowered.contains(t).cast("int") for t in dict.fromkeys(terms)]
-            )
-
-        return F.struct(
-            distinct_terms(self.positive).alias("p"), distinct_terms(self.negative).alias("n")
-        )
-
-    @staticmethod
-    def _shares(p: Column, n: Column) -> Column:
-        whole = (p + n + 1).cast("double")
-        shares = (p / whole, n / whole, F.lit(1.0) / whole)
-        pairs = [
-            F.struct(F.lit(label).alias("label"), share.alias("score"))
-            for label, share in zip(LABELS, shares)
-        ]
-        return F.when(p.isNotNull(), F.array(*pairs))
+        counts = f"""transform(array(lower({text})), lowered ->
+            named_struct('p', {hits(self.positive)}, 'n', {hits(self.negative)}))"""
+        shares = f"""transform({counts}, c -> array(
+            named_struct('label', 'positive', 'score', c.p / double(c.p + c.n + 1)),
+            named_struct('label', 'negative', 'score', c.n / double(c.p + c.n + 1)),
+            named_struct('label', 'neutral', 'score', 1D / double(c.p + c.n + 1))))[0]"""
+        return F.expr(f"CASE WHEN {text} IS NOT NULL THEN {shares} END")
 
 
 Model = Callable[[list[str]], list[list[dict]]]
@@ -93,7 +79,7 @@ class ModelScorer:
         if self.on_error not in ("fail", "skip"):
             raise ValueError("on_error is 'fail' or 'skip'")
 
-    def scores(self, text: Column) -> Column:
+    def scores(self, text: str) -> Column:
         load, size, skip = self.load, self.batch_size, self.on_error == "skip"
 
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -117,13 +103,13 @@ class ModelScorer:
 
         # Python evaluates annotations lazily here; the UDF needs real types.
         score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-        return F.pandas_udf(score, SCORES)(text)
+        return F.pandas_udf(score, SCORES)(F.expr(text))
 
 
 def score_sentiment(
     df: DataFrame, scorer: Scorer, text: str = "text_original", into: str = "scores"
 ) -> DataFrame:
-    return df.withColumn(into, scorer.scores(F.col(text)))
+    return df.withColumn(into, scorer.scores(text))
 
 
 def parallel_map(

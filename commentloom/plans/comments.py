@@ -29,65 +29,39 @@ def triage_comments(
     comments: DataFrame, keep: Sequence[str] = KEY, text: str = "text_original"
 ) -> DataFrame:
     """Spam flag, relevance, word count and length per comment."""
-    body = F.col(text)
-    return comments.select(
+    return comments.selectExpr(
         *keep,
-        body.alias("_text"),
-        is_spam(body).alias("is_spam"),
-        word_count(body).alias("word_count"),
-        comment_length(body).alias("comment_length"),
-        language_confidence(body).alias("language_confidence"),
-    ).select(
-        *keep,
-        "is_spam",
-        is_relevant(F.col("is_spam"), F.col("word_count")).alias("is_relevant"),
-        "word_count",
-        "comment_length",
-        "language_confidence",
-        F.col("_text").alias(text),
-    )
+        text,
+        f"{is_spam(text)} AS is_spam",
+        f"{word_count(text)} AS word_count",
+        f"{comment_length(text)} AS comment_length",
+        f"{language_confidence(text)} AS language_confidence",
+    ).selectExpr("*", f"{is_relevant('is_spam', 'word_count')} AS is_relevant")
 
 
 def score_comments(
-    triaged: DataFrame,
-    scorer: Scorer,
-    keep: Sequence[str],
-    text: str = "text_original",
+    triaged: DataFrame, scorer: Scorer, keep: Sequence[str], text: str = "text_original"
 ) -> DataFrame:
     """Sentiment, category and quality for relevant rows; NULL for the others.
 
     The scorer sees NULL instead of an irrelevant text, so the model never runs on it.
     """
-    relevant = F.col("is_relevant")
-    body = F.when(relevant, F.col(text))
-    prepared = triaged.select(
-        *keep, text, "word_count", body.alias("_body"), scorer.scores(body).alias("_scores")
-    )
+    body = f"if(is_relevant, {text}, NULL)"
+    scored = triaged.select(*keep, text, "word_count", scorer.scores(body).alias("_scores"))
     # No scores, whether skipped or failed, means no category either.
-    scored = F.col("_scores").isNotNull()
-    categorised = prepared.select(
+    lowered = scored.selectExpr(
         *keep,
         text,
-        dominant_sentiment(F.col("_scores")).alias("sentiment"),
-        *spread_scores(F.col("_scores")),
-        F.when(scored, quality_from_words(F.col("word_count"))).alias("quality_score"),
-        F.when(scored, F.lower(F.col("_body"))).alias("_lowered"),
-    ).withColumn(
-        "category", F.when(F.col("_lowered").isNotNull(), category_of(F.col("_lowered")))
+        f"{dominant_sentiment('_scores')} AS sentiment",
+        *spread_scores("_scores"),
+        f"if(_scores IS NOT NULL, {quality_from_words('word_count')}, NULL) AS quality_score",
+        f"if(_scores IS NOT NULL, lower({text}), NULL) AS _lowered",
     )
-    return categorised.withColumn("category_confidence", confidence_of(F.col("category"))).select(
-        *keep,
-        "sentiment",
-        "sentiment_score_positive",
-        "sentiment_score_negative",
-        "sentiment_score_neutral",
-        "category",
-        F.when(F.col("category").isNotNull(), F.col("category_confidence")).alias(
-            "category_confidence"
-        ),
-        "quality_score",
-        text,
+    categorised = lowered.selectExpr(
+        "* EXCEPT (_lowered)",
+        f"if(_lowered IS NOT NULL, {category_of('_lowered')}, NULL) AS category",
     )
+    return categorised.selectExpr("*", f"{confidence_of('category')} AS category_confidence")
 
 
 def enrich_rows(

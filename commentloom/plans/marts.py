@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from commentloom.functions.sentiment import LABELS
 from commentloom.operators.ranking import salt
 
 ORPHAN_BUCKETS = 256
-SCORES = ("positive", "negative", "neutral")
 
 
 def comments_with_videos(
@@ -35,21 +34,19 @@ def comments_with_videos(
     return joined.drop("_join", "_video_id")
 
 
-def share_within(count: str, groups: Sequence[str]) -> Column:
+def share_within(count: str, groups: Sequence[str]) -> str:
     """Part of a count in the total of its group; runs over aggregated rows only."""
-    total = F.sum(count).over(W.partitionBy(*groups))
-    return F.col(count) / total
+    part = f"PARTITION BY {', '.join(groups)}" if groups else ""
+    return f"{count} / sum({count}) OVER ({part}) AS share"
 
 
 def sentiment_trend(enriched: DataFrame, bucket: str = "day") -> DataFrame:
     """Comments per time bucket and sentiment: count, mean scores, share of the bucket."""
-    means = [
-        F.avg(f"sentiment_score_{s}").alias(f"mean_{s}") for s in SCORES
-    ]
+    means = [F.expr(f"avg(sentiment_score_{s}) AS mean_{s}") for s in LABELS]
     return (
         enriched.groupBy(F.date_trunc(bucket, "published_at").alias("bucket"), "sentiment")
-        .agg(F.count(F.lit(1)).alias("comments"), *means)
-        .withColumn("share", share_within("comments", ["bucket"]))
+        .agg(F.expr("count(1) AS comments"), *means)
+        .selectExpr("*", share_within("comments", ["bucket"]))
     )
 
 
@@ -58,25 +55,16 @@ def category_breakdown(enriched: DataFrame, dims: Sequence[str] = ()) -> DataFra
     return (
         enriched.groupBy(*dims, "category", "sentiment")
         .agg(
-            F.count(F.lit(1)).alias("comments"),
-            F.avg("category_confidence").alias("mean_confidence"),
-            F.avg("quality_score").alias("mean_quality"),
+            F.expr("count(1) AS comments"),
+            F.expr("avg(category_confidence) AS mean_confidence"),
+            F.expr("avg(quality_score) AS mean_quality"),
         )
-        .withColumn("share", share_within("comments", list(dims)))
+        .selectExpr("*", share_within("comments", dims))
     )
 
 
 def group_comparison(enriched: DataFrame, by: str) -> DataFrame:
     """Sentiment mix and net score of each group, such as a channel."""
-
-    def part(label: str) -> Column:
-        return F.count_if(F.col("sentiment") == label)
-
-    net = F.avg(F.col("sentiment_score_positive") - F.col("sentiment_score_negative"))
-    return enriched.groupBy(by).agg(
-        F.count(F.lit(1)).alias("comments"),
-        part("Positive").alias("positive"),
-        part("Negative").alias("negative"),
-        part("Neutral").alias("neutral"),
-        net.alias("net_score"),
-    )
+    mix = [F.expr(f"count_if(sentiment = '{s.capitalize()}') AS {s}") for s in LABELS]
+    net = F.expr("avg(sentiment_score_positive - sentiment_score_negative) AS net_score")
+    return enriched.groupBy(by).agg(F.expr("count(1) AS comments"), *mix, net)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from commentloom.functions.text import fill_text, strip_hashtags
 from commentloom.functions.videos import (
@@ -34,21 +33,21 @@ def clean_videos(
     """
     description = strip_hashtags if strip_tags else fill_text
     count = fill_count if whole_counts else as_count
-    seconds = parse_duration(F.col("content_duration"))
-    code = resolve_lang(F.col("default_language"), F.col("default_audio_language"))
-    columns = {
-        "description": description(F.col("description")),
-        "tags": fill_text(F.col("tags")) if fill_tags else F.col("tags"),
-        "published_at": F.col("published_at").cast("timestamp"),
+    seconds = parse_duration("content_duration")
+    code = resolve_lang("default_language", "default_audio_language")
+    sources = {
+        "description": description("description"),
+        "tags": fill_text("tags") if fill_tags else "tags",
+        "published_at": "cast(published_at AS timestamp)",
         "language_name": language_name(code),
-        "duration_seconds": seconds.try_cast("int"),
-        "topic_categories": topic_names(F.col("topic_categories")),
-        **{name: count(F.col(name)) for name in COUNTS},
+        "duration_seconds": f"try_cast({seconds} AS INT)",
+        "topic_categories": topic_names("topic_categories"),
+        **{name: count(name) for name in COUNTS},
     }
-    selected = [columns.get(n, F.col(n)).alias(n) for n in CLEAN_VIDEOS.fieldNames()]
+    columns = [f"{sources.get(n, n)} AS {n}" for n in CLEAN_VIDEOS.fieldNames()]
     if longer_units:
-        selected += [
-            duration_in(seconds, 60).alias("duration_minutes"),
-            duration_in(seconds, 3600).alias("duration_hours"),
+        columns += [
+            f"{duration_in(seconds, 60)} AS duration_minutes",
+            f"{duration_in(seconds, 3600)} AS duration_hours",
         ]
-    return staging.select(*selected)
+    return staging.selectExpr(*columns)

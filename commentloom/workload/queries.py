@@ -12,7 +12,7 @@ from commentloom.functions.categories import (
     keyword_category,
     rules_table,
 )
-from commentloom.functions.sentiment import dominant_sentiment, spread_scores
+from commentloom.functions.sentiment import SCORE_COLUMNS, dominant_sentiment, spread_scores
 from commentloom.functions.videos import (
     duration_in,
     fill_count,
@@ -59,11 +59,11 @@ def query(fn):
 def stamp(df: DataFrame, *columns: str) -> DataFrame:
     """Timestamps as text, so that no client time zone enters the comparison."""
     shown = columns or ("published_at",)
-    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in shown})
+    return df.withColumns({c: F.expr(f"date_format({c}, 'yyyy-MM-dd HH:mm:ss')") for c in shown})
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+    return df.withColumns({c: F.expr(f"round({c}, 6)") for c in columns})
 
 
 def show_videos(df: DataFrame) -> DataFrame:
@@ -72,8 +72,7 @@ def show_videos(df: DataFrame) -> DataFrame:
 
 
 def show_enriched(df: DataFrame) -> DataFrame:
-    scores = [f"sentiment_score_{s}" for s in ("positive", "negative", "neutral")]
-    return rounded(stamp(df), *scores)
+    return rounded(stamp(df), *SCORE_COLUMNS)
 
 
 # --- comments ---------------------------------------------------------------------------------
@@ -86,8 +85,8 @@ def comment_triage(v: Views) -> DataFrame:
 
 @query
 def comment_category(v: Views) -> DataFrame:
-    picked = v.comments().select(*KEY, keyword_category(F.col("text_original")).alias("category"))
-    return stamp(picked.withColumn("category_confidence", confidence_of(F.col("category"))))
+    picked = v.comments().selectExpr(*KEY, f"{keyword_category('text_original')} AS category")
+    return stamp(picked.selectExpr("*", f"{confidence_of('category')} AS category_confidence"))
 
 
 @query
@@ -103,18 +102,14 @@ def rules_join(v: Views) -> DataFrame:
 
 @query
 def sentiment_scores(v: Views) -> DataFrame:
-    scored = v.comments().select(
-        *KEY, LexiconScorer().scores(F.col("text_original")).alias("scores")
-    )
-    return show_enriched(scored.select(*KEY, *spread_scores(F.col("scores"))))
+    scored = v.comments().select(*KEY, LexiconScorer().scores("text_original").alias("scores"))
+    return rounded(stamp(scored.selectExpr(*KEY, *spread_scores("scores"))), *SCORE_COLUMNS)
 
 
 @query
 def dominant_sentiments(v: Views) -> DataFrame:
-    scored = v.comments().select(
-        *KEY, LexiconScorer().scores(F.col("text_original")).alias("scores")
-    )
-    return stamp(scored.select(*KEY, dominant_sentiment(F.col("scores")).alias("sentiment")))
+    scored = v.comments().select(*KEY, LexiconScorer().scores("text_original").alias("scores"))
+    return stamp(scored.selectExpr(*KEY, f"{dominant_sentiment('scores')} AS sentiment"))
 
 
 def _lexicon_model():
@@ -146,8 +141,7 @@ def _lexicon_model():
 def model_scores(v: Views) -> DataFrame:
     """A Python model through Arrow; relevant comments only, like the enrichment."""
     rows = enrich_rows(v.comments(), ModelScorer(_lexicon_model()))
-    scores = [f"sentiment_score_{s}" for s in ("positive", "negative", "neutral")]
-    return show_enriched(rows.select(*KEY, "sentiment", *scores))
+    return show_enriched(rows.select(*KEY, "sentiment", *SCORE_COLUMNS))
 
 
 @query
@@ -277,37 +271,34 @@ def videos_clean_script(v: Views) -> DataFrame:
 
 @query
 def video_durations(v: Views) -> DataFrame:
-    seconds = v.staging().select(
-        "video_id", parse_duration(F.col("content_duration")).alias("duration_seconds")
+    seconds = v.staging().selectExpr(
+        "video_id", f"{parse_duration('content_duration')} AS duration_seconds"
     )
-    return seconds.select(
+    return seconds.selectExpr(
         "*",
-        duration_in(F.col("duration_seconds"), 60).alias("duration_minutes"),
-        duration_in(F.col("duration_seconds"), 3600).alias("duration_hours"),
+        f"{duration_in('duration_seconds', 60)} AS duration_minutes",
+        f"{duration_in('duration_seconds', 3600)} AS duration_hours",
     )
 
 
 @query
 def video_languages(v: Views) -> DataFrame:
-    code = resolve_lang(F.col("default_language"), F.col("default_audio_language"))
-    return v.staging().select(
-        "video_id", code.alias("language_code"), language_name(code).alias("language_name")
-    )
+    code = resolve_lang("default_language", "default_audio_language")
+    resolved = v.staging().selectExpr("video_id", f"{code} AS language_code")
+    return resolved.selectExpr("*", f"{language_name('language_code')} AS language_name")
 
 
 @query
 def video_topics(v: Views) -> DataFrame:
-    topics = v.staging().select(
-        "video_id", topic_names(F.col("topic_categories")).alias("topics")
-    )
-    return topics.select(
-        "video_id", F.size("topics").alias("n_topics"), F.array_join("topics", "|").alias("topics")
+    topics = v.staging().selectExpr("video_id", f"{topic_names('topic_categories')} AS topics")
+    return topics.selectExpr(
+        "video_id", "size(topics) AS n_topics", "array_join(topics, '|') AS topics"
     )
 
 
 @query
 def filled_counts(v: Views) -> DataFrame:
-    return v.staging().select("video_id", *[fill_count(F.col(c)).alias(c) for c in COUNTS])
+    return v.staging().selectExpr("video_id", *[f"{fill_count(c)} AS {c}" for c in COUNTS])
 
 
 # --- updates ----------------------------------------------------------------------------------

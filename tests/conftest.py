@@ -30,8 +30,6 @@ def plan_of(df) -> str:
 
 
 def column(spark, fn, values, dtype="string"):
-    """Values of a column function over a list of inputs, in order."""
-    from pyspark.sql import functions as F
-
+    """Values of a scalar function over a list of inputs, in order."""
     df = spark.createDataFrame(list(enumerate(values)), f"i int, x {dtype}")
-    return [r["y"] for r in df.select("i", fn(F.col("x")).alias("y")).orderBy("i").collect()]
+    return [r["y"] for r in df.selectExpr("i", f"{fn('x')} AS y").orderBy("i").collect()]
