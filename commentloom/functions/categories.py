@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from commentloom.functions import quote
-from commentloom.schemas import RULES
 
 # Categories in priority order, each with its keywords.
 CATEGORY_RULES: dict[str, tuple[str, ...]] = {
@@ -77,8 +76,8 @@ def rules_table(
 ) -> DataFrame:
     """The mapping as rows of (priority, category, keyword)."""
     rows = [
-        (priority, name, keyword)
+        f"({priority}, {quote(name)}, {quote(keyword)})"
         for priority, (name, keywords) in enumerate(rules.items(), start=1)
         for keyword in keywords
     ]
-    return spark.createDataFrame(rows, RULES)
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(priority, category, keyword)")

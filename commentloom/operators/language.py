@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -119,8 +120,8 @@ def _weights(spark: SparkSession, table: pd.DataFrame, n_languages: int) -> Data
     counts = table[[f"n{i}" for i in range(n_languages)]].to_numpy(dtype="float64")
     shares = (counts + 1) / (counts.sum(axis=0) + len(table))
     weights = np.floor(np.log(shares) * 1e6 + 0.5).astype("int64")
-    rows = list(zip(table["gram"].tolist(), weights.tolist()))
-    return spark.createDataFrame(rows, PROFILE_SCHEMA)
+    local = pa.table({"gram": table["gram"].tolist(), "weights": weights.tolist()})
+    return spark.createDataFrame(local, PROFILE_SCHEMA)
 
 
 def detect_language(

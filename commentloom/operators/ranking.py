@@ -14,6 +14,7 @@ SAMPLE_PER_VIDEO = 50
 SALT_BUCKETS = 16
 # Beyond this many rows in a group, full ranking switches from one sort per group to a range sort.
 MAX_WINDOW_GROUP = 5_000_000
+MIN_RANGE_ROWS = 100_000
 
 
 def newest_first() -> list[Column]:
@@ -76,23 +77,27 @@ def priority_sample(pending: DataFrame, k: int = SAMPLE_PER_VIDEO) -> DataFrame:
 def priority_rank(pending: DataFrame, max_group: int = MAX_WINDOW_GROUP) -> DataFrame:
     """Newest-first rank of every pending comment within its video."""
     keyed = pending.select("comment_id", "video_id", "published_at")
-    largest = (
-        keyed.groupBy("video_id").count().agg(F.max("count").alias("n")).first()["n"] or 0
+    sizes = keyed.groupBy("video_id").count().agg(
+        F.expr("coalesce(max(count), 0) AS largest"), F.expr("coalesce(sum(count), 0) AS total")
     )
-    if largest <= max_group:
+    found = sizes.first()
+    if found["largest"] <= max_group:
         window = W.partitionBy("video_id").orderBy(*newest_first())
-        return keyed.withColumn("rank", F.row_number().over(window))
-    return _range_rank(keyed, ["video_id"], newest_first())
+        return keyed.withColumn("rank", F.row_number().over(window).cast("bigint"))
+    ranges = -(-found["total"] // max(max_group, MIN_RANGE_ROWS))
+    return _range_rank(keyed, ["video_id"], newest_first(), ranges)
 
 
-def _range_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def _range_rank(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], ranges: int
+) -> DataFrame:
     """Row number per group over a global range sort, so a group may span many partitions.
 
     rank = rows of the group in earlier ranges + row number within the own range.
     """
     spark = df.sparkSession
     shared_dir(spark)
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(ranges, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # The checkpoint turns the range number into stored data: both uses below see the same one,
     # also after a lost executor.
     ranged = (
@@ -114,7 +119,7 @@ def _range_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     return (
         ranged.withColumn("_local", F.row_number().over(local))
         .join(offsets, same)
-        .select(*df.columns, (F.col("_before") + F.col("_local")).cast("int").alias("rank"))
+        .select(*df.columns, (F.col("_before") + F.col("_local")).alias("rank"))
     )
 
 

@@ -87,14 +87,6 @@ SCORES = T.ArrayType(
     )
 )
 
-RULES = T.StructType(
-    [
-        T.StructField("priority", T.IntegerType()),
-        T.StructField("category", T.StringType()),
-        T.StructField("keyword", T.StringType()),
-    ]
-)
-
 # Header names of the camelCase video export, by clean-layer name.
 CAMEL_VIDEO_COLUMNS = {
     "kind": "kind",

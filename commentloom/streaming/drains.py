@@ -14,6 +14,7 @@ from commentloom.operators.ranking import dedupe_latest
 from commentloom.operators.scoring import Scorer
 from commentloom.plans.comments import enrich_comments
 from commentloom.plans.videos import clean_videos
+from commentloom.sources.tables import spread
 
 BATCH = "batch_id"
 
@@ -50,7 +51,11 @@ def drain_comments(
     scorer: Scorer | None = None,
 ) -> StreamingQuery:
     """Enrich comments as they arrive."""
-    return _drain(stream, lambda b: enrich_comments(b, profile, scorer), log, checkpoint)
+
+    def step(batch: DataFrame) -> DataFrame:
+        return enrich_comments(spread(batch, "comment_id", "published_at"), profile, scorer)
+
+    return _drain(stream, step, log, checkpoint)
 
 
 def current_enrichment(spark: SparkSession, log: str) -> DataFrame:

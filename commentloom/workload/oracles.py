@@ -238,7 +238,8 @@ merged AS (SELECT * FROM target ANTI JOIN source USING (video_id) UNION ALL SELE
 SELECT {VIDEO} FROM merged
 """
 
-RANKED = f"WITH {RAW}, {sampled('comments', SAMPLE)} SELECT {KEYS}, video_id, rank FROM ranked"
+RANKED = f"""WITH {RAW}, {sampled('comments', SAMPLE)}
+SELECT {KEYS}, video_id, CAST(rank AS BIGINT) AS rank FROM ranked"""
 
 MEANS = ", ".join(
     f"round(avg(sentiment_score_{s}), 6) AS mean_{s}" for s in ("positive", "negative", "neutral")

@@ -156,7 +156,7 @@ class Views:
         )
 
     def staging(self) -> DataFrame:
-        return self._select(STAGED_VIDEOS, pages=self.table("pages"))
+        return self._select(STAGED_VIDEOS, pages=spread(self.table("pages"), "page_id"))
 
     def staging_stream(self) -> DataFrame:
         return self._select(STAGED_VIDEOS, pages=self.stream("pages"))

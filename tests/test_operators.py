@@ -63,7 +63,7 @@ def test_priority_rank(pending, max_group):
 
 
 def test_range_rank_splits_a_hot_group(spark, pending):
-    ranked = ranking._range_rank(pending, ["video_id"], ranking.newest_first())
+    ranked = ranking._range_rank(pending, ["video_id"], ranking.newest_first(), 40)
     assert ranks(ranked) == expected_ranks(pending)
 
 
