@@ -45,19 +45,23 @@ class LanguageProfile:
         return LanguageProfile(languages, stored.select("gram", "weights"))
 
 
-def padded_words(text: str) -> str:
-    """Lower-cased words between single blanks, one blank ahead and two behind."""
-    words = rf"regexp_replace(lower(coalesce({text}, '')), {quote(r'[^\p{L}]+')}, ' ')"
-    return f"concat(' ', trim({words}), '  ')"
+def words_only(text: str) -> str:
+    """Lower-cased runs of letters, single blanks between them."""
+    return rf"trim(regexp_replace(lower(coalesce({text}, '')), {quote(r'[^\p{L}]+')}, ' '))"
 
 
-def trigrams(padded: str) -> str:
-    """The three characters at every place of the whole text.
+def trigrams(words: str) -> str:
+    """Every letter of the whole text with the character on either side, blanks at word ends.
 
-    Their first one and two characters are the shorter grams, so one pass serves all three sizes.
-    The look-ahead takes linear time; substring() would restart at the front for each place.
+    The letter alone and with its left neighbour are the shorter grams, so one pass serves all
+    three sizes. The look-ahead takes linear time; substring() would restart at the front of the
+    text for each letter.
     """
-    return f"regexp_extract_all({padded}, '(?!  )(?=(.{{3}}))', 1)"
+    return f"regexp_extract_all(concat(' ', {words}, ' '), '(?=(.[^ ].))', 1)"
+
+
+def sizes_of(gram: str) -> list[str]:
+    return [f"substring({gram}, 2, 1)", f"left({gram}, 2)", gram]
 
 
 def train_profile(
@@ -71,17 +75,17 @@ def train_profile(
     languages rows.
     """
     spark = corpus.sparkSession
-    places = (
+    words = (
         corpus.where(F.col(language).isNotNull())
-        .selectExpr(f"{language} AS lang", f"{padded_words(text)} AS _padded")
-        .selectExpr("lang", f"explode({trigrams('_padded')}) AS gram")
+        .selectExpr(f"{language} AS lang", f"explode(split({words_only(text)}, ' ')) AS word")
+        .where("word <> ''")
     )
-    # Shorter grams are counted from the counts of the longest.
+    # Words repeat: they are counted first, and only distinct ones are taken apart.
     counts = (
-        places.groupBy("lang", "gram")
+        words.groupBy("lang", "word")
         .agg(F.expr("count(1) AS n"))
-        .selectExpr("lang", "explode(array(gram, left(gram, 2), left(gram, 1))) AS gram", "n")
-        .where("gram <> ' '")
+        .selectExpr("lang", f"explode({trigrams('word')}) AS gram", "n")
+        .selectExpr("lang", f"explode(array({', '.join(sizes_of('gram'))})) AS gram", "n")
         .groupBy("lang", "gram")
         .agg(F.expr("sum(n) AS n"))
         .persist()
@@ -136,12 +140,14 @@ def detect_language(
     ``keep`` names the columns to carry along and must include a key. A text's grams all sit in
     one partition, so they are summed before the shuffle, which moves one narrow row per text.
     """
-    places = df.selectExpr(*keep, f"{padded_words(text)} AS _padded").selectExpr(
-        *keep, f"explode_outer({trigrams('_padded')}) AS _gram"
+    places = df.selectExpr(*keep, f"{words_only(text)} AS _words").selectExpr(
+        *keep, f"explode_outer({trigrams('_words')}) AS _gram"
     )
     # Grams meet by 64-bit hash: a number is a far cheaper key than a string. With 25,600 grams
     # at most, one foreign gram in 10^14 would be taken for a known one.
-    hashed = places.selectExpr(*keep, *[f"xxhash64(left(_gram, {n})) AS _h{n}" for n in (1, 2, 3)])
+    hashed = places.selectExpr(
+        *keep, *[f"xxhash64({g}) AS _h{n}" for n, g in enumerate(sizes_of("_gram"), start=1)]
+    )
     for n in (1, 2, 3):
         side = profile.weights.selectExpr(f"xxhash64(gram) AS _h{n}", f"weights AS _weights{n}")
         hashed = hashed.join(F.broadcast(side), f"_h{n}", "left")

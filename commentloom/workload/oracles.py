@@ -118,24 +118,21 @@ def shown(prefix: str = "", replaced: dict[str, str] | None = None) -> str:
     return ", ".join(parts)
 
 
-def padded(text: str) -> str:
-    trimmed = f"trim(regexp_replace(lower(coalesce({text}, '')), '[^\\p{{L}}]+', ' ', 'g'))"
-    return f"CASE WHEN {trimmed} = '' THEN '' ELSE ' ' || {trimmed} || '  ' END"
-
-
 def grams(relation: str, key: str, text: str, name: str) -> str:
-    """Counts of the grams of one to three characters that start at each place."""
+    """Counts of the grams around each letter: alone, with its left, with both neighbours."""
+    words = f"trim(regexp_replace(lower(coalesce({text}, '')), '[^\\p{{L}}]+', ' ', 'g'))"
     return f"""
 {name}_chars AS (
-  SELECT {key}, regexp_extract_all({padded(text)}, '.') AS ch FROM {relation}),
+  SELECT {key}, regexp_extract_all(' ' || {words} || ' ', '.') AS ch FROM {relation}),
 {name}_places AS (
-  SELECT {key}, unnest([ch[i] || ch[i+1] || ch[i+2] for i in range(1, len(ch) - 1)]) AS g
+  SELECT {key},
+    unnest([ch[i-1] || ch[i] || ch[i+1] for i in range(2, len(ch)) if ch[i] <> ' ']) AS g
   FROM {name}_chars),
 {name}_longest AS (SELECT {key}, g, count(*) AS n FROM {name}_places GROUP BY ALL),
 {name} AS (
   SELECT {key}, gram, sum(n) AS n FROM (
-    SELECT {key}, unnest([g, g[1:2], g[1:1]]) AS gram, n FROM {name}_longest)
-  WHERE gram <> ' ' GROUP BY ALL)
+    SELECT {key}, unnest([g, g[1:2], g[2:2]]) AS gram, n FROM {name}_longest)
+  GROUP BY ALL)
 """
 
 
