@@ -129,14 +129,16 @@ def test_weekly_layout_prunes_folders(spark, tmp_path):
     assert "GreaterThanOrEqual(published_at" in plan.split("PushedFilters: [")[1]
 
 
-def test_clean_videos_is_one_native_stage(spark):
-    staged = Views(spark, SF).staging()
+def test_clean_videos_is_one_native_stage(spark, tmp_path):
+    Views(spark, SF).staging().write.parquet(str(tmp_path / "staging"))
+    staged = spark.read.parquet(str(tmp_path / "staging"))
     cleaned = clean_videos(tables.scan_staging(staged))
     assert [(f.name, f.dataType) for f in cleaned.schema.fields] == [
         (f.name, f.dataType) for f in CLEAN_VIDEOS.fields
     ]
     plan = plan_of(cleaned)
     assert "Python" not in plan and "Exchange" not in plan
+    assert "kind" not in plan.split("ReadSchema:")[1]
 
 
 def test_duration_beyond_int_is_null(spark):
