@@ -101,8 +101,8 @@ def publish_marts(marts: dict[str, DataFrame], root: str) -> dict[str, str]:
 def spread(df: DataFrame, *by: str) -> DataFrame:
     """Share out rows when the scan has fewer splits than there are cores.
 
-    Meant for small files ahead of costly expressions. A large table has more splits than cores
-    and passes unchanged, without a shuffle.
+    Meant for a plain scan of small files ahead of costly expressions. A large table has more
+    splits than cores and passes unchanged, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:

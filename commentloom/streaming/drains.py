@@ -58,6 +58,11 @@ def drain_comments(
     return _drain(stream, step, log, checkpoint)
 
 
+def batch_counts(spark: SparkSession, log: str) -> DataFrame:
+    """Rows written by each batch; the counts come from the file footers."""
+    return spark.read.parquet(log).groupBy(BATCH).agg(F.expr("count(1) AS rows_processed"))
+
+
 def current_enrichment(spark: SparkSession, log: str) -> DataFrame:
     """One row per comment id from the log: the newest comment, last written if equal."""
     order = [F.col("published_at").desc(), F.col(BATCH).desc()]
