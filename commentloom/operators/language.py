@@ -42,6 +42,10 @@ class LanguageProfile:
         languages = tuple(stored.select("languages").first()["languages"])
         if len(languages) > MAX_LANGUAGES:
             raise ValueError(f"a profile holds at most {MAX_LANGUAGES} languages")
+        # Detection broadcasts the profile, so a stored one has to prove its size too.
+        most = TOP_GRAMS * MAX_LANGUAGES
+        if stored.select("gram").limit(most + 1).count() > most:
+            raise ValueError(f"a profile holds at most {most} grams")
         return LanguageProfile(languages, stored.select("gram", "weights"))
 
 
@@ -74,6 +78,8 @@ def train_profile(
     Like any fitted model the result is small and lives on the driver: at most ``top`` x
     languages rows.
     """
+    if not 0 < top <= TOP_GRAMS:
+        raise ValueError(f"top is between 1 and {TOP_GRAMS}")
     spark = corpus.sparkSession
     words = (
         corpus.where(F.col(language).isNotNull())

@@ -244,6 +244,8 @@ def test_language_detection(spark, tmp_path):
     )
     profile = train_profile(corpus)
     assert profile.languages == ("de", "en")
+    with pytest.raises(ValueError):
+        train_profile(corpus, top=10**6)
     texts = spark.createDataFrame(
         [(1, "the house is there"), (2, "das haus und der hund"), (3, None), (4, ""),
          (5, "12 :-) 34"), (6, "日本"), (7, "the house is there")],
@@ -256,6 +258,14 @@ def test_language_detection(spark, tmp_path):
         assert got == {1: "en", 2: "de", 3: "unknown", 4: "unknown", 5: "unknown", 6: "unknown", 7: "en"}
 
 
+def test_oversized_stored_profile_is_refused(spark, tmp_path):
+    path = str(tmp_path / "big")
+    big = spark.range(400 * 64 + 1).selectExpr("cast(id AS string) AS gram", "array(-1L) AS weights")
+    LanguageProfile(("xx",), big).save(path)
+    with pytest.raises(ValueError):
+        LanguageProfile.load(spark, path)
+
+
 def test_language_accuracy_on_documents(spark):
     documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     found = detect_language(documents, train_profile(documents), "text", ["doc_id", "lang"])
