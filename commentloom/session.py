@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,23 +24,17 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor can read, as named by the session.
+    """Folder that every executor can read.
 
-    Only a local session without the setting gets a temporary folder; a cluster without one is
-    an error, since a machine-local folder dies with its machine.
+    The session names it in ``spark.checkpoint.dir``. Without that setting a folder below the
+    warehouse is taken: every session has one, and on a cluster it is shared storage.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(folder)
-        return folder.rstrip("/")
-    if spark.sparkContext.getCheckpointDir():
-        return spark.sparkContext.getCheckpointDir().rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="commentloom-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_commentloom"
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
