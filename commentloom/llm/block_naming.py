@@ -27,19 +27,24 @@ def lower_ascii(text: Column) -> Column:
 
 
 def exact_dedup(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, keep_id, group_size, kept and text_sha256 of every row.
+    """doc_id, keep_id, group_size, kept and text_sha256 of every row, and the columns to ``carry``.
 
     Texts are equal when they are identical after lower-casing A-Z. Of equal texts the row with
     the largest doc_id stays; a NULL doc_id is the smallest, and of rows that share text and
     doc_id one stays. NULL and empty texts are one and the same text. An empty table gives an
     empty result; other columns of the table are not looked at.
     """
-    texts = docs.select(F.col(doc_id).alias("doc_id"), lower_ascii(F.col(text)).alias("_text"))
+    texts = docs.select(*carry, F.col(doc_id).alias("doc_id"), lower_ascii(F.col(text)).alias("_text"))
     rows = stored(
         numbered(
             texts.select(
+                *carry,
                 "doc_id",
                 F.sha2("_text", 256).alias("text_sha256"),
                 F.transform(_starts(block_bytes), lambda i: F.xxhash64(_block(i, block_bytes))).alias("_hashes"),
@@ -48,12 +53,13 @@ def exact_dedup(
         "rows",
     )
     identities = _identities(rows, _name_blocks(texts, rows, block_bytes))
-    marked = rows.select("row_id", "doc_id", "text_sha256").join(identities, "row_id")
+    marked = rows.select(*carry, "row_id", "doc_id", "text_sha256").join(identities, "row_id")
     groups = marked.groupBy("_level", "_name").agg(
         F.max(F.struct("doc_id", (-F.col("row_id")).alias("_first"))).alias("_keep"),
         F.count(F.lit(1)).alias("group_size"),
     )
     return marked.join(groups, ["_level", "_name"]).select(
+        *carry,
         "doc_id",
         F.col("_keep.doc_id").alias("keep_id"),
         "group_size",

@@ -56,8 +56,9 @@ def near_duplicates(
     percent: int = 85,
     coordinates: int = COORDINATES,
     miss: float = MISS,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """row_id, doc_id, n_shingles, component_id and kept of every row.
+    """row_id, doc_id, n_shingles, component_id, kept and shown of every row, and columns to ``carry``.
 
     Two documents are linked when 100 * |A and B| >= percent * |A or B| on their shingle sets. A
     signature misses a pair right at the threshold with probability ``miss`` at most, at either of
@@ -65,18 +66,18 @@ def near_duplicates(
     links. Documents without words are linked with nothing, so each is its own component. NULL
     text counts as empty. A NULL doc_id is never the smallest unless the component has no other.
     ``kept`` marks doc_id = component_id (false for NULL); with repeated doc_ids it marks each of
-    these rows. An empty table gives an empty result, other columns are not looked at.
+    these rows; ``shown`` marks exactly one row of each component. An empty table gives an empty result, other columns are not looked at.
     """
     texts = docs.select(
-        F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("_text")
+        *carry, F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("_text")
     ).withColumn("_md5", F.unhex(F.md5("_text")))
-    rows = stored(numbered(_signed(texts, width, coordinates * ROWS)), "signatures")
+    rows = stored(numbered(_signed(texts, width, coordinates * ROWS, carry)), "signatures")
     classes = stored(_classes(rows), "classes")
     links = _links(texts, rows, classes, width, percent, coordinates, miss)
-    return _result(rows, classes, links)
+    return _result(rows, classes, links, carry)
 
 
-def _signed(texts: DataFrame, width: int, n_hashes: int) -> DataFrame:
+def _signed(texts: DataFrame, width: int, n_hashes: int, carry: tuple[str, ...]) -> DataFrame:
     """Per row: size and digest of its shingle set, and its base signature (32 bits each)."""
     factors = mixed(np.arange(1, n_hashes + 1, dtype=np.uint64)) | np.uint64(1)
     shifts = mixed(np.arange(1, n_hashes + 1, dtype=np.uint64) + np.uint64(1 << 32))
@@ -100,14 +101,14 @@ def _signed(texts: DataFrame, width: int, n_hashes: int) -> DataFrame:
                 second.append(int(mixed(found ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64).astype(np.int64)))
                 signatures.append(signature(found) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("_md5"), pa.array(sizes, pa.int64()),
+                [*[batch.column(c) for c in carry], batch.column("doc_id"), batch.column("_md5"), pa.array(sizes, pa.int64()),
                  pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(signatures, pa.binary())],
-                names=["doc_id", "_md5", "n_shingles", "_d1", "_d2", "_signature"],
+                names=[*carry, "doc_id", "_md5", "n_shingles", "_d1", "_d2", "_signature"],
             )
 
-    kind = texts.schema["doc_id"].dataType.simpleString()
+    kinds = "".join(f"`{c}` {texts.schema[c].dataType.simpleString()}, " for c in (*carry, "doc_id"))
     return texts.mapInArrow(
-        sign, f"doc_id {kind}, _md5 binary, n_shingles bigint, _d1 bigint, _d2 bigint, _signature binary"
+        sign, f"{kinds}_md5 binary, n_shingles bigint, _d1 bigint, _d2 bigint, _signature binary"
     )
 
 
@@ -116,7 +117,11 @@ def _classes(rows: DataFrame) -> DataFrame:
     sets = (
         rows.where("n_shingles > 0")
         .groupBy("n_shingles", "_d1", "_d2")
-        .agg(F.min("row_id").alias("cls"), F.min("doc_id").alias("_least"))
+        .agg(
+            F.min("row_id").alias("cls"),
+            # NULL ids come last.
+            F.min(F.struct(F.isnull("doc_id").alias("_none"), "doc_id", "row_id")).alias("_least"),
+        )
     )
     shown = rows.select(
         F.col("row_id").alias("cls"), F.col("doc_id").alias("_shown"), "_md5", "_signature"
@@ -386,20 +391,23 @@ def _apart(prefix: DataFrame, near: DataFrame, least: int) -> DataFrame:
     return left.join(right, "key").where("a > b AND _ca <> _cb").select("a", "b").distinct()
 
 
-def _result(rows: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+def _result(rows: DataFrame, classes: DataFrame, links: DataFrame, carry: tuple[str, ...]) -> DataFrame:
     components = connected_components(links)
     placed = classes.select("cls", "n_shingles", "_d1", "_d2", "_least").join(
         components.withColumnRenamed("node", "cls"), "cls", "left"
     ).withColumn("_comp", F.coalesce("component", "cls"))
-    named = placed.groupBy("_comp").agg(F.min("_least").alias("_name"))
-    sets = placed.join(named, "_comp").select("n_shingles", "_d1", "_d2", F.col("_name").alias("_id"), F.lit(True).alias("_in"))
+    named = placed.groupBy("_comp").agg(F.min("_least").alias("_first"))
+    sets = placed.join(named, "_comp").select("n_shingles", "_d1", "_d2", "_first")
+    alone = F.isnull("_first")
     return (
         rows.join(sets, ["n_shingles", "_d1", "_d2"], "left")
         .select(
+            *carry,
             "row_id",
             "doc_id",
             "n_shingles",
-            F.when(F.col("_in"), F.col("_id")).otherwise(F.col("doc_id")).alias("component_id"),
+            F.when(alone, F.col("doc_id")).otherwise(F.col("_first.doc_id")).alias("component_id"),
+            (alone | (F.col("row_id") == F.col("_first.row_id"))).alias("shown"),
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
     )

@@ -32,9 +32,9 @@ def running_total(
         .agg(F.sum("_amount").alias("_sum"))
         .withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
         .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                F.col(chunk).alias("_chunk"), "_before")
+                F.col(chunk).alias("_same_chunk"), "_before")
     )
-    same = F.col(chunk) == F.col("_chunk")
+    same = F.col(chunk) == F.col("_same_chunk")
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     inside = W.partitionBy(*keys, chunk).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from commentloom.llm import quality
 from commentloom.llm.block_naming import exact_dedup
 from commentloom.llm.minhash_join import near_duplicates
+from commentloom.llm.mixing import mixed
+from commentloom.llm.packing import pack_documents
 from commentloom.session import configure
 
 
@@ -13,12 +17,30 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_shortest_pack_first(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"))
+
+
+def op4_nb_support_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted"
+    )
+
+
 def op7_minhash_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents")).select(
         "doc_id", "n_shingles", "component_id", "kept"
     )
 
 
+def op9_low_discrepancy_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixed(table(spark, folder, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
 def op10_block_naming(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
@@ -26,13 +48,48 @@ def op10_block_naming(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_shortest_pack_first": op3_shortest_pack_first,
+    "op4_nb_support_vectors": op4_nb_support_vectors,
     "op7_minhash_join": op7_minhash_join,
+    "op9_low_discrepancy_mix": op9_low_discrepancy_mix,
     "op10_block_naming": op10_block_naming,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES = {
+    # Sources stop at three times their size: in the order of cap per weight the capped ones come
+    # first. A source's words are then taken from the front of its shuffled documents, in rounds.
+    "op9_low_discrepancy_mix": """
+        WITH d AS (
+          SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+            md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS o
+          FROM documents),
+        s AS (
+          SELECT source, CAST(sum(size) AS BIGINT) AS n,
+            row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r
+          FROM d GROUP BY source),
+        w AS (SELECT *, r % 3 + 1 AS weight, 3 * n AS cap FROM s),
+        c AS (
+          SELECT *, CAST(cap AS DOUBLE) / weight AS ratio,
+            CAST(sum(n) OVER () - coalesce(sum(cap) OVER (ORDER BY CAST(cap AS DOUBLE) / weight, r
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+              / CAST(sum(weight) OVER (ORDER BY CAST(cap AS DOUBLE) / weight, r
+              ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS share
+          FROM w),
+        t AS (
+          SELECT source, n, least(CAST(cap AS DOUBLE),
+            coalesce(max(CASE WHEN ratio > share THEN share END) OVER (), 0) * weight) AS target
+          FROM c),
+        x AS (
+          SELECT d.*, t.n, t.target, least(3 * t.n, CAST(floor(t.target + 0.5) AS BIGINT)) AS words,
+            CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY o, size, doc_id
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS f
+          FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, n AS source_size, target,
+          CAST(greatest(0, least(size, words - f)) + greatest(0, least(size, words - n - f))
+            + greatest(0, least(size, words - 2 * n - f)) AS BIGINT) AS taken
+        FROM x""",
     "op10_block_naming": f"""
         WITH texts AS (SELECT doc_id, {_LOWER} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id,
