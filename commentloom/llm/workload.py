@@ -6,10 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commentloom.llm import quality
+from commentloom.llm.attribution import section_tokens
 from commentloom.llm.block_naming import exact_dedup
+from commentloom.llm.html_text import extract_text
 from commentloom.llm.minhash_join import near_duplicates
 from commentloom.llm.mixing import mixed
 from commentloom.llm.packing import pack_documents
+from commentloom.llm.preference import format_preferences, swapped_replies
+from commentloom.llm.rp_forest import near_duplicate_vectors
+from commentloom.llm.url_rank import judge_urls
 from commentloom.session import configure
 
 
@@ -17,6 +22,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_rp_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, folder, "embeddings"))
+
+
+def op2_preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    found = format_preferences(*swapped_replies(table(spark, folder, "conversations")))
+    return found.select(
+        "pair_id", "prompt_turns",
+        *[F.md5(c).alias(f"{c}_md5") for c in ("prompt", "chosen", "rejected")],
+        *[F.length(c).cast("long").alias(f"{c}_chars") for c in ("prompt", "chosen", "rejected")],
+        *[
+            F.aggregate(f"{c}_mask", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias(f"{c}_learned")
+            for c in ("chosen", "rejected")
+        ],
+    )
+
+
 def op3_shortest_pack_first(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"))
 
@@ -29,12 +51,24 @@ def op4_nb_support_vectors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_link_graph(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(table(spark, folder, "pages"))
+
+
+def op6_offset_attribution(spark: SparkSession, folder: str) -> DataFrame:
+    return section_tokens(table(spark, folder, "documents"))
+
+
 def op7_minhash_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents")).select(
         "doc_id", "n_shingles", "component_id", "kept"
     )
 
 
+def op8_host_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(table(spark, folder, "pages"))
+
+
 def op9_low_discrepancy_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed(table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -48,16 +82,65 @@ def op10_block_naming(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_rp_forest": op1_rp_forest,
+    "op2_preference_pairs": op2_preference_pairs,
     "op3_shortest_pack_first": op3_shortest_pack_first,
     "op4_nb_support_vectors": op4_nb_support_vectors,
+    "op5_link_graph": op5_link_graph,
+    "op6_offset_attribution": op6_offset_attribution,
     "op7_minhash_join": op7_minhash_join,
+    "op8_host_suffixes": op8_host_suffixes,
     "op9_low_discrepancy_mix": op9_low_discrepancy_mix,
     "op10_block_naming": op10_block_naming,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# Turns of both sides in order, and the first place where they differ.
+_PAIRS = """
+    WITH replies AS (
+      SELECT conv_id, max({'turn': turn, 'text': text}) AS r FROM conversations
+      WHERE role = 'assistant' GROUP BY conv_id),
+    both_sides AS (
+      SELECT a.conv_id AS pair_id, a.r.turn AS last_turn, b.r.text AS other
+      FROM replies a JOIN replies b ON xor(a.conv_id, 1) = b.conv_id),
+    sides AS (
+      SELECT 'c' AS side, pair_id, turn, role, text FROM conversations JOIN both_sides ON conv_id = pair_id
+      UNION ALL
+      SELECT 'r', pair_id, turn, role, text FROM conversations JOIN both_sides ON conv_id = pair_id
+      WHERE turn < last_turn
+      UNION ALL
+      SELECT 'r', pair_id, last_turn, 'assistant', other FROM both_sides),
+    placed AS (
+      SELECT *, row_number() OVER (PARTITION BY side, pair_id ORDER BY turn, role, text) AS place FROM sides),
+    common AS (
+      SELECT coalesce(c.pair_id, r.pair_id) AS pair_id,
+        coalesce(min(CASE WHEN c.role = r.role AND c.text = r.text THEN NULL ELSE coalesce(c.place, r.place) END) - 1,
+          count(*)) AS prompt_turns
+      FROM (SELECT * FROM placed WHERE side = 'c') c
+      FULL JOIN (SELECT * FROM placed WHERE side = 'r') r ON c.pair_id = r.pair_id AND c.place = r.place
+      GROUP BY 1),
+    rendered AS (
+      SELECT p.pair_id, prompt_turns, side,
+        CASE WHEN place <= prompt_turns THEN 'p' ELSE side END AS part,
+        '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS piece,
+        CASE WHEN role = 'assistant' THEN length(text) + 8 ELSE 0 END AS learned, place
+      FROM placed p JOIN common c ON p.pair_id = c.pair_id),
+    texts AS (
+      SELECT pair_id, prompt_turns,
+        coalesce(string_agg(piece, '' ORDER BY place) FILTER (part = 'p' AND side = 'c'), '') AS prompt,
+        coalesce(string_agg(piece, '' ORDER BY place) FILTER (part = 'c'), '') AS chosen,
+        coalesce(string_agg(piece, '' ORDER BY place) FILTER (part = 'r'), '') AS rejected,
+        coalesce(sum(learned) FILTER (part = 'c'), 0) AS cl, coalesce(sum(learned) FILTER (part = 'r'), 0) AS rl
+      FROM rendered GROUP BY pair_id, prompt_turns)"""
+
 ORACLES = {
+    "op2_preference_pairs": _PAIRS + """
+        SELECT pair_id, CAST(prompt_turns AS BIGINT) AS prompt_turns, md5(prompt) AS prompt_md5,
+          md5(chosen) AS chosen_md5, md5(rejected) AS rejected_md5, length(prompt) AS prompt_chars,
+          length(chosen) AS chosen_chars, length(rejected) AS rejected_chars,
+          CAST(cl AS BIGINT) AS chosen_learned, CAST(rl AS BIGINT) AS rejected_learned
+        FROM texts""",
     # Sources stop at three times their size: in the order of cap per weight the capped ones come
     # first. A source's words are then taken from the front of its shuffled documents, in rounds.
     "op9_low_discrepancy_mix": """
