@@ -29,6 +29,8 @@ ROWS = 3
 MISS = 1e-5
 # Rows of (number, number, digest) that are sent to every task at most: about 40 MB.
 BROADCAST_ROWS = 400_000
+# Documents with this share of equal base values are neighbours, linked or not.
+NEAR_SHARE = 0.4
 # Lists longer than this are cut by a second coordinate before their members are paired.
 LONG_LIST = 128
 # Of a block of documents that are compared with one another.
@@ -139,9 +141,9 @@ def _links(texts, rows, classes, width, percent, coordinates, miss) -> DataFrame
     tried = links = None
     while True:
         found = None if links is None else stored(connected_components(links), "components")
-        pairs = _counted(_stars(prefix, found), classes, least_base, percent)
+        pairs = _counted(_stars(prefix, found), classes, least_base, percent, near=True)
         fresh = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        more = stored(_confirmed(fresh, texts, classes, width, percent), "links")
+        more = stored(_confirmed(fresh.where("enough").drop("enough"), texts, classes, width, percent), "links")
         tried = fresh if tried is None else tried.union(fresh)
         links = more if links is None else links.union(more)
         if more.isEmpty():
@@ -150,10 +152,9 @@ def _links(texts, rows, classes, width, percent, coordinates, miss) -> DataFrame
     # members of different components are compared, in blocks; between two, the pairs of lists.
     if found is None:
         found = connected_components(links)
-    near = stored(connected_components(tried), "components")
+    near = stored(connected_components(tried.select("a", "b")), "components")
     inside = stored(_within(near, found, texts, classes, width, percent), "links")
-    rest = _counted(_apart(prefix, near, least), classes, least_base, percent)
-    rest = stored(rest, "pairs")
+    rest = stored(_counted(_apart(prefix, near, least, percent), classes, least_base, percent), "pairs")
     across = stored(_confirmed(rest, texts, classes, width, percent), "links")
     forget(prefix)
     return links.union(inside).union(across)
@@ -215,15 +216,19 @@ def _similar_sizes(small: Column, large: Column, percent: int) -> Column:
     return (100 * small >= percent * large) & (100 * large >= percent * small)
 
 
-def _counted(pairs: DataFrame, classes: DataFrame, least_base: int, percent: int) -> DataFrame:
-    """Pairs whose base signatures agree in enough places and whose sizes allow the similarity."""
+def _counted(
+    pairs: DataFrame, classes: DataFrame, least_base: int, percent: int, near: bool = False
+) -> DataFrame:
+    """Pairs whose base signatures agree in enough places and whose sizes allow the similarity.
+
+    With ``near``, also those that come close to it, and whether they are ``enough``.
+    """
     side = classes.select("cls", "n_shingles", "_signature")
-    met = (
-        pairs.join(side.toDF("a", "_na", "_sa"), "a")
-        .join(side.toDF("b", "_nb", "_sb"), "b")
-        .where(_similar_sizes(F.col("_na"), F.col("_nb"), percent))
-        .select("a", "b", "_sa", "_sb")
-    )
+    met = pairs.join(side.toDF("a", "_na", "_sa"), "a").join(side.toDF("b", "_nb", "_sb"), "b")
+    allowed = _similar_sizes(F.col("_na"), F.col("_nb"), percent)
+    if not near:
+        met = met.where(allowed)
+    met = met.select("a", "b", "_sa", "_sb", allowed.alias("_allowed"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,10 +237,18 @@ def _counted(pairs: DataFrame, classes: DataFrame, least_base: int, percent: int
                     np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u4").reshape(batch.num_rows, -1)
                     for c in ("_sa", "_sb")
                 )
-                enough = (left == right).sum(axis=1) >= least_base
-                yield batch.select(["a", "b"]).filter(pa.array(enough))
+                same = (left == right).sum(axis=1)
+                enough = pa.array((same >= least_base) & batch.column("_allowed").to_numpy(zero_copy_only=False))
+                if near:
+                    close = pa.array(same >= NEAR_SHARE * left.shape[1])
+                    whole = pa.RecordBatch.from_arrays(
+                        [batch.column("a"), batch.column("b"), enough], names=["a", "b", "enough"]
+                    )
+                    yield whole.filter(close)
+                else:
+                    yield batch.select(["a", "b"]).filter(enough)
 
-    return met.mapInArrow(count, "a bigint, b bigint")
+    return met.mapInArrow(count, "a bigint, b bigint" + (", enough boolean" if near else ""))
 
 
 def _fetched(wanted: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
@@ -353,7 +366,7 @@ def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.n
     return common
 
 
-def _apart(prefix: DataFrame, near: DataFrame, least: int) -> DataFrame:
+def _apart(prefix: DataFrame, near: DataFrame, least: int, percent: int) -> DataFrame:
     """Pairs of one list that lie in different neighbourhoods.
 
     Members of a long list are posted again under pairs of values: sharing t values, two of them
@@ -388,7 +401,8 @@ def _apart(prefix: DataFrame, near: DataFrame, least: int) -> DataFrame:
     )
     left = members.toDF("key", "a", "_ca", "_na")
     right = members.toDF("key", "b", "_cb", "_nb")
-    return left.join(right, "key").where("a > b AND _ca <> _cb").select("a", "b").distinct()
+    sizes = _similar_sizes(F.col("_na"), F.col("_nb"), percent)
+    return left.join(right, "key").where(sizes & F.expr("a > b AND _ca <> _cb")).select("a", "b").distinct()
 
 
 def _result(rows: DataFrame, classes: DataFrame, links: DataFrame, carry: tuple[str, ...]) -> DataFrame:
