@@ -70,8 +70,8 @@ def topic_names(literal: str) -> str:
 
 
 def fill_count(count: str) -> str:
-    """Missing counts as 0, fractions cut off."""
-    return f"bigint(coalesce({count}, 0))"
+    """Missing counts and NaN as 0, fractions cut off."""
+    return f"CASE WHEN isnan(double({count})) THEN 0L ELSE bigint(coalesce({count}, 0)) END"
 
 
 def as_count(count: str) -> str:

@@ -1,8 +1,8 @@
-"""Language detection by character n-grams: a trained profile, one join, one small shuffle."""
+"""Language detection by character n-grams: a trained profile, looked up within each row."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,8 +17,7 @@ from commentloom.functions import quote
 
 UNKNOWN = "unknown"
 TOP_GRAMS = 400
-# A profile has at most 400 grams of each of 64 languages; that bound allows broadcasting it.
-MAX_LANGUAGES = 64
+SLICE_CHARS = 1_000_000
 
 PROFILE_SCHEMA = T.StructType(
     [T.StructField("gram", T.StringType()), T.StructField("weights", T.ArrayType(T.LongType()))]
@@ -40,12 +39,6 @@ class LanguageProfile:
     def load(spark: SparkSession, path: str) -> LanguageProfile:
         stored = spark.read.parquet(path)
         languages = tuple(stored.select("languages").first()["languages"])
-        if len(languages) > MAX_LANGUAGES:
-            raise ValueError(f"a profile holds at most {MAX_LANGUAGES} languages")
-        # Detection broadcasts the profile, so a stored one has to prove its size too.
-        most = TOP_GRAMS * MAX_LANGUAGES
-        if stored.select("gram").limit(most + 1).count() > most:
-            raise ValueError(f"a profile holds at most {most} grams")
         return LanguageProfile(languages, stored.select("gram", "weights"))
 
 
@@ -78,8 +71,8 @@ def train_profile(
     Like any fitted model the result is small and lives on the driver: at most ``top`` x
     languages rows.
     """
-    if not 0 < top <= TOP_GRAMS:
-        raise ValueError(f"top is between 1 and {TOP_GRAMS}")
+    if top < 1:
+        raise ValueError("top is 1 or more")
     spark = corpus.sparkSession
     words = (
         corpus.where(F.col(language).isNotNull())
@@ -97,12 +90,10 @@ def train_profile(
         .persist()
     )
     try:
-        found = counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()
+        found = counts.select("lang").distinct().collect()
         languages = tuple(sorted(row["lang"] for row in found))
         if not languages:
             raise ValueError("no labelled text with letters to train on")
-        if len(languages) > MAX_LANGUAGES:
-            raise ValueError(f"a profile holds at most {MAX_LANGUAGES} languages")
         frequent = W.partitionBy("lang").orderBy(F.col("n").desc(), F.col("gram"))
         vocabulary = (
             counts.withColumn("_rank", F.row_number().over(frequent))
@@ -115,7 +106,7 @@ def train_profile(
             for i, name in enumerate(languages)
         ]
         table = (
-            counts.join(F.broadcast(vocabulary), "gram", "left_semi")
+            counts.join(vocabulary, "gram", "left_semi")
             .groupBy("gram")
             .agg(*per_language)
             .toPandas()
@@ -143,30 +134,59 @@ def detect_language(
 ) -> DataFrame:
     """Most likely language of each text, or ``unknown`` without any known gram.
 
-    ``keep`` names the columns to carry along and must include a key. A text's grams all sit in
-    one partition, so they are summed before the shuffle, which moves one narrow row per text.
+    ``keep`` names the columns to carry along. The language is worked out within the row: the profile,
+    like any fitted model, is loaded by each task, and grams are looked up in it as numbers, with neither
+    a row per gram nor a shuffle. On a tie the language that sorts first wins.
     """
-    places = df.selectExpr(*keep, f"{words_only(text)} AS _words").selectExpr(
-        *keep, f"explode_outer({trigrams('_words')}) AS _gram"
-    )
-    # Grams meet by 64-bit hash: a number is a far cheaper key than a string. With 25,600 grams
-    # at most, one foreign gram in 10^14 would be taken for a known one.
-    hashed = places.selectExpr(
-        *keep, *[f"xxhash64({g}) AS _h{n}" for n, g in enumerate(sizes_of("_gram"), start=1)]
-    )
-    for n in (1, 2, 3):
-        side = profile.weights.selectExpr(f"xxhash64(gram) AS _h{n}", f"weights AS _weights{n}")
-        hashed = hashed.join(F.broadcast(side), f"_h{n}", "left")
-    places_of_language = range(len(profile.languages))
-    totals = [
-        F.expr("sum(" + " + ".join(f"coalesce(_weights{n}[{i}], 0)" for n in (1, 2, 3)) + f") AS _w{i}")
-        for i in places_of_language
-    ]
-    scored = hashed.groupBy(*keep).agg(*totals)
-    # Largest sum; on a tie the language that sorts first.
-    ranked = ", ".join(f"named_struct('w', _w{i}, 'i', {-i})" for i in places_of_language)
-    names = ", ".join(quote(name) for name in profile.languages)
+    found = profile.weights.toPandas()
+    grams = np.array([_gram_number(g) for g in found["gram"]], dtype=np.uint64)
+    order = np.argsort(grams)
+    weights = np.array(found["weights"].tolist(), dtype=np.float64).reshape(len(grams), -1)[order]
+    shared = df.sparkSession.sparkContext.broadcast((grams[order], weights, np.array([*profile.languages, UNKNOWN])))
+
+    def detect(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known, weight, names = shared.value
+        for batch in batches:
+            texts = batch.tolist()
+            places = []
+            # Slices of about a million characters bound the memory of a batch.
+            start, size = 0, 0
+            for end, one in enumerate(texts, 1):
+                size += len(one) + 1
+                if size > SLICE_CHARS or end == len(texts):
+                    places.append(_best(texts[start:end], known, weight))
+                    start, size = end, 0
+            yield pd.Series(names[np.concatenate(places)] if places else [], dtype=object)
+
+    # Python evaluates annotations lazily here; the UDF needs real types.
+    detect.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    udf = F.pandas_udf(detect, T.StringType())
+    return df.select(*keep, udf(F.expr(words_only(text))).alias(into))
+
+
+def _gram_number(gram: str) -> int:
+    """A gram of one to three characters as one number, 21 bits each."""
+    number = 0
+    for character in gram:
+        number = number << 21 | ord(character)
+    return number
+
+
+def _best(texts: list[str], known: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Place of the best language of each text; the place after the last means none."""
+    joined = " " + " ".join(texts) + " "
+    points = np.frombuffer(joined.encode("utf-32-le"), "<u4").astype(np.uint64)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    at = np.flatnonzero(points[1:-1] != 32) + 1
+    owner = np.searchsorted(ends, at - 1, side="right")
+    left, letter, right = points[at - 1], points[at], points[at + 1]
+    totals = np.zeros((len(texts), weights.shape[1]))
+    bits = np.uint64(21)
+    pair = left << bits | letter
+    for grams in (letter, pair, pair << bits | right) if len(known) else ():
+        place = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+        hit = known[place] == grams
+        for i in range(weights.shape[1]):
+            totals[:, i] += np.bincount(owner[hit], weights[place[hit], i], minlength=len(texts))
     # Every weight is below zero, so a sum of zero means that no gram was known.
-    best = f"""CASE WHEN _w0 < 0 THEN element_at(array({names}), 1 - array_max(array({ranked})).i)
-        ELSE {quote(UNKNOWN)} END AS {into}"""
-    return scored.selectExpr(*keep, best)
+    return np.where(totals[:, 0] < 0, totals.argmax(axis=1), weights.shape[1])

@@ -8,13 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from commentloom.session import shared_dir
+from commentloom.operators.running import running_total
 
 SAMPLE_PER_VIDEO = 50
 SALT_BUCKETS = 16
-# Beyond this many rows in a group, full ranking switches from one sort per group to a range sort.
-MAX_WINDOW_GROUP = 5_000_000
-MIN_RANGE_ROWS = 100_000
+# Width of the time slices that a full rank is put together from.
+SLICE_SECONDS = 3600
 
 
 def newest_first() -> list[Column]:
@@ -52,12 +51,17 @@ def top_k_per_group(
     return survivors.withColumn(rank, F.row_number().over(whole)).where(F.col(rank) <= k)
 
 
+def with_ties(df: DataFrame, first: Sequence[Column], keys: Sequence[str]) -> list[Column]:
+    """An order that the remaining columns make total, so that a retried task picks the same row."""
+    return [*first, *[F.col(f"`{c}`") for c in df.columns if c not in keys]]
+
+
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key, the first in the given order.
+    """One row per key, the first in the given order, ties broken by the other columns.
 
     Every map task passes on at most one row per key, so a key with many copies stays small.
     """
-    window = W.partitionBy(*keys).orderBy(*order)
+    window = W.partitionBy(*keys).orderBy(*with_ties(df, order, keys))
     return (
         df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") == 1).drop("_rank")
     )
@@ -74,53 +78,20 @@ def priority_sample(pending: DataFrame, k: int = SAMPLE_PER_VIDEO) -> DataFrame:
     )
 
 
-def priority_rank(pending: DataFrame, max_group: int = MAX_WINDOW_GROUP) -> DataFrame:
-    """Newest-first rank of every pending comment within its video."""
-    keyed = pending.select("comment_id", "video_id", "published_at")
-    sizes = keyed.groupBy("video_id").count().agg(
-        F.expr("coalesce(max(count), 0) AS largest"), F.expr("coalesce(sum(count), 0) AS total")
-    )
-    found = sizes.first()
-    if found["largest"] <= max_group:
-        window = W.partitionBy("video_id").orderBy(*newest_first())
-        return keyed.withColumn("rank", F.row_number().over(window).cast("bigint"))
-    ranges = -(-found["total"] // max(max_group, MIN_RANGE_ROWS))
-    return _range_rank(keyed, ["video_id"], newest_first(), ranges)
-
+def priority_rank(pending: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+    """Newest-first rank of every pending comment within its video.
 
-def _range_rank(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], ranges: int
-) -> DataFrame:
-    """Row number per group over a global range sort, so a group may span many partitions.
-
-    rank = rows of the group in earlier ranges + row number within the own range.
+    A video's comments are counted per time slice; the counts of newer slices plus the place within
+    the slice give the rank. No task holds more of a video than one slice of it.
     """
-    spark = df.sparkSession
-    shared_dir(spark)
-    ranges = max(ranges, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # The checkpoint turns the range number into stored data: both uses below see the same one,
-    # also after a lost executor.
-    ranged = (
-        df.repartitionByRange(ranges, *[F.col(k).asc() for k in keys], *order)
-        .withColumn("_range", F.spark_partition_id())
-        .checkpoint()
-    )
-    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(*keys, "_range")
-        .count()
-        .withColumn("_before", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
-        .select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_range").alias("_r"), "_before")
-    )
-    local = W.partitionBy(*keys, "_range").orderBy(*order)
-    same = F.col("_range") == F.col("_r")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return (
-        ranged.withColumn("_local", F.row_number().over(local))
-        .join(offsets, same)
-        .select(*df.columns, (F.col("_before") + F.col("_local")).alias("rank"))
+    keyed = pending.select("comment_id", "video_id", "published_at")
+    # Slices rise from new to old; comments without a time come last.
+    seconds = F.unix_seconds(F.col("published_at").cast("timestamp"))
+    old = F.coalesce(-F.floor(seconds / slice_seconds), F.lit(2**62))
+    ahead = running_total(
+        keyed.withColumn("_slice", old), ["video_id"], "_slice", newest_first(), F.lit(1), "_ahead"
     )
+    return ahead.select(*keyed.columns, (F.col("_ahead") + 1).alias("rank"))
 
 
 def enrichment_phase(

@@ -11,17 +11,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commentloom.functions import quote
+from commentloom.functions.categories import CATEGORY_RULES
 from commentloom.schemas import SCORES
 
+# The praise and complaint keywords of the category rules, and some words of its own.
 POSITIVE_TERMS = (
-    "good", "great", "love", "best", "happy", "nice", "perfect", "amazing", "excellent",
-    "beautiful", "wonderful", "favorite", "enjoy", "thank", "glow", "smooth", "soft", "obsessed",
-    "gentle", "worthwhile",
+    *CATEGORY_RULES["Product Praise"],
+    "good", "best", "happy", "nice", "excellent", "beautiful", "wonderful", "enjoy", "thank", "gentle",
 )
 NEGATIVE_TERMS = (
-    "bad", "worst", "hate", "awful", "terrible", "broke out", "irritat", "burn", "rash", "sting",
-    "waste", "disappoint", "fake", "scam", "worthless", "ugly", "poor", "refund", "greasy",
-    "stupid",
+    *CATEGORY_RULES["Negative Experience"],
+    "bad", "hate", "awful", "terrible", "ugly", "poor", "greasy", "stupid",
 )
 
 BATCH_SIZE = 32
@@ -66,8 +66,8 @@ Model = Callable[[list[str]], list[list[dict]]]
 class ModelScorer:
     """A caller's model, loaded once per Python worker and fed small batches.
 
-    ``load`` returns a function from a list of texts to a list of [{label, score}, ...].
-    With ``on_error='skip'`` a failing batch gives no scores, so its rows get the defaults; by
+    ``load`` returns a function from a list of texts to a list of [{label, score}, ...], one per
+    text; another number of results is an error like any other. With ``on_error='skip'`` a failing batch gives no scores, so its rows get the defaults; by
     default the task fails and Spark runs it again.
     """
 
@@ -93,6 +93,8 @@ class ModelScorer:
                     part = wanted.iloc[start : start + size]
                     try:
                         results = model(part.tolist())
+                        if len(results) != len(part):
+                            raise ValueError(f"model gave {len(results)} results for {len(part)} texts")
                     except Exception:
                         if not skip:
                             raise

@@ -308,6 +308,26 @@ ORACLES: dict[str, str] = {
     "comment_category": CATEGORY,
     "rules_compiled": CATEGORY,
     "rules_join": CATEGORY,
+    # A text has a rule of n letters exactly if one of the documents' words is inside it; each run of letters
+    # is cut into its substrings and looked up.
+    "rules_join_many": f"""WITH {RAW},
+        rules AS (SELECT DISTINCT w, length(w) AS n FROM (
+          SELECT unnest(regexp_extract_all(lower(text), '[a-z]{{5,}}')) AS w FROM documents)),
+        runs AS (SELECT DISTINCT run FROM (
+          SELECT unnest(regexp_extract_all(lower(coalesce(text_original, '')), '[a-z]{{5,}}')) AS run FROM comments)),
+        parts AS (SELECT run, unnest(flatten([[run[i:i + n - 1] for i in range(1, length(run) - n + 2)]
+          for n in range(5, length(run) + 1)])) AS part FROM runs),
+        best AS (SELECT run, min(n) AS n FROM parts JOIN rules ON part = w GROUP BY run),
+        met AS (SELECT comment_id, published_at, min(n) AS n FROM (
+            SELECT comment_id, published_at,
+              unnest(regexp_extract_all(lower(coalesce(text_original, '')), '[a-z]{{5,}}')) AS run FROM comments)
+          JOIN best USING (run) GROUP BY ALL),
+        named AS (SELECT c.comment_id, c.published_at, CASE WHEN n IS NOT NULL THEN 'length ' || n
+            WHEN contains(lower(coalesce(text_original, '')), 'e') THEN 'one letter'
+            ELSE '{FALLBACK_CATEGORY}' END AS category
+          FROM comments c LEFT JOIN met m ON c.comment_id = m.comment_id AND c.published_at = m.published_at)
+        SELECT comment_id, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at, category,
+          {confidence('category')} AS category_confidence FROM named""",
     "sentiment_scores": f"""{SCORED} SELECT {KEYS},
         coalesce(round(pos, 6)) AS sentiment_score_positive,
         round(neg, 6) AS sentiment_score_negative, round(neu, 6) AS sentiment_score_neutral
@@ -323,7 +343,18 @@ ORACLES: dict[str, str] = {
           AS sentiment_score_neutral
         FROM enriched_rows""",
     "parallel_lengths": f"""WITH {RAW} SELECT {KEYS},
-        coalesce(length(text_original), 0)::INTEGER AS code_points FROM comments""",
+        coalesce(length(text_original), 0)::INTEGER AS code_points,
+        coalesce(length(nfc_normalize(text_original)), 0)::INTEGER AS composed_code_points
+        FROM comments""",
+    "scorer_failures": f"""WITH {ROWS}, f AS (
+          SELECT *, sentiment <> 'N/A' AND NOT contains(text_original, 'blend') AS ok FROM enriched_rows)
+        SELECT {KEYS}, CASE WHEN ok THEN sentiment ELSE 'N/A' END AS sentiment,
+          CASE WHEN ok THEN round(sentiment_score_positive, 6) ELSE 0 END AS sentiment_score_positive,
+          CASE WHEN ok THEN round(sentiment_score_negative, 6) ELSE 0 END AS sentiment_score_negative,
+          CASE WHEN ok THEN round(sentiment_score_neutral, 6) ELSE 0 END AS sentiment_score_neutral,
+          CASE WHEN ok THEN category ELSE 'Skipped' END AS category,
+          CASE WHEN ok THEN quality_score ELSE 1 END AS quality_score
+        FROM f""",
     "comments_enriched": ENRICHED,
     "triage_score_merge": f"WITH {ROWS} SELECT {KEYS}, {shown()} FROM newest",
     "language_id": f"""WITH {detect('documents', 'doc_id', 'text')}
@@ -369,7 +400,7 @@ ORACLES: dict[str, str] = {
         FROM t""",
     "filled_counts": f"""WITH {STAGING} SELECT video_id,
         trunc(coalesce(view_count, 0))::BIGINT AS view_count,
-        trunc(coalesce(like_count, 0))::BIGINT AS like_count,
+        CASE WHEN like_count % 7 = 0 THEN 0 ELSE trunc(coalesce(like_count, 0)) END::BIGINT AS like_count,
         trunc(coalesce(favourite_count, 0))::BIGINT AS favourite_count,
         trunc(coalesce(comment_count, 0))::BIGINT AS comment_count FROM staging""",
     "apply_enrichment": f"""WITH {ROWS}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commentloom.functions.categories import (
+    CATEGORY_RULES,
     confidence_of,
     keyword_category,
     rules_table,
@@ -91,13 +92,27 @@ def comment_category(v: Views) -> DataFrame:
 
 @query
 def rules_compiled(v: Views) -> DataFrame:
-    return stamp(match_rules(v.comments(), rules_table(v.spark), list(KEY)))
+    return stamp(match_rules(v.comments(), CATEGORY_RULES, list(KEY)))
 
 
 @query
 def rules_join(v: Views) -> DataFrame:
-    """The way for rule tables of any size, forced."""
-    return stamp(match_rules(v.comments(), rules_table(v.spark), list(KEY), max_compiled=0))
+    """Rules as a table."""
+    return stamp(match_rules(v.comments(), rules_table(v.spark), list(KEY)))
+
+
+@query
+def rules_join_many(v: Views) -> DataFrame:
+    """Every distinct word of the documents as a rule, the fewest letters first, and one letter as the last.
+
+    Each rule is a category of its own by its length.
+    """
+    words = v.documents().select(F.explode(F.expr("regexp_extract_all(lower(text), '[a-z]{5,}', 0)")).alias("keyword"))
+    rules = words.distinct().selectExpr(
+        "length(keyword) AS priority", "concat('length ', length(keyword)) AS category", "keyword"
+    )
+    one = v.spark.sql("SELECT 1000 AS priority, 'one letter' AS category, 'e' AS keyword")
+    return stamp(match_rules(v.comments(), rules.union(one), list(KEY)))
 
 
 @query
@@ -144,17 +159,44 @@ def model_scores(v: Views) -> DataFrame:
     return show_enriched(rows.select(*KEY, "sentiment", *SCORE_COLUMNS))
 
 
+def _failing_model():
+    """The stand-in model, which breaks down on texts that speak of blending."""
+    load_lexicon = _lexicon_model()
+
+    def load():
+        score = load_lexicon()
+
+        def fragile(texts):
+            if any("blend" in t for t in texts):
+                raise RuntimeError("cannot score this batch")
+            return score(texts)
+
+        return fragile
+
+    return load
+
+
+@query
+def scorer_failures(v: Views) -> DataFrame:
+    """Rows of failing batches get the defaults; a batch is one text here, so which rows is known."""
+    scorer = ModelScorer(_failing_model(), batch_size=1, on_error="skip")
+    rows = merging.with_skip_defaults(enrich_rows(v.comments(), scorer).drop("text_original"))
+    return show_enriched(rows.select(*KEY, "sentiment", *SCORE_COLUMNS, "category", "quality_score"))
+
+
 @query
 def parallel_lengths(v: Views) -> DataFrame:
-    """A Python function over Arrow batches, each row with its own id."""
+    """A Python function over Arrow batches, each row with its own id: lengths in composed form."""
 
     def measure(batches):
         for batch in batches:
             out = batch[["comment_id", "published_at"]].copy()
-            out["code_points"] = batch["text_original"].fillna("").str.len().astype("int32")
+            texts = batch["text_original"].fillna("")
+            out["code_points"] = texts.str.len().astype("int32")
+            out["composed_code_points"] = texts.str.normalize("NFC").str.len().astype("int32")
             yield out
 
-    schema = "comment_id long, published_at timestamp, code_points int"
+    schema = "comment_id long, published_at timestamp, code_points int, composed_code_points int"
     texts = v.comments().select(*KEY, "text_original")
     return stamp(parallel_map(texts, measure, schema))
 
@@ -221,8 +263,8 @@ def priority_rank(v: Views) -> DataFrame:
 
 @query
 def priority_rank_ranges(v: Views) -> DataFrame:
-    """The way for groups too large for one task, forced."""
-    return stamp(ranking.priority_rank(v.comment_keys(), max_group=0))
+    """The same from narrow time slices."""
+    return stamp(ranking.priority_rank(v.comment_keys(), slice_seconds=60))
 
 
 @query
@@ -298,7 +340,11 @@ def video_topics(v: Views) -> DataFrame:
 
 @query
 def filled_counts(v: Views) -> DataFrame:
-    return v.staging().selectExpr("video_id", *[f"{fill_count(c)} AS {c}" for c in COUNTS])
+    """Counts with NULL and NaN among them."""
+    counts = v.staging().withColumn(
+        "like_count", F.expr("if(like_count % 7 = 0, double('NaN'), like_count)")
+    )
+    return counts.selectExpr("video_id", *[f"{fill_count(c)} AS {c}" for c in COUNTS])
 
 
 # --- updates ----------------------------------------------------------------------------------

@@ -200,5 +200,6 @@ def test_spread_scores(spark):
 
 def test_fill_and_cast_counts(spark):
     assert column(spark, videos.fill_count, [None, 2.9, 3.0], "double") == [0, 2, 3]
+    assert column(spark, videos.fill_count, [float("nan"), -1.5], "double") == [0, -1]
     assert column(spark, videos.as_count, [None, float("nan"), 3.0], "double") == [None, None, 3.0]
     assert sys.float_info.max in column(spark, videos.as_count, [sys.float_info.max], "double")

@@ -6,7 +6,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from commentloom.functions.categories import rules_table
+from commentloom.functions.categories import confidence_of, first_match, rules_table
 from commentloom.operators import merging, profiling, ranking
 from commentloom.operators.language import LanguageProfile, detect_language, train_profile
 from commentloom.operators.rules import match_rules
@@ -55,16 +55,24 @@ def test_priority_sample(pending):
     assert ranks(sample) == want
 
 
-@pytest.mark.parametrize("max_group", [10**6, 0])
-def test_priority_rank(pending, max_group):
-    ranked = ranking.priority_rank(pending, max_group)
+@pytest.mark.parametrize("slice_seconds", [60, 3600, 10**9])
+def test_priority_rank(pending, slice_seconds):
+    ranked = ranking.priority_rank(pending, slice_seconds)
     assert ranked.count() == pending.count()
     assert ranks(ranked) == expected_ranks(pending)
 
 
-def test_range_rank_splits_a_hot_group(spark, pending):
-    ranked = ranking._range_rank(pending, ["video_id"], ranking.newest_first(), 40)
-    assert ranks(ranked) == expected_ranks(pending)
+def test_rank_puts_missing_times_last(spark):
+    rows = [(1, "v", START), (2, "v", None), (3, "v", START), (4, "v", None)]
+    df = spark.createDataFrame(rows, "comment_id long, video_id string, published_at timestamp")
+    assert ranks(ranking.priority_rank(df)) == {3: 1, 1: 2, 4: 3, 2: 4}
+
+
+def test_equal_times_are_settled_by_the_other_columns(spark):
+    df = spark.createDataFrame([(1, START, "b"), (1, START, "a"), (1, START, "c")], "k int, t timestamp, v string")
+    for parts in (1, 3):
+        latest = ranking.dedupe_latest(df.repartition(parts), ["k"], [F.col("t").desc()])
+        assert latest.first()["v"] == "a"
 
 
 def test_enrichment_phase(pending):
@@ -137,8 +145,12 @@ def test_rules_agree_on_both_ways(spark):
         "priority int, category string, keyword string",
     )
     rules = rules_table(spark).unionByName(extra)
-    a = match_rules(df, rules, ["comment_id"])
-    b = match_rules(df, rules, ["comment_id"], max_compiled=0)
+    ordered = [(r["priority"], r["category"], r["keyword"]) for r in rules.collect()]
+    compiled = [(name, [k]) for _, name, k in sorted(ordered)]
+    lowered = df.selectExpr("comment_id", "lower(coalesce(text_original, '')) AS t")
+    category = lowered.selectExpr("comment_id", f"{first_match('t', compiled)} AS category")
+    a = category.selectExpr("*", f"{confidence_of('category')} AS category_confidence")
+    b = match_rules(df, rules, ["comment_id"])
     first = {r["comment_id"]: (r["category"], r["category_confidence"]) for r in a.collect()}
     second = {r["comment_id"]: (r["category"], r["category_confidence"]) for r in b.collect()}
     assert first == second
@@ -147,6 +159,23 @@ def test_rules_agree_on_both_ways(spark):
     assert "CartesianProduct" not in plan_of(b) and "BroadcastNestedLoop" not in plan_of(b)
 
 
+def test_a_short_keyword_leaves_the_anchors_of_others_alone(spark):
+    texts = spark.createDataFrame([(i, f"word{i} " * 50) for i in range(40)], "comment_id long, text_original string")
+    many = spark.createDataFrame([(1, f"c{i}", f"word{i} ") for i in range(2000)], "priority int, category string, keyword string")
+    extra = spark.createDataFrame([(0, "one", "7"), (0, "none", "")], "priority int, category string, keyword string")
+    matched = match_rules(texts, many.union(extra), ["comment_id"])
+    got = {r["comment_id"]: r["category"] for r in matched.collect()}
+    assert got == {i: "one" if "7" in str(i) else f"c{i}" for i in range(40)}
+    plan = plan_of(matched)
+    # Anchors meet as hashes: no text in that shuffle.
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+
+
+def test_a_mapping_compiles_and_joins_nothing(comments):
+    plan = plan_of(match_rules(comments, {"X": ("boom",)}, ["comment_id"]))
+    assert "Join" not in plan and "Exchange" not in plan
+
+
 def test_lexicon_scores_sum_to_one(spark):
     df = spark.createDataFrame(
         [("Great, GREAT and bad",), ("plain",), ("",), (None,)], "text_original string"
@@ -205,6 +234,16 @@ def test_model_scorer_fails_by_default(spark, comments):
         ModelScorer(loud_model(), on_error="ignore")
 
 
+def test_too_few_results_are_an_error(comments):
+    def load():
+        return lambda texts: [[{"label": "POSITIVE", "score": 1.0}] for _ in texts[1:]]
+
+    with pytest.raises(Exception, match="results for"):
+        enrich_comments(comments, scorer=ModelScorer(load)).collect()
+    skipped = enrich_comments(comments, scorer=ModelScorer(load, on_error="skip")).collect()
+    assert {r["sentiment"] for r in skipped} == {"N/A"}
+
+
 def test_enrichment_is_one_row_per_id_of_the_newest_comment(comments):
     enriched = enrich_comments(comments)
     assert enriched.columns == ["comment_id", "published_at", *ENRICHMENT.fieldNames()]
@@ -245,7 +284,8 @@ def test_language_detection(spark, tmp_path):
     profile = train_profile(corpus)
     assert profile.languages == ("de", "en")
     with pytest.raises(ValueError):
-        train_profile(corpus, top=10**6)
+        train_profile(corpus, top=0)
+    assert train_profile(corpus, top=10**6).languages == ("de", "en")
     texts = spark.createDataFrame(
         [(1, "the house is there"), (2, "das haus und der hund"), (3, None), (4, ""),
          (5, "12 :-) 34"), (6, "日本"), (7, "the house is there")],
@@ -258,12 +298,21 @@ def test_language_detection(spark, tmp_path):
         assert got == {1: "en", 2: "de", 3: "unknown", 4: "unknown", 5: "unknown", 6: "unknown", 7: "en"}
 
 
-def test_oversized_stored_profile_is_refused(spark, tmp_path):
-    path = str(tmp_path / "big")
-    big = spark.range(400 * 64 + 1).selectExpr("cast(id AS string) AS gram", "array(-1L) AS weights")
-    LanguageProfile(("xx",), big).save(path)
-    with pytest.raises(ValueError):
-        LanguageProfile.load(spark, path)
+def test_any_number_of_languages(spark):
+    corpus = spark.createDataFrame([(chr(0x4E00 + i) * 9, f"l{i:03d}") for i in range(80)], "text string, lang string")
+    profile = train_profile(corpus)
+    assert len(profile.languages) == 80
+    found = detect_language(corpus, profile, "text", ["lang"])
+    assert all(r["lang"] == r["language"] for r in found.collect())
+
+
+def test_detection_stays_within_the_row(spark, monkeypatch):
+    corpus = spark.createDataFrame([(f"word{i} text " * 5, "en") for i in range(50)], "text string, lang string")
+    profile = train_profile(corpus)
+    plan = plan_of(detect_language(corpus, profile, "text", ["lang"]))
+    assert not any(n in plan for n in ("Exchange", "Generate", "Join"))
+    monkeypatch.setattr("commentloom.operators.language.SLICE_CHARS", 100)
+    assert detect_language(corpus, profile, "text", ["lang"]).where("language = 'en'").count() == 50
 
 
 def test_language_accuracy_on_documents(spark):
