@@ -76,6 +76,15 @@ ENRICHMENT = T.StructType(
     ]
 )
 
+# What an enrichment run gives: the key and the enrichment.
+ENRICHED = T.StructType(
+    [
+        T.StructField("comment_id", T.LongType()),
+        T.StructField("published_at", T.TimestampType()),
+        *ENRICHMENT.fields,
+    ]
+)
+
 COMMENTS = T.StructType(RAW_COMMENTS.fields + ENRICHMENT.fields)
 
 SCORES = T.ArrayType(

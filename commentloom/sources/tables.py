@@ -30,6 +30,14 @@ def declare_tables(spark: SparkSession, database: str = "default", location: str
         )
 
 
+def insert_into(df: DataFrame, table: str) -> None:
+    """Add rows to a declared table, columns by name; a weekly table gets its week from published_at."""
+    columns = df.sparkSession.table(table).columns
+    if WEEK in columns and WEEK not in df.columns:
+        df = df.withColumn(WEEK, week_of(F.col("published_at")))
+    df.select(*columns).write.insertInto(table)
+
+
 def evolve_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Add the columns that are missing, as NULL; those present stay, so doing it twice is safe."""
     missing = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in df.columns}
@@ -96,15 +104,3 @@ def publish_marts(marts: dict[str, DataFrame], root: str) -> dict[str, str]:
         else:
             mart.write.mode("overwrite").parquet(path)
     return paths
-
-
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Share out rows when the scan has fewer splits than there are cores.
-
-    Meant for a plain scan of small files ahead of costly expressions. A large table has more
-    splits than cores and passes unchanged, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *by)

@@ -1,0 +1,107 @@
+"""Stored tables that change by one step: new folders first, then one pointer that names the current ones.
+
+A table is a set of folders, one for the whole table or one per week. A change writes new folders
+beside the old ones and then swaps the manifest, a small file that lists the current folders of all
+tables. Readers see the state before or after, never a mixture, and a table can be rewritten from what is read
+from it. Only the weeks that a change touches are written.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from commentloom.sources.tables import WEEK, write_time_partitioned
+
+MANIFEST = "_current"
+WHOLE = ""
+
+
+class VersionedTables:
+    """Tables below one root folder that are published together."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def _path(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _manifest(self) -> dict[str, dict[str, str]]:
+        """Folder of each part of each table, and the schema; one line per week, never per row."""
+        path, files = self._path(MANIFEST)
+        if not files.exists(path):
+            return {}
+        newest = max((s.getPath().toString() for s in files.listStatus(path)), default=None)
+        lines = self.spark.read.option("wholetext", "true").text(newest).first() if newest else None
+        return json.loads(lines[0]) if lines else {}
+
+    def has(self, table: str) -> bool:
+        return table in self._manifest()
+
+    def read(self, table: str) -> DataFrame:
+        """The current state; later changes do not touch the files that this reads."""
+        from pyspark.sql import types as T
+
+        entry = self._manifest()[table]
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        parts = entry["parts"]
+        folders = sorted(set(parts.values()))
+        if list(parts) == [WHOLE]:
+            return self.spark.read.schema(schema).parquet(*folders)
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(
+            *[f"{folder}/{WEEK}={week}" for week, folder in sorted(parts.items())]
+        )
+
+    def publish(self, whole: dict[str, DataFrame] | None = None, weekly: dict[str, DataFrame] | None = None) -> None:
+        """Replace whole tables, and the weeks that the weekly tables' rows fall in, in one step.
+
+        A weekly table has a column published_at; rows without it fall in a part of their own. The
+        caller gives all rows of a week that it touches. One writer at a time: if another change was published meanwhile,
+        the swap fails and nothing is changed.
+        """
+        before = self._manifest()
+        after = {name: dict(entry) for name, entry in before.items()}
+        for name, df in (whole or {}).items():
+            folder = f"{self.root}/{name}/{uuid.uuid4().hex}"
+            df.write.parquet(folder)
+            after[name] = {"schema": df.schema.json(), "parts": {WHOLE: folder}}
+        for name, df in (weekly or {}).items():
+            folder = f"{self.root}/{name}/{uuid.uuid4().hex}"
+            write_time_partitioned(df, folder)
+            written, files = self._path(folder.removeprefix(f"{self.root}/"))
+            weeks = [
+                s.getPath().getName().removeprefix(f"{WEEK}=") for s in files.listStatus(written) if s.isDirectory()
+            ]
+            parts = dict(before.get(name, {}).get("parts", {}))
+            parts.update({week: folder for week in weeks if not week.startswith("_")})
+            after[name] = {"schema": df.schema.json(), "parts": parts}
+        self._swap(before, after)
+
+    def _swap(self, before: dict, after: dict) -> None:
+        folder, files = self._path(MANIFEST)
+        number = len(files.listStatus(folder)) if files.exists(folder) else 0
+        if self._manifest() != before:
+            raise RuntimeError("another change was published meanwhile")
+        target, _ = self._path(f"{MANIFEST}/{number:012d}.json")
+        draft, _ = self._path(f"_draft-{uuid.uuid4().hex}")
+        out = files.create(draft, False)
+        out.write(bytearray(json.dumps(after).encode()))
+        out.close()
+        files.mkdirs(folder)
+        # The rename is the commit: it succeeds for one writer only.
+        if files.exists(target) or not files.rename(draft, target):
+            raise RuntimeError("another change was published meanwhile")
+
+
+def touched_weeks(table: DataFrame, changed: DataFrame) -> DataFrame:
+    """All rows of the weeks in which ``changed`` (published_at) has rows."""
+    week = F.date_trunc("week", F.col("published_at"))
+    weeks = changed.select(week.alias("_week")).distinct()
+    return table.join(weeks, week.eqNullSafe(F.col("_week")), "left_semi")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from commentloom.operators.language import LanguageProfile
@@ -14,9 +17,11 @@ from commentloom.operators.ranking import dedupe_latest
 from commentloom.operators.scoring import Scorer
 from commentloom.plans.comments import enrich_comments
 from commentloom.plans.videos import clean_videos
-from commentloom.sources.tables import spread
+from commentloom.schemas import CLEAN_VIDEOS, ENRICHED
+from commentloom.sources.versions import VersionedTables
 
 BATCH = "batch_id"
+RUN = "run"
 
 
 def read_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None):
@@ -26,14 +31,35 @@ def read_stream(spark: SparkSession, path: str, schema, files_per_batch: int | N
     return reader.parquet(path)
 
 
-def _drain(stream: DataFrame, step, log: str, checkpoint: str) -> StreamingQuery:
-    """Append each micro-batch's result to a log, one folder per batch.
+def run_name(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the run that a checkpoint belongs to: start time and a random part.
 
-    A replayed batch overwrites its own folder, so a restart leaves no duplicates.
+    It is kept in the checkpoint, so a restart goes on with the same run and a new checkpoint, also at an old
+    place, begins another. Names sort by start time.
     """
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/{RUN}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(path):
+        return spark.read.text(path.toString()).first()[0]
+    name = f"{time.time_ns() // 1_000_000:015d}-{uuid.uuid4().hex}"
+    out = files.create(path, False)
+    out.write(bytearray(name.encode()))
+    out.close()
+    return name
+
+
+def _drain(stream: DataFrame, step, log: str, checkpoint: str, partitions: int | None) -> StreamingQuery:
+    """Append each micro-batch's result to a log, one folder per run and batch.
+
+    A replayed batch overwrites its own folder, so a restart leaves no duplicates, and another
+    run has other folders. ``partitions`` deals out a batch whose files are fewer than the cores.
+    """
+    run = run_name(stream.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        step(batch).write.mode("overwrite").parquet(f"{log}/{BATCH}={batch_id}")
+        dealt = batch.repartition(partitions) if partitions else batch
+        step(dealt).write.mode("overwrite").parquet(f"{log}/{RUN}={run}/{BATCH}={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -49,27 +75,41 @@ def drain_comments(
     checkpoint: str,
     profile: LanguageProfile | None = None,
     scorer: Scorer | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Enrich comments as they arrive."""
+    return _drain(stream, lambda batch: enrich_comments(batch, profile, scorer), log, checkpoint, partitions)
+
+
+def read_log(spark: SparkSession, log: str, schema: T.StructType) -> DataFrame:
+    """Everything drained so far, with run and batch; an empty table if there was no batch yet."""
+    whole = T.StructType(
+        [*schema.fields, T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())]
+    )
+    path = spark._jvm.org.apache.hadoop.fs.Path(log)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], whole)
+    return spark.read.schema(whole).parquet(log)
 
-    def step(batch: DataFrame) -> DataFrame:
-        return enrich_comments(spread(batch, "comment_id", "published_at"), profile, scorer)
 
-    return _drain(stream, step, log, checkpoint)
+def newest_written() -> list[Column]:
+    return [F.col(RUN).desc(), F.col(BATCH).desc()]
 
 
 def batch_counts(spark: SparkSession, log: str) -> DataFrame:
     """Rows written by each batch; the counts come from the file footers."""
-    return spark.read.parquet(log).groupBy(BATCH).agg(F.expr("count(1) AS rows_processed"))
+    return read_log(spark, log, T.StructType()).groupBy(RUN, BATCH).agg(F.expr("count(1) AS rows_processed"))
 
 
 def current_enrichment(spark: SparkSession, log: str) -> DataFrame:
     """One row per comment id from the log: the newest comment, last written if equal."""
-    order = [F.col("published_at").desc(), F.col(BATCH).desc()]
-    return dedupe_latest(spark.read.parquet(log), ["comment_id"], order).drop(BATCH)
+    order = [F.col("published_at").desc(), *newest_written()]
+    return dedupe_latest(read_log(spark, log, ENRICHED), ["comment_id"], order).drop(RUN, BATCH)
 
 
-def drain_videos(stream: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
+def drain_videos(
+    stream: DataFrame, log: str, checkpoint: str, partitions: int | None = None
+) -> StreamingQuery:
     """Clean staged videos as they arrive.
 
     The log holds replaced rows; ``current_videos`` reads it as an upsert. A batch thus costs
@@ -79,17 +119,31 @@ def drain_videos(stream: DataFrame, log: str, checkpoint: str) -> StreamingQuery
     def step(batch: DataFrame) -> DataFrame:
         return dedupe_latest(clean_videos(batch), ["video_id"], [F.col("published_at").desc()])
 
-    return _drain(stream, step, log, checkpoint)
+    return _drain(stream, step, log, checkpoint, partitions)
 
 
 def current_videos(
     spark: SparkSession, log: str, base: DataFrame | None = None
 ) -> DataFrame:
     """The table after all batches: per video the row of the latest batch, over an older base."""
-    latest = dedupe_latest(spark.read.parquet(log), ["video_id"], [F.col(BATCH).desc()]).drop(BATCH)
+    latest = dedupe_latest(read_log(spark, log, CLEAN_VIDEOS), ["video_id"], newest_written()).drop(RUN, BATCH)
     return latest if base is None else upsert(base, latest)
 
 
+def compact_videos(spark: SparkSession, log: str, store: VersionedTables, table: str = "videos") -> None:
+    """Fold the log into the stored table, publish that, and delete the runs' batches folded in.
+
+    Reading afterwards costs the table and what has come since, not the history. A crash before the swap
+    leaves all as it was; one after it leaves batches that are folded in once more to the same end.
+    """
+    base = store.read(table) if store.has(table) else None
+    folded = [tuple(r) for r in read_log(spark, log, CLEAN_VIDEOS).select(RUN, BATCH).distinct().collect()]
+    store.publish({table: current_videos(spark, log, base)})
+    for run, batch in folded:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{log}/{RUN}={run}/{BATCH}={batch}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def live_sentiment_trend(
     stream: DataFrame, bucket: str = "1 day", delay: str = "2 days", by: Sequence[str] = ()
 ) -> DataFrame:

@@ -450,6 +450,20 @@ ORACLES: dict[str, str] = {
     ),
     "stream_enrich": ENRICHED,
     "stream_upsert": UPSERTED,
+    "cleaning_run": UPSERTED,
+    "compacted_videos": UPSERTED,
+    "declared_tables": f"WITH {STAGING}, {clean('staging', 'videos')} SELECT {VIDEO} FROM videos",
+    "enrichment_run": f"""WITH {ROWS}
+        SELECT c.comment_id, strftime(c.published_at, '%Y-%m-%d %H:%M:%S') AS published_at,
+          c.video_id, {shown('n.')}
+        FROM comments c JOIN newest n USING (comment_id)""",
+    "stream_two_deliveries": f"WITH {ROWS} SELECT {KEYS}, {shown()} FROM newest",
+    # A day is emitted once the newest comment is two days past its end.
+    "stream_trend_append": f"""WITH {ROWS}, days AS (
+          SELECT *, date_trunc('day', published_at)::TIMESTAMP AS bucket FROM enriched_rows)
+        SELECT {when('bucket')}, sentiment, count(*) AS comments, {MEANS}
+        FROM days WHERE days.bucket + INTERVAL 3 DAY <= (SELECT max(published_at) FROM days)
+        GROUP BY days.bucket, sentiment""",
     "stream_trend": f"""WITH {ROWS}, days AS (
           SELECT *, date_trunc('day', published_at)::TIMESTAMP AS bucket FROM enriched_rows)
         SELECT {when('bucket')}, sentiment, count(*) AS comments, {MEANS}

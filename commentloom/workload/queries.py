@@ -39,11 +39,13 @@ from commentloom.plans.marts import (
     group_comparison,
     sentiment_trend,
 )
+from commentloom.plans.runs import run_cleaning, run_enrichment
 from commentloom.plans.videos import COUNTS, clean_videos
 from commentloom.schemas import CAMEL_VIDEO_COLUMNS, COMMENTS, ENRICHMENT, STAGING_VIDEOS
 from commentloom.session import scratch_path
 from commentloom.sources import csv as csv_source
 from commentloom.sources import tables
+from commentloom.sources.versions import VersionedTables
 from commentloom.streaming import drains
 from commentloom.workload.views import Views
 
@@ -363,6 +365,49 @@ def upsert_videos(v: Views) -> DataFrame:
     return show_videos(merging.upsert(clean_videos(v.staging()), clean_videos(v.updates())))
 
 
+@query
+def enrichment_run(v: Views) -> DataFrame:
+    """A stored comments table after a run in two phases: sample first, then the rest."""
+    store = VersionedTables(v.spark, scratch_path(v.spark, "store"))
+    store.publish(weekly={"comments": tables.evolve_schema(v.comment_keys(), COMMENTS)})
+    run_enrichment(store, SAMPLE)
+    return show_enriched(store.read("comments").select(*KEY, "video_id", *ENRICHMENT.fieldNames()))
+
+
+@query
+def cleaning_run(v: Views) -> DataFrame:
+    """Stored videos after a later delivery was staged, cleaned and published."""
+    store = VersionedTables(v.spark, scratch_path(v.spark, "store"))
+    store.publish({"videos": clean_videos(v.staging()), "videos_staging": v.updates()})
+    run_cleaning(store)
+    left = store.read("videos_staging").select("video_id")
+    return show_videos(store.read("videos").join(left, "video_id", "left_anti"))
+
+
+@query
+def compacted_videos(v: Views) -> DataFrame:
+    """The drained log folded into the stored table; read from there alone."""
+    root = scratch_path(v.spark, "compact-videos")
+    store = VersionedTables(v.spark, f"{root}/store")
+    store.publish({"videos": clean_videos(v.staging())})
+    drains.drain_videos(v.update_stream(), f"{root}/log", f"{root}/checkpoint").awaitTermination()
+    drains.compact_videos(v.spark, f"{root}/log", store)
+    return show_videos(store.read("videos"))
+
+
+@query
+def declared_tables(v: Views) -> DataFrame:
+    """Staged videos written into the declared staging table and cleaned from it into the declared videos."""
+    root = scratch_path(v.spark, "declared")
+    database = "loom_" + root.rsplit("-", 1)[1]
+    v.spark.sql(f"CREATE DATABASE {database} LOCATION '{root}'")
+    tables.declare_tables(v.spark, database, root)
+    tables.insert_into(_as_staging(v.staging()), f"{database}.videos_staging")
+    cleaned = clean_videos(tables.scan_staging(v.spark.table(f"{database}.videos_staging")))
+    tables.insert_into(cleaned, f"{database}.videos")
+    return show_videos(v.spark.table(f"{database}.videos"))
+
+
 @query
 def drain_staging(v: Views) -> DataFrame:
     left = merging.drain_staging(v.staging(), v.updates())
@@ -547,6 +592,15 @@ def stream_enrich(v: Views) -> DataFrame:
     return show_enriched(drains.current_enrichment(v.spark, f"{root}/log"))
 
 
+@query
+def stream_two_deliveries(v: Views) -> DataFrame:
+    """Documents and conversations arrive apart, each drained with a checkpoint of its own into one log."""
+    root = scratch_path(v.spark, "drain-deliveries")
+    for name, delivery in zip(("first", "second"), v.comment_deliveries()):
+        drains.drain_comments(delivery, f"{root}/log", f"{root}/{name}").awaitTermination()
+    return show_enriched(drains.current_enrichment(v.spark, f"{root}/log"))
+
+
 @query
 def stream_upsert(v: Views) -> DataFrame:
     """A later delivery of videos drained over the clean table."""
@@ -574,3 +628,22 @@ def stream_trend(v: Views) -> DataFrame:
     run.awaitTermination()
     trend = v.spark.read.parquet(f"{root}/trend")
     return stamp(rounded(trend, "mean_positive", "mean_negative", "mean_neutral"), "bucket")
+
+
+@query
+def stream_trend_append(v: Views) -> DataFrame:
+    """The live trend in append mode: windows that the watermark has passed, each emitted once."""
+    root = scratch_path(v.spark, "live-trend")
+    rows = enrich_rows(v.comment_stream()).drop("text_original")
+    live = drains.live_sentiment_trend(merging.with_skip_defaults(rows))
+    run = (
+        live.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", f"{root}/trend")
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    trend = v.spark.read.schema(live.schema).parquet(f"{root}/trend")
+    return stamp(rounded(trend, "mean_positive", "mean_negative", "mean_neutral"), "bucket")
