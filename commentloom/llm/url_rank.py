@@ -61,8 +61,8 @@ def judge_urls(
     """page_id, host, path, rule, verdict, trust and distrust of every row.
 
     A NULL url or one without ``://`` has empty host and path, fits no rule and is allowed. Where no rule fits,
-    the host's verdict counts; a host that no walk reaches is allowed. Hosts all of whose pages the
-    rules allow (block) are the seeds. NULL html has no links. Repeated rows count as often as they
+    the host's verdict counts; a host that no walk reaches is allowed. Hosts of whose pages the
+    rules allow (block) half or more are the seeds. NULL html has no links. Repeated rows count as often as they
     occur. An empty table gives an empty result, other columns are not looked at.
     """
     named = pages.select(
@@ -113,11 +113,16 @@ def host_edges(named: DataFrame) -> DataFrame:
 
 
 def host_seeds(ruled: DataFrame) -> DataFrame:
-    """One row per host: whether the rules allow, or block, all of its pages."""
-    allowed, blocked = (
-        F.min(F.coalesce(F.col("_rule.verdict") == v, F.lit(False))) for v in ("allow", "block")
+    """One row per host: whether the rules allow, or block, at least half of its pages.
+
+    A host with as many allowed as blocked pages is a blocked one.
+    """
+    allowed, blocked = (F.count_if(F.col("_rule.verdict") == v) for v in ("allow", "block"))
+    pages = F.count(F.lit(1))
+    return ruled.where("host <> ''").groupBy("host").agg(
+        ((2 * allowed >= pages) & (allowed > blocked)).alias("trusted"),
+        ((2 * blocked >= pages) & (blocked >= allowed)).alias("blocked"),
     )
-    return ruled.where("host <> ''").groupBy("host").agg(allowed.alias("trusted"), blocked.alias("blocked"))
 
 
 def propagated(
