@@ -1,8 +1,8 @@
-"""CSV exports, bound by position to a declared layout."""
+"""CSV exports, bound to a declared layout by position or by header."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,71 +14,55 @@ from commentloom.schemas import (
     RAW_COMMENTS,
     STAGING_VIDEOS,
 )
-from commentloom.sources.split_csv import read_split_csv
-from commentloom.sources.tables import evolve_schema
-
-# No field can hold this text. As "null value" it keeps the two kinds of empty field apart:
-# unquoted is NULL, quoted ("") is an empty string.
-NO_SUCH_TEXT = "\u0001no-such-field\u0001"
-
-OPTIONS = {
-    "header": "true",
-    "enforceSchema": "true",
-    "multiLine": "true",
-    "quote": '"',
-    "escape": '"',
-    "nullValue": NO_SUCH_TEXT,
-    "emptyValue": "",
-    "mode": "FAILFAST",
-    # A row with too few fields fails even if only some columns are read.
-    "columnPruning": "false",
-}
-
-
-# Quoted line breaks keep the built-in reader from splitting a file, so a file larger than this is
-# read by ``read_split_csv``.
-MAX_WHOLE_FILE = 512 * 2**20
+from commentloom.sources.split_csv import parse_record, read_header, read_split_csv
+from commentloom.sources.tables import evolve_schema, union_all
 
 
 def read_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
     schema: T.StructType,
-    max_whole_file: int = MAX_WHOLE_FILE,
+    names: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """One or more files with a header line as one table; a bad row fails the load."""
-    files = [paths] if isinstance(paths, str) else list(paths)
-    # The sizes come from the file listing; no content is read.
-    listing = spark.read.format("binaryFile").load(files)
-    largest = listing.agg(F.max("length").alias("n")).first()["n"] or 0
-    if largest > max_whole_file:
-        return read_split_csv(spark, files, schema, OPTIONS)
-    return spark.read.schema(schema).options(**OPTIONS).csv(files)
+    """One or more files with a header line as one table; a bad row fails the load.
+
+    Columns go by position, or by header name if ``names`` maps headers to columns of the schema;
+    a header that it does not know becomes a text column. Any quote opens or closes quoting, two of them inside
+    are one, and one that is never closed is an error. An unquoted empty field is NULL, a quoted one
+    is an empty string. Lines end with a line feed, with both signs, or with a carriage return throughout the
+    file. One reader serves files of any size.
+    """
+    files = spark.read.text([paths] if isinstance(paths, str) else list(paths)).inputFiles()
+    layouts: dict[tuple, list[str]] = {}
+    for file in files:
+        header, line_end = read_header(spark, file)
+        columns = tuple(c or "" for c in parse_record(header)) if names else ()
+        layouts.setdefault((columns, line_end), []).append(file)
+    by_name = {f.name: f for f in schema.fields}
+    parts = []
+    for (columns, line_end), same in layouts.items():
+        layout = schema
+        if names:
+            known = [by_name.get(names.get(c, "")) for c in columns]
+            layout = T.StructType(
+                [k or T.StructField(c, T.StringType()) for c, k in zip(columns, known)]
+            )
+        parts.append(read_split_csv(spark, same, layout, line_end))
+    return union_all(*parts) if parts else spark.createDataFrame([], schema)
 
 
 def load_videos_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return read_csv(spark, paths, STAGING_VIDEOS)
 
 
-def load_comments_csv(
-    spark: SparkSession, paths: str | Sequence[str], max_whole_file: int = MAX_WHOLE_FILE
-) -> DataFrame:
+def load_comments_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """All comment files as one table, with the enrichment columns still NULL."""
-    return evolve_schema(read_csv(spark, paths, RAW_COMMENTS, max_whole_file), COMMENTS)
+    return evolve_schema(read_csv(spark, paths, RAW_COMMENTS), COMMENTS)
 
 
 def load_videos_camel(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """The video export with camelCase headers, bound by header name."""
-    files = [paths] if isinstance(paths, str) else list(paths)
-    # Only the header line is read here, to learn the column order.
-    named = spark.read.options(header="true", quote='"', escape='"').csv(files[0]).columns
-    by_name = {f.name: f for f in STAGING_VIDEOS.fields}
-    fields = []
-    for column in named:
-        known = by_name.get(CAMEL_VIDEO_COLUMNS.get(column, ""))
-        fields.append(T.StructField(column, known.dataType if known else T.StringType()))
-    loaded = read_csv(spark, files, T.StructType(fields))
-    return loaded.withColumnsRenamed(CAMEL_VIDEO_COLUMNS)
+    """The video export with camelCase headers, each file bound by its own header."""
+    return read_csv(spark, paths, STAGING_VIDEOS, CAMEL_VIDEO_COLUMNS)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

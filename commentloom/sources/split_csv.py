@@ -1,38 +1,91 @@
-"""CSV with line breaks inside quotes, read in parallel from within one large file.
+"""CSV with line breaks inside quotes, read in parallel from within each file.
 
-The built-in reader gives such a file to a single task. Here its lines are read in splits; a line
-belongs to the record before it if an odd number of quotes stands ahead of it in the file. That
-number is summed per split first, then each split finds its own records. Only the lines that
-finish a record begun in an earlier split travel to it.
+Files are read as lines, in splits. A quote opens or closes quoting wherever it stands, so whether a
+split begins inside quotes follows from the number of quotes ahead of it: those are counted per
+split first. Then every split is parsed in place. Only what it has of a record that crosses its borders
+is shuffled, and put together with the other pieces of that record.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SPLIT = ("_file", "_block")
+# Stated bound of the table of splits that is sent to every task: about 40 MB.
+BROADCAST_SPLITS = 200_000
+LF, CR, QUOTE = 10, 13, 34
+
+_SEGMENT = re.compile(r'"((?:[^"]|"")*)"|([^",]+)|(,)')
+_PARSED = "_file string, _block long, _place string, _fields array<string>, _text string"
+
+
+def parse_record(text: str) -> list[str | None]:
+    """Fields of one record: a field without any quote and text is NULL, a quoted empty one is ''."""
+    fields: list[str | None] = []
+    value: str | None = None
+    for quoted, plain, comma in _SEGMENT.findall(text):
+        if comma:
+            fields.append(value)
+            value = None
+        elif plain:
+            value = (value or "") + plain
+        else:
+            value = (value or "") + quoted.replace('""', '"')
+    fields.append(value)
+    return fields
+
+
+def read_header(spark: SparkSession, file: str) -> tuple[str, str]:
+    """The header record of a file and the end of its lines: a line feed, or a lone carriage return."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        units, inside = [], False
+        while (unit := reader.read()) >= 0:
+            inside ^= unit == QUOTE
+            if unit in (LF, CR) and not inside:
+                end = "\r" if unit == CR and reader.read() != LF else "\n"
+                break
+            units.append(unit)
+        else:
+            end = "\n"
+    finally:
+        reader.close()
+    header = b"".join(u.to_bytes(2, "little") for u in units).decode("utf-16-le")
+    return header.removeprefix("\ufeff"), end
 
 
 def read_split_csv(
-    spark: SparkSession,
-    files: Sequence[str],
-    schema: T.StructType,
-    options: Mapping[str, str],
+    spark: SparkSession, files: Sequence[str], schema: T.StructType, line_end: str
 ) -> DataFrame:
-    lines = _lines(spark, files)
+    """Files with a header record each and the columns of the schema, by position."""
+    lines = _lines(spark, files, line_end)
     splits = _splits(lines)
-    return _parse(_records(lines, splits), schema, options)
+    count, broken = splits.agg(
+        F.count(F.lit(1)), F.max(F.when(F.col("_odd_file") == 1, F.col("_file")))
+    ).first()
+    if broken:
+        raise ValueError(f"malformed CSV, a quote is not closed: {broken}")
+    width = len(schema.fields)
+    parsed = _parsed(lines, splits, count, width, line_end)
+    whole = parsed.where("_fields IS NOT NULL").select("_fields")
+    records = whole.union(_stitched(parsed, width, line_end))
+    return records.select(
+        *[F.col("_fields")[i].cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
+    )
 
 
-def _lines(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+def _lines(spark: SparkSession, files: Sequence[str], line_end: str) -> DataFrame:
     text = F.col("value")
     return (
-        spark.read.option("lineSep", "\n")
+        spark.read.option("lineSep", line_end)
         .text(list(files))
         .select(
             F.col("_metadata.file_path").alias("_file"),
@@ -40,86 +93,109 @@ def _lines(spark: SparkSession, files: Sequence[str]) -> DataFrame:
             # Order of the lines in their split; splits of a file are ordered by their offset.
             F.monotonically_increasing_id().alias("_line"),
             text.alias("_text"),
-            (F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))).alias("_quotes"),
         )
     )
 
 
 def _splits(lines: DataFrame) -> DataFrame:
-    """Per split: whether it begins inside quotes, where its first record starts, and which
-    earlier record its first lines belong to. Only counts are shuffled, no text."""
-    inside = W.partitionBy(*SPLIT).orderBy("_line").rowsBetween(W.unboundedPreceding, -1)
-    parity = F.coalesce(F.sum("_quotes").over(inside), F.lit(0)) % 2
-    per_split = (
-        lines.select(*SPLIT, "_line", "_quotes")
-        .withColumn("_odd", parity)
-        .groupBy(*SPLIT)
-        .agg(
-            (F.sum("_quotes") % 2).alias("_odd_total"),
-            # Record starts if the split begins outside (0) or inside (1) quotes.
-            *[F.count_if(F.col("_odd") == o).alias(f"_starts{o}") for o in (0, 1)],
-            *[F.min(F.when(F.col("_odd") == o, F.col("_line"))).alias(f"_first{o}") for o in (0, 1)],
-        )
-    )
+    """Per split, whether it begins inside quotes; and whether its file has an odd number of quotes."""
+    quotes = F.length("_text") - F.length(F.replace("_text", F.lit('"'), F.lit("")))
+    odd = lines.groupBy("_file", "_block").agg((F.sum(quotes) % 2).alias("_odd"))
     earlier = W.partitionBy("_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    outside = F.col("_open") == 0
-    known = per_split.withColumn(
-        "_open", F.coalesce(F.sum("_odd_total").over(earlier), F.lit(0)) % 2
-    ).select(
-        *SPLIT,
-        "_open",
-        F.when(outside, F.col("_starts0")).otherwise(F.col("_starts1")).alias("_starts"),
-        F.when(outside, F.col("_first0")).otherwise(F.col("_first1")).alias("_first"),
+    return odd.select(
+        "_file",
+        "_block",
+        (F.coalesce(F.sum("_odd").over(earlier), F.lit(0)) % 2).alias("_open"),
+        (F.sum("_odd").over(W.partitionBy("_file")) % 2).alias("_odd_file"),
     )
-    last_with_start = F.last(
-        F.when(F.col("_starts") > 0, F.struct("_block", "_starts")), ignorenulls=True
-    )
-    return known.withColumn("_owner", last_with_start.over(earlier))
 
 
-def _records(lines: DataFrame, splits: DataFrame) -> DataFrame:
-    placed = lines.join(splits, [*SPLIT])
-    # Lines ahead of a split's first record finish the last record of an earlier split.
-    tails = (
-        placed.where(F.col("_first").isNull() | (F.col("_line") < F.col("_first")))
-        .groupBy("_file", F.col("_owner._block").alias("_block"), F.col("_owner._starts").alias("_record"))
-        .agg(_joined_lines().alias("_tail"))
-    )
-    upto = W.partitionBy(*SPLIT).orderBy("_line")
-    ahead = F.sum("_quotes").over(upto.rowsBetween(W.unboundedPreceding, -1))
-    starts = ((F.col("_open") + F.coalesce(ahead, F.lit(0))) % 2 == 0).cast("int")
-    own = (
-        placed.where(F.col("_line") >= F.col("_first"))
-        # From its first record on, a split is outside quotes.
-        .withColumn("_open", F.lit(0))
-        .withColumn("_start", starts)
-        .withColumn(
-            "_record", F.sum("_start").over(upto.rowsBetween(W.unboundedPreceding, 0))
-        )
-        .groupBy(*SPLIT, "_record")
-        .agg(_joined_lines().alias("_text"))
-    )
-    return own.join(tails, [*SPLIT, "_record"], "left").select(
-        *SPLIT, "_record", F.concat_ws("\n", "_text", "_tail").alias("_text")
+def _checked(text: str, width: int) -> list[str | None]:
+    fields = parse_record(text)
+    if len(fields) != width:
+        raise ValueError(f"malformed CSV record, {len(fields)} fields instead of {width}: {text[:200]}")
+    return fields
+
+
+def _parsed(lines: DataFrame, splits: DataFrame, count: int, width: int, line_end: str) -> DataFrame:
+    """Rows of (_file, _block, _place, _fields, _text).
+
+    A record within its split has its fields. Of others there is the text of a piece: 'tail' begins a record ('header' if it
+    is the first of its file), 'head' goes on with one and 'end' closes it.
+    """
+    known = splits.select("_file", "_block", "_open")
+    if count <= BROADCAST_SPLITS:
+        placed = lines.join(F.broadcast(known), ["_file", "_block"])
+    else:
+        placed = lines.join(known, ["_file", "_block"]).sortWithinPartitions("_file", "_block", "_line")
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, inside, first, place, held = None, False, False, "tail", []
+        out: list[tuple] = []
+
+        def close() -> None:
+            if held:
+                out.append((*split, place, None, line_end.join(held)))
+
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("_file", "_block", "_open", "_text"))
+            for file, block, begins_open, text in zip(*columns):
+                if split != (file, block):
+                    close()
+                    split, inside, first, held = (file, block), bool(begins_open), block == 0, []
+                    place = "head" if inside else "tail"
+                if not held and place != "head":
+                    place = "header" if first else "tail"
+                held.append(text)
+                inside ^= text.count('"') & 1
+                if inside:
+                    continue
+                record = line_end.join(held)
+                held = []
+                if place == "head":
+                    out.append((*split, "end", None, record))
+                elif not first and record.removesuffix("\r"):
+                    out.append((*split, None, _checked(record.removesuffix("\r"), width), None))
+                first, place = False, "tail"
+            yield _rows(out)
+            out = []
+        if split:
+            close()
+        yield _rows(out)
+
+    return placed.mapInArrow(parse, _PARSED)
+
+
+def _rows(out: list[tuple]) -> pa.RecordBatch:
+    file, block, place, fields, text = zip(*out) if out else ((), (), (), (), ())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(file, pa.string()), pa.array(block, pa.int64()), pa.array(place, pa.string()),
+         pa.array(fields, pa.list_(pa.string())), pa.array(text, pa.string())],
+        names=["_file", "_block", "_place", "_fields", "_text"],
     )
 
 
-def _joined_lines():
-    # A group is one record, never more.
-    ordered = F.array_sort(F.collect_list(F.struct("_block", "_line", "_text")))
-    return F.array_join(F.transform(ordered, lambda l: l["_text"]), "\n")
+def _stitched(parsed: DataFrame, width: int, line_end: str) -> DataFrame:
+    """Records that cross split borders. A group is the pieces of one record, one per split that it touches."""
+    upto = W.partitionBy("_file").orderBy("_block", "_begins").rowsBetween(W.unboundedPreceding, 0)
+    pieces = (
+        parsed.where("_text IS NOT NULL")
+        # Within a split the end of one record comes ahead of the beginning of another.
+        .withColumn("_begins", F.col("_place").isin("tail", "header").cast("int"))
+        .withColumn("_record", F.sum("_begins").over(upto))
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("_block", "_begins", "_place", "_text")))
+    records = (
+        pieces.groupBy("_file", "_record")
+        .agg(ordered.alias("_pieces"))
+        .where("_pieces[0]._place <> 'header'")
+        .select(F.array_join(F.transform("_pieces", lambda p: p["_text"]), line_end).alias("_text"))
+    )
 
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("_text").to_pylist()
+            fields = [_checked(t.removesuffix("\r"), width) for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(fields, pa.list_(pa.string()))], names=["_fields"])
 
-def _parse(records: DataFrame, schema: T.StructType, options: Mapping[str, str]) -> DataFrame:
-    header = (F.col("_block") == 0) & (F.col("_record") == 1)
-    row = F.regexp_replace("_text", r"\r\z", "")
-    names = ("sep", "quote", "escape", "nullValue", "emptyValue", "mode")
-    kept = {k: v for k, v in options.items() if k in names}
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return (
-        records.where(~header)
-        .select(row.alias("_row"))
-        .where(F.col("_row") != "")
-        .select(F.from_csv("_row", ddl, kept).alias("_parsed"))
-        .select("_parsed.*")
-    )
+    return records.mapInArrow(parse, "_fields array<string>")

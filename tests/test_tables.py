@@ -15,6 +15,7 @@ from commentloom.plans.videos import clean_videos
 from commentloom.schemas import CLEAN_VIDEOS, COMMENTS, STAGING_VIDEOS
 from commentloom.session import shared_dir
 from commentloom.sources import tables
+from commentloom.sources.versions import VersionedTables, touched_weeks
 from commentloom.sources.csv import (
     load_comments_csv,
     load_videos_camel,
@@ -25,6 +26,7 @@ from commentloom.streaming import drains
 from commentloom.workload.views import Views
 
 SF = "/root/testdata/sf0.001"
+START = datetime(2024, 1, 1)
 VIDEO_HEADER = ",".join(STAGING_VIDEOS.fieldNames())
 VIDEO_ROW = 'k,v1,2024-01-02T03:04:05Z,c,"a ""b"", c\nd","",,en,,PT1S,1,,3.5,4,[]'
 
@@ -39,14 +41,21 @@ def test_videos_csv(spark, tmp_path):
     assert float(row["favourite_count"]) == 3.5 and row["like_count"] is None
 
 
-@pytest.mark.parametrize("max_whole_file", [10**9, 0])
-def test_bad_rows_fail(spark, tmp_path, max_whole_file):
+def test_bad_rows_fail(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("t", T.StringType())])
-    for i, body in enumerate(("1,a\nx,b\n", "1,a\n2\n")):
+    for i, body in enumerate(("1,a\nx,b\n", "1,a\n2\n", "1,a\n2,b,c\n", '1,5" pipe,x\n')):
         path = tmp_path / f"bad{i}.csv"
         path.write_text("id,t\n" + body)
-        with pytest.raises(Exception, match="MALFORMED|FAILED_READ|malformed"):
-            read_csv(spark, str(path), schema, max_whole_file).collect()
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT|malformed"):
+            read_csv(spark, str(path), schema).collect()
+
+
+def test_any_quote_toggles_quoting(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("t", T.StringType())])
+    path = tmp_path / "quotes.csv"
+    path.write_text('id,t\n1,5" pipe, 6" rod\n2,"a"b""c"d"\n3,""\n4,\n')
+    got = {r["id"]: r["t"] for r in read_csv(spark, str(path), schema).collect()}
+    assert got == {1: "5 pipe, 6 rod", 2: "abcd", 3: "", 4: None}
 
 
 def test_comment_files_load_as_one_table(spark, tmp_path):
@@ -61,8 +70,6 @@ def test_comment_files_load_as_one_table(spark, tmp_path):
     rows = {r["comment_id"]: r for r in loaded.collect()}
     assert sorted(rows) == [0, 1, 2, 3, 4]
     assert rows[3]["text_original"] == "line\n3" and rows[3]["sentiment"] is None
-    split = load_comments_csv(spark, paths, max_whole_file=0)
-    assert {tuple(r) for r in split.collect()} == {tuple(r) for r in rows.values()}
 
 
 def test_camel_headers_bind_by_name(spark, tmp_path):
@@ -70,13 +77,19 @@ def test_camel_headers_bind_by_name(spark, tmp_path):
     path.write_text("videoId,kind,title,viewCount,contentDuration\nv1,k,t,12,PT2S\n")
     row = load_videos_camel(spark, str(path)).first()
     assert (row["video_id"], float(row["view_count"]), row["content_duration"]) == ("v1", 12.0, "PT2S")
+    other = tmp_path / "more.csv"
+    other.write_text("title,extra,viewCount,videoId\nt2,e,13,v2\n")
+    rows = load_videos_camel(spark, [str(path), str(other)]).collect()
+    assert {(r["video_id"], r["title"], float(r["view_count"]), r["extra"]) for r in rows} == {
+        ("v1", "t", 12.0, None), ("v2", "t2", 13.0, "e")
+    }
 
 
-@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+@pytest.mark.parametrize("newline", ["\n", "\r\n", "\r"])
 @pytest.mark.parametrize("size", ["134217728", "300", "31"])
 def test_split_csv_on_any_split_size(spark, tmp_path, newline, size):
     rng = random.Random(5)
-    pieces = ["a", '"', ",", "\n", "\r\n", "é", " ", "\U0001f600", "\n\n", "some longer text "]
+    pieces = ["a", '"', ",", "\n", "\r\n", "é", " ", "\U0001f600", "\n\n", "\r", "some longer text "]
     rows = {i: "".join(rng.choice(pieces) for _ in range(rng.randint(1, 50))) for i in range(120)}
     path = tmp_path / "x.csv"
     with open(path, "w", newline="", encoding="utf8") as f:
@@ -89,7 +102,7 @@ def test_split_csv_on_any_split_size(spark, tmp_path, newline, size):
     try:
         spark.conf.set(keys[0], size)
         spark.conf.set(keys[1], "1")
-        got = read_csv(spark, str(path), schema, max_whole_file=0).collect()
+        got = read_csv(spark, str(path), schema).collect()
     finally:
         for k, v in zip(keys, old):
             spark.conf.set(k, v)
@@ -192,16 +205,16 @@ def test_comment_drain_equals_batch_and_resumes(spark, tmp_path):
     assert got.select(want.columns).exceptAll(want).count() == 0
 
 
-def test_replayed_batch_leaves_no_duplicates(spark, tmp_path):
+def test_two_runs_keep_both_and_a_replay_leaves_no_duplicates(spark, tmp_path):
     views = Views(spark, SF)
     log = str(tmp_path / "log")
-    for attempt in ("a", "b"):
+    for attempt in ("a", "b", "a"):
         drains.drain_videos(
             views.update_stream(), log, str(tmp_path / attempt)
         ).awaitTermination()
     updates = clean_videos(views.updates())
-    counts = [tuple(r) for r in drains.batch_counts(spark, log).collect()]
-    assert counts == [(0, updates.count())]
+    counts = [(r["batch_id"], r["rows_processed"]) for r in drains.batch_counts(spark, log).collect()]
+    assert counts == [(0, updates.count())] * 2
     base = clean_videos(views.staging())
     merged = drains.current_videos(spark, log, base)
     ids = merged.select("video_id")
@@ -209,6 +222,53 @@ def test_replayed_batch_leaves_no_duplicates(spark, tmp_path):
     assert ids.count() == base.select("video_id").union(updates.select("video_id")).distinct().count()
 
 
+def test_runs_over_different_input_lose_nothing(spark, tmp_path):
+    log = str(tmp_path / "log")
+    assert drains.current_enrichment(spark, log).count() == 0
+    assert drains.current_videos(spark, log).columns == CLEAN_VIDEOS.fieldNames()
+    everything = Views(spark, SF).comment_keys()
+    for name, part in (("a", "comment_id % 2 = 0"), ("b", "comment_id % 2 <> 0")):
+        everything.where(part).write.parquet(str(tmp_path / f"in-{name}"))
+        stream = drains.read_stream(spark, str(tmp_path / f"in-{name}"), everything.schema)
+        drains.drain_comments(stream, log, str(tmp_path / name)).awaitTermination()
+    assert drains.current_enrichment(spark, log).count() == everything.select("comment_id").distinct().count()
+
+
+def test_versions_change_in_one_step(spark, tmp_path):
+    store = VersionedTables(spark, str(tmp_path / "store"))
+    rows = [(i, START + timedelta(days=7 * (i % 3))) for i in range(30)] + [(99, None)]
+    df = spark.createDataFrame(rows, "id int, published_at timestamp")
+    store.publish({"whole": df.limit(0)}, {"weekly": df})
+    old = store.read("weekly")
+    assert old.count() == 31 and store.read("whole").count() == 0
+    second = old.where(F.col("published_at") == START + timedelta(days=7))
+    changed = touched_weeks(old, second).withColumn("id", -F.col("id"))
+    store.publish({"whole": df}, {"weekly": changed})
+    assert old.count() == 31  # a reader of the old state goes on
+    now = {r["id"] for r in store.read("weekly").collect()}
+    assert now == {-i if i % 3 == 1 else i for i, _ in rows} and store.read("whole").count() == 31
+    folders = len(list((tmp_path / "store" / "weekly").iterdir()))
+    assert folders == 2 and len(list((tmp_path / "store" / "weekly").glob("*/week=*"))) == 5
+    rival = VersionedTables(spark, str(tmp_path / "store"))
+    before = rival._manifest()
+    store.publish({"whole": df})
+    with pytest.raises(RuntimeError):
+        rival._swap(before, before)
+
+
+def test_views_read_whole_texts(spark):
+    views = Views(spark, SF)
+    docs = views.table("documents")
+    chars = docs.agg(F.sum(F.length("text"))).first()[0]
+    ours = views.comments().where("comment_id >= 0").join(docs.withColumnRenamed("doc_id", "comment_id"), "comment_id")
+    assert ours.where("text_original LIKE concat('%', text) OR endswith(text_original, text)").select(
+        "comment_id", "text"
+    ).distinct().agg(F.sum(F.length("text"))).first()[0] == chars
+    pages = views.table("pages")
+    staged = views.staging().join(pages.selectExpr("concat('v', page_id) AS video_id", "html"), "video_id")
+    assert staged.where("endswith(description, html)").count() == pages.count()
+
+
 def test_live_trend_in_append_mode_emits_closed_windows_once(spark, tmp_path):
     rows = enrich_rows(Views(spark, SF).comment_stream()).drop("text_original")
     rows = rows.withColumn("sentiment", F.coalesce("sentiment", F.lit("N/A")))
@@ -230,4 +290,5 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     if named:
         assert shared_dir(spark) == named.rstrip("/")
     else:
-        assert spark.sparkContext.getCheckpointDir()
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
+        assert shared_dir(spark).removeprefix("file:").startswith(warehouse)
