@@ -24,8 +24,8 @@ RULES = (
 )
 DAMPING = 0.85
 ROUNDS = 10
-# A host is suspect from this share of all distrust times the number of hosts on.
-THRESHOLD = 1.0
+# A host is suspect above this part of the mean distrust of a host.
+THRESHOLD = 0.5
 
 _LINK = "(?i)<a\\b[^>]*?\\bhref\\s*=\\s*[\"']?([^\"'\\s>]+)"
 
@@ -82,8 +82,13 @@ def judge_urls(
         .join(distrust.withColumnRenamed("score", "distrust"), "host", "full")
         .fillna(0.0, ["trust", "distrust"])
     )
+    scores = stored(scores, "scores")
+    # Walks end at hosts without links, so scores count as shares of what is left.
+    total = scores.agg(*[F.greatest(F.sum(c), F.lit(1e-300)).alias(c) for c in ("trust", "distrust")]).first()
     hosts = seeds.count()
-    suspect = (F.col("distrust") * hosts > threshold) & (F.col("distrust") > F.col("trust"))
+    suspect = (F.col("distrust") * hosts > threshold * (total["distrust"] or 1.0)) & (
+        F.col("distrust") * (total["trust"] or 1.0) > F.col("trust") * (total["distrust"] or 1.0)
+    )
     verdict = F.coalesce(
         F.col("_rule.verdict"), F.when(F.coalesce(suspect, F.lit(False)), F.lit("block")).otherwise(F.lit("allow"))
     )
