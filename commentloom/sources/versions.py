@@ -76,11 +76,10 @@ class VersionedTables:
             folder = f"{self.root}/{name}/{uuid.uuid4().hex}"
             write_time_partitioned(df, folder)
             written, files = self._path(folder.removeprefix(f"{self.root}/"))
-            weeks = [
-                s.getPath().getName().removeprefix(f"{WEEK}=") for s in files.listStatus(written) if s.isDirectory()
-            ]
+            names = [s.getPath().getName() for s in files.listStatus(written)]
+            weeks = [n.removeprefix(f"{WEEK}=") for n in names if n.startswith(f"{WEEK}=")]
             parts = dict(before.get(name, {}).get("parts", {}))
-            parts.update({week: folder for week in weeks if not week.startswith("_")})
+            parts.update({week: folder for week in weeks})
             after[name] = {"schema": df.schema.json(), "parts": parts}
         self._swap(before, after)
 
