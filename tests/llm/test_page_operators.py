@@ -71,6 +71,8 @@ def test_blocks_of_a_page():
     assert page_blocks("") == ([], [], [])
     assert page_blocks("<article><p>a &am</p><p>b</p")[0] == ["a &am", "b"]
     assert page_blocks("plain <i>text</i>")[1] == ["plain text"]
+    items = page_blocks("<article><ul><li class=ad>x<li>y</ul><p class='promo'>buy<div>z</div><p>end</article>")
+    assert items[0] == ["y", "z", "end"] and items[2] == ["x", "buy"]
 
 
 def test_extract_text(spark):
