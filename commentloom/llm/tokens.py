@@ -11,7 +11,7 @@ from array import array
 import numpy as np
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 250_000
 # White space ahead of a space, or what one library may take for white space and another not.
 _UNSURE = re.compile("[\\s\\x1c-\\x1f\\x85] ")
 _CHUNK = re.compile("[\\s\\x1c-\\x1f\\x85]*[^\\s\\x1c-\\x1f\\x85]+|[\\s\\x1c-\\x1f\\x85]+$")
