@@ -92,6 +92,26 @@ def test_extract_text(spark):
     assert extract_text(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    rng = random.Random(8)
+    text = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    story, quote, shared = text(80), text(9), text(12)
+    near = story.split(" ")
+    near[40] = "edited"
+    pages = {1: ("h", story), 2: ("h", story), 3: ("h", " ".join(near)), 4: ("alone", story), 5: ("alone", story)}
+    kept = {i: t for i, (_, t) in pages.items()}
+    for i in range(10, 20):
+        own = text(30)
+        said = f"{own} {quote}" if i < 12 else own
+        pages[i] = ("big", f"<div>{shared}</div><p>{said}</p>")
+        kept[i] = said
+    rows = [(i, f"http://{h}.x/{i}", t) for i, (h, t) in pages.items()]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = {r.page_id: r for r in extract_text(df).collect()}
+    assert {i: r.text for i, r in found.items()} == kept
+    assert {found[i].n_repeated for i in (1, 2, 3, 4, 5)} == {0} and found[10].n_repeated == 12
+
+
 def test_link_graph(spark):
     a = lambda *hosts: " ".join(f"<A class=x href='http://{h}/'>x</a>" for h in hosts)
     pages = [(1, "http://good.org/fr/a", a("friend.example.com", "GOOD.org")), (2, "http://bad.net/x?y#z", ""),
