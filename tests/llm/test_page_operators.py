@@ -75,6 +75,26 @@ def test_blocks_of_a_page():
     assert items[0] == ["y", "z", "end"] and items[2] == ["x", "buy"]
 
 
+@pytest.mark.parametrize("page", [
+    "<html><head><title>x</title><body><article>A text</article>",
+    "<head><title>x<body><article>A text</article>",
+    "<head><meta name=a><script>'<p>'</script><article>A text</article>",
+    "<svg/><article>A text</article><svg></svg>",
+    "<svg viewBox='0 0 1 1'><path d=x><article>A text</article>",
+    "<article><svg><title>t</title></svg>A text</article>",
+    "<select><option>a<article>A text</article>",
+    "<iframe src=x><article>A text</article>",
+    "<main class='has-sidebar'>A text</main>",
+    "<div class='sidebar'><main>A text</main></div>",
+    "<div id='header-layout'><p>x</p><article>A text</article></div>",
+    "<div id='header-layout'><article>A text</article></div><div class='related-posts'><article>no</article></div>",
+    "<form id=all><div class=comments><article class='share'>A text</article></div></form>",
+    "<article class='post category-social hasSidebar'>A text<div id=comments><article class=comment-body>no</article></div></article>",
+])
+def test_no_page_is_swallowed(page):
+    assert page_blocks(page)[0] == ["A text"]
+
+
 def test_extract_text(spark):
     shared = "this very line of words stands on each page of the host"
     rows = [(1, "http://H.x/1", PAGE), (2, "http://h.x/2", f"<div>{shared}</div><div>only here one</div>"),
