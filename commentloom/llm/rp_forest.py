@@ -1,7 +1,8 @@
 """Near-duplicate vectors by a forest of random-projection trees.
 
 Every tree halves the space again and again at the median of a random projection; vectors close to
-a border go to both sides. Vectors are compared within the leaves only, in double precision, so each
+a border go to both sides. A node so dense that its halves would overlap for the most part is a leaf. Vectors
+are compared within the leaves only, in double precision, so each
 reported link is a true one, and a pair is lost only if all trees part it. Leaves of any size are
 compared in pairs of blocks. Pairs never leave a task: a leaf gives each vector's number of links
 and a tree of links, and a pair that meets in several leaves is counted in the first.
@@ -23,7 +24,7 @@ from commentloom.llm.scratch import numbered, stored
 
 TREES = 4
 # Width of the overlap at a border, in standard deviations of a projected pair at the threshold.
-SPILL = 1.2
+SPILL = 2.0
 LEAF_ROWS = 512
 # Stated bound of the sample that places the borders; every vector is indexed.
 SAMPLE_ROWS = 20_000
@@ -58,7 +59,11 @@ class Forest:
 
 
 def fit_forest(sample: np.ndarray, trees: int, depth: int, distance: float, spill: float) -> Forest:
-    """Borders at the medians of the sample (unit vectors); a node with few of them is a leaf."""
+    """Borders at the medians of the sample (unit vectors).
+
+    A node with few of them is a leaf, and so is one whose rows lie so close together that halving it would
+    save no comparisons: there it would only part near vectors.
+    """
     random = np.random.default_rng(11)
     width = max(1, sample.shape[1])
     directions = random.standard_normal((trees, max(depth, 1), width))
@@ -73,8 +78,12 @@ def fit_forest(sample: np.ndarray, trees: int, depth: int, distance: float, spil
                 if len(rows) < LEAST_NODE:
                     continue
                 place = sample[rows] @ directions[tree, level]
-                border = borders[tree, node] = np.median(place)
-                below[2 * node], below[2 * node + 1] = rows[place < border], rows[place >= border]
+                border = np.median(place)
+                left, right = place < border + margin, place >= border - margin
+                if left.sum() ** 2 + right.sum() ** 2 >= len(rows) ** 2:
+                    continue
+                borders[tree, node] = border
+                below[2 * node], below[2 * node + 1] = rows[left], rows[right]
             held = below
     return Forest(directions, borders, margin)
 

@@ -58,6 +58,19 @@ def test_vectors(spark):
     assert near_duplicate_vectors(empty).count() == 0
 
 
+def test_deep_trees_lose_no_links_of_dense_groups(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((3000, 64))
+    centre = rng.standard_normal(64)
+    vectors[:1000] = centre / np.linalg.norm(centre) + np.sqrt(0.0204 / 64) * rng.standard_normal((1000, 64))
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(vectors)], "vec_id int, embedding array<double>, label int")
+    found = {r.vec_id: r.n_links for r in near_duplicate_vectors(df, leaf_rows=46).collect()}  # seven levels
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.98).sum(axis=1) - 1
+    assert want.sum() > 100_000
+    assert sum(found[i] == n for i, n in enumerate(want)) >= 0.999 * len(want)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>no</title><style>p{}</style></head><body class="ad-free"><nav>menu</nav>
 <div class="ad">buy</div><article><header>by line</header><h1>Head &amp;  line</h1><p>One<b> two</b><br>three<p>four
  five&nbsp;six</p><script>x("</p>")</script><form>send</form><!-- <p>no</p> --><ul><li>a</li><li>b</li></ul>
