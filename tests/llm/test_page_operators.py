@@ -198,6 +198,16 @@ def test_preferences(spark):
     assert format_preferences(*swapped_replies(df.limit(0))).count() == 0
 
 
+def test_unnumbered_tied_and_repeated_turns_stay_on_both_sides(spark):
+    turns = [(0, None, "system", "s"), (0, 0, "user", "hi"), (0, 1, "assistant", "a"), (0, 1, "assistant", "b"),
+             (1, None, "system", "s"), (1, 2, "assistant", "c"), (1, 2, "assistant", "c")]
+    df = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    found = {r.pair_id: r for r in format_preferences(*swapped_replies(df)).collect()}
+    say = lambda *texts: "".join(f"<|assistant|>\n{t}<|end|>\n" for t in texts)
+    assert found[0].prompt_turns == 3 and (found[0].chosen, found[0].rejected) == (say("b"), say("c"))
+    assert found[1].prompt_turns == 1 and (found[1].chosen, found[1].rejected) == (say("c", "c"), say("b", "c"))
+
+
 @pytest.fixture(scope="module")
 def duck():
     db = duckdb.connect()
