@@ -45,7 +45,7 @@ class _Powers:
         return np.multiply.accumulate(steps)
 
 
-_powers = _Powers()
+powers = _Powers()
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -70,7 +70,7 @@ def word_hashes(text: bytes) -> np.ndarray:
     if not gap[-1]:
         edge = np.append(edge, len(raw))
     starts, ends = edge[0::2], edge[1::2]
-    up, down = _powers.upto(len(raw))
+    up, down = powers.upto(len(raw))
     sums = np.empty(len(raw) + 1, dtype=np.uint64)
     sums[0] = 0
     np.cumsum(LETTERS[raw] * up, out=sums[1:])

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from commentloom.llm import quality
 from commentloom.llm.attribution import section_tokens
+from commentloom.llm.bit_codes import nearest_vectors
 from commentloom.llm.block_naming import exact_dedup
+from commentloom.llm.collocations import collocations
 from commentloom.llm.html_text import extract_text
 from commentloom.llm.minhash_join import near_duplicates
 from commentloom.llm.mixing import mixed
@@ -15,6 +17,7 @@ from commentloom.llm.packing import pack_documents
 from commentloom.llm.preference import format_preferences, swapped_replies
 from commentloom.llm.rp_forest import near_duplicate_vectors
 from commentloom.llm.url_rank import judge_urls
+from commentloom.llm.whitening import whiten
 from commentloom.session import configure
 
 
@@ -81,6 +84,18 @@ def op10_block_naming(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_rotated_bit_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_vectors(table(spark, folder, "embeddings"))
+
+
+def op12_multiplicity_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
+
+
+def op13_weighted_automata(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_rp_forest": op1_rp_forest,
     "op2_preference_pairs": op2_preference_pairs,
@@ -92,6 +107,9 @@ QUERIES = {
     "op8_host_suffixes": op8_host_suffixes,
     "op9_low_discrepancy_mix": op9_low_discrepancy_mix,
     "op10_block_naming": op10_block_naming,
+    "op11_rotated_bit_codes": op11_rotated_bit_codes,
+    "op12_multiplicity_whitening": op12_multiplicity_whitening,
+    "op13_weighted_automata": op13_weighted_automata,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -179,4 +197,43 @@ ORACLES = {
           count(*) OVER (PARTITION BY t) AS group_size,
           doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM texts""",
+    # The score is worked out from the first entry to the last, in doubles.
+    "op11_rotated_bit_codes": """
+        WITH v AS (
+          SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        s AS (
+          SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS score
+          FROM v q JOIN v c ON q.vec_id % 20 = 0 AND len(q.e) = len(c.e) AND (q.vec_id, q.e) <> (c.vec_id, c.e))
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+          vec_id, score
+        FROM s QUALIFY rank <= 20""",
+    "op13_weighted_automata": f"""
+        WITH p AS (
+          SELECT coalesce(lang, 'und') AS lang,
+            unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+          FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+        g AS (
+          SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS ph
+          FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) AS t(m))),
+        c AS (SELECT lang, m, ph, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30 ),
+        t AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang),
+        d AS (SELECT lang, m, ph, f AS a, string_split(ph, ' ') AS s FROM c WHERE m >= 2),
+        k AS (
+          SELECT d.lang, d.ph, d.m, d.a, k, x.f AS l, y.f AS r, CAST(2000000 AS HUGEINT) * d.a // (x.f + y.f) AS score
+          FROM (SELECT *, unnest(range(1, m)) AS k FROM d) d
+          JOIN c x ON x.lang = d.lang AND x.ph = array_to_string(d.s[1:k], ' ')
+          JOIN c y ON y.lang = d.lang AND y.ph = array_to_string(d.s[k + 1:], ' ')
+          QUALIFY row_number() OVER (PARTITION BY d.lang, d.ph ORDER BY score, k) = 1),
+        inside AS (
+          SELECT lang, array_to_string(s[i:i + z - 1], ' ') AS ph, max(a) AS most
+          FROM (SELECT *, unnest(range(1, m - z + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS z FROM d)) GROUP BY ALL)
+        SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, k.ph) AS rank,
+          k.ph AS phrase, a, l, r, CAST(t.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM k JOIN t ON t.lang = k.lang LEFT JOIN inside i ON i.lang = k.lang AND i.ph = k.ph
+        WHERE NOT coalesce(100 * CAST(most AS HUGEINT) >= 80 * CAST(a AS HUGEINT), false)
+        QUALIFY rank <= 2000""",
 }
