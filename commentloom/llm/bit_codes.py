@@ -26,8 +26,8 @@ NEAREST = 20
 # Length of a code; longer vectors get one bit per entry, in whole words of 64.
 LEAST_BITS = 512
 # Width of the error bounds in standard deviations of the rotated rest: a true neighbour right at the
-# border is passed over with a probability below 4e-5.
-SIGMAS = 4.0
+# border is passed over with a probability of 0.0014 at most.
+SIGMAS = 3.0
 # Bound of the vectors and codes that a task holds, and the least rows of a block when more tasks are free.
 BLOCK_BYTES = 128 << 20
 LEAST_BLOCK = 2048
@@ -59,41 +59,47 @@ def encode(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def estimate(
     codes: np.ndarray, lengths: np.ndarray, products: np.ndarray, queries: np.ndarray, sigmas: float = SIGMAS
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(estimated inner product, bound of its error), codes by queries."""
+    """(estimated inner products, codes by queries; bound of their errors by code), both for queries brought to unit length."""
     bits = codes.shape[1] * 8
-    signs = np.unpackbits(codes, axis=1).astype(np.float32) * 2 - 1
-    sizes = np.linalg.norm(queries, axis=1)
-    turned = (queries / sizes[:, None]).astype(np.float32) @ rotation(queries.shape[1])
-    found = (signs @ turned.T).astype(np.float64) / np.sqrt(bits) / products[:, None]
-    rest = np.sqrt(np.maximum(1 - products**2, 0)) / products * sigmas / np.sqrt(bits - 1) + 1e-5
-    return found * lengths[:, None] * sizes, (rest * lengths)[:, None] * sizes
+    sizes = np.linalg.norm(queries, axis=1, keepdims=True)
+    turned = (queries / sizes).astype(np.float32) @ rotation(queries.shape[1])
+    # Twice the sum over the set bits less the sum over all.
+    found = np.unpackbits(codes, axis=1).astype(np.float32) @ (2 * turned.T)
+    found -= turned.sum(axis=1)
+    found *= (lengths / products / np.sqrt(bits))[:, None].astype(np.float32)
+    error = np.sqrt(np.maximum(1 - products**2, 0)) / products * sigmas / np.sqrt(bits - 1) + 1e-5
+    return found, error * lengths
 
 
 class Block:
-    """Vectors of one length with their codes; ``best`` keeps the nearest of a batch of queries."""
+    """Vectors of one length with their codes; ``best`` finds the nearest of a batch of queries."""
 
     def __init__(self, ids: np.ndarray, least: np.ndarray, vectors: np.ndarray):
         self.ids, self.least, self.vectors = ids, least, vectors
         self.codes, self.lengths, self.products = encode(vectors)
 
-    def best(self, queries: np.ndarray, nearest: int, sigmas: float = SIGMAS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def best(
+        self, queries: np.ndarray, nearest: int, sigmas: float = SIGMAS
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, row, score) of the nearest rows of each query, ties to the smaller id."""
         held = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
-        border = np.full(len(queries), -np.inf)
+        sizes = np.linalg.norm(queries, axis=1)
         for start in range(0, len(self.ids), CODES_AT_ONCE):
             part = slice(start, start + CODES_AT_ONCE)
-            middle, error = estimate(self.codes[part], self.lengths[part], self.products[part], queries, sigmas)
-            lower = middle - error
-            if len(lower) >= nearest:
-                np.maximum(border, np.partition(lower, -nearest, axis=0)[-nearest], out=border)
-            row, query = np.nonzero(middle + error >= border)
+            found, error = estimate(self.codes[part], self.lengths[part], self.products[part], queries, sigmas)
+            if start == 0:
+                # The best by estimate are measured first: their scores make the first border.
+                first = np.partition(found, max(len(found) - nearest, 0), axis=0)[max(len(found) - nearest, 0)]
+                row, query = np.nonzero(found >= first)
+                held = self._nearest(held, query, row, queries, nearest)
+                found[row, query] = -np.inf
+            # A full list's last is the border, in units of the query's length.
+            border = np.full(len(queries), np.inf)
+            np.minimum.at(border, held[0], held[2])
+            border[np.bincount(held[0], minlength=len(queries)) < nearest] = -np.inf
+            found += error[:, None].astype(np.float32)
+            row, query = np.nonzero((found >= (border / sizes).astype(np.float32)) & (found > -np.inf))
             held = self._nearest(held, query, row + start, queries, nearest)
-            # The last of a full list is a border too.
-            counts = np.bincount(held[0], minlength=len(queries))
-            last = np.full(len(queries), -np.inf)
-            np.minimum.at(lowest := np.full(len(queries), np.inf), held[0], held[2])
-            last[counts >= nearest] = lowest[counts >= nearest]
-            np.maximum(border, last, out=border)
         return held
 
     def _nearest(self, held, query, row, queries, nearest):

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from commentloom.llm.hot import join_classes
 from commentloom.llm.scratch import forget, numbered, stored
 
 BLOCK_BYTES = 1024
@@ -53,12 +54,17 @@ def exact_dedup(
         "rows",
     )
     identities = _identities(rows, _name_blocks(texts, rows, block_bytes))
-    marked = rows.select(*carry, "row_id", "doc_id", "text_sha256").join(identities, "row_id")
-    groups = marked.groupBy("_level", "_name").agg(
-        F.max(F.struct("doc_id", (-F.col("row_id")).alias("_first"))).alias("_keep"),
-        F.count(F.lit(1)).alias("group_size"),
+    marked = rows.select(*carry, "row_id", "doc_id", "text_sha256").join(identities, "row_id").withColumn(
+        "_identity", F.struct("_level", "_name")
     )
-    return marked.join(groups, ["_level", "_name"]).select(
+    groups = stored(
+        marked.groupBy("_identity").agg(
+            F.max(F.struct("doc_id", (-F.col("row_id")).alias("_first"))).alias("_keep"),
+            F.count(F.lit(1)).alias("group_size"),
+        ),
+        "groups",
+    )
+    return join_classes(marked, groups, "_identity", "group_size").select(
         *carry,
         "doc_id",
         F.col("_keep.doc_id").alias("keep_id"),

@@ -8,7 +8,7 @@ narrow rows, which the skew join splits.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from commentloom.llm.scratch import forget, stored
@@ -20,16 +20,13 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Edges are pairs of longs in any direction, repeats and loops allowed. A node without an edge
     to another node gives no row.
     """
-    current = stored(
+    current, state = _stored(
         edges.where(F.col(a) != F.col(b))
         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-        .distinct(),
-        "edges",
+        .distinct()
     )
-    state = _state(current)
     while state[0]:
-        after = stored(_small_star(_large_star(current)), "edges")
-        found = _state(after)
+        after, found = _stored(_small_star(_large_star(current)))
         forget(current)
         current = after
         if found == state:
@@ -41,15 +38,20 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     )
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Number and two checksums of the edges: equal states mean that a round changed nothing."""
-    return tuple(
-        edges.agg(
-            F.count(F.lit(1)),
-            F.coalesce(F.expr("bit_xor(xxhash64(u, v))"), F.lit(0)),
-            F.coalesce(F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 31))), F.lit(0)),
-        ).first()
+def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The stored edges, with their number and two checksums, taken while they are written.
+
+    Equal states mean that a round changed nothing.
+    """
+    seen = Observation()
+    counted = edges.observe(
+        seen,
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.expr("bit_xor(xxhash64(u, v))"), F.lit(0)).alias("mixed"),
+        F.coalesce(F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 31))), F.lit(0)).alias("sum"),
     )
+    table = stored(counted, "edges")
+    return table, tuple(seen.get[c] for c in ("n", "mixed", "sum"))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

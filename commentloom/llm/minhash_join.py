@@ -137,15 +137,19 @@ def _links(texts, rows, classes, width, percent, coordinates, miss) -> DataFrame
     least_base = least_matches(coordinates * ROWS, rate, miss)
     prefix = stored(_prefix(classes, coordinates, least), "postings")
 
+    # Texts that any pair may need are fetched once, whatever the number of rounds.
+    fetched = _fetched(prefix.select("cls").distinct(), texts, classes)
+
     # First the components of a list meet through one member each: as many pairs as components.
     tried = links = None
     while True:
         found = None if links is None else stored(connected_components(links), "components")
         pairs = _counted(_stars(prefix, found), classes, least_base, percent, near=True)
         fresh = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        more = stored(_confirmed(fresh.where("enough").drop("enough"), texts, classes, width, percent), "links")
-        tried = fresh if tried is None else tried.union(fresh)
-        links = more if links is None else links.union(more)
+        more = stored(_confirmed(fresh.where("enough").drop("enough"), fetched, width, percent), "links")
+        # Stored as one, so that plans do not grow with the rounds.
+        tried = fresh if tried is None else stored(tried.union(fresh), "tried")
+        links = more if links is None else stored(links.union(more), "links")
         if more.isEmpty():
             break
     # Documents that were near one another, linked or not, form a neighbourhood. Inside one, all
@@ -153,10 +157,11 @@ def _links(texts, rows, classes, width, percent, coordinates, miss) -> DataFrame
     if found is None:
         found = connected_components(links)
     near = stored(connected_components(tried.select("a", "b")), "components")
-    inside = stored(_within(near, found, texts, classes, width, percent), "links")
+    inside = stored(_within(near, found, fetched, classes, width, percent), "links")
     rest = stored(_counted(_apart(prefix, near, least, percent), classes, least_base, percent), "pairs")
-    across = stored(_confirmed(rest, texts, classes, width, percent), "links")
+    across = stored(_confirmed(rest, fetched, width, percent), "links")
     forget(prefix)
+    forget(fetched)
     return links.union(inside).union(across)
 
 
@@ -268,14 +273,8 @@ def _set_of(text: pa.StringScalar, width: int) -> np.ndarray:
     return shingle_hashes(text.as_buffer().to_pybytes(), width)
 
 
-def _confirmed(pairs: DataFrame, texts, classes, width: int, percent: int) -> DataFrame:
-    """Pairs whose full shingle sets are similar enough.
-
-    Only texts that occur in a pair are fetched, once, and the pairs bring them together.
-    """
-    if pairs.isEmpty():
-        return pairs
-    fetched = _fetched(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), texts, classes)
+def _confirmed(pairs: DataFrame, fetched: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs whose full shingle sets are similar enough."""
     both = pairs.join(fetched.toDF("a", "_ta"), "a").join(fetched.toDF("b", "_tb"), "b")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,7 +293,7 @@ def _confirmed(pairs: DataFrame, texts, classes, width: int, percent: int) -> Da
     return both.mapInArrow(confirm, "a bigint, b bigint")
 
 
-def _within(near: DataFrame, components: DataFrame, texts, classes, width: int, percent: int) -> DataFrame:
+def _within(near: DataFrame, components: DataFrame, fetched, classes, width: int, percent: int) -> DataFrame:
     """Links between different components of one neighbourhood, one per two components and block.
 
     The neighbourhoods that are one component are done. The others are compared in pairs of
@@ -315,7 +314,6 @@ def _within(near: DataFrame, components: DataFrame, texts, classes, width: int,
     )
     if members.isEmpty():
         return members.select(F.col("id").alias("a"), F.col("id").alias("b"))
-    fetched = _fetched(members.select(F.col("id").alias("cls")).distinct(), texts, classes)
     met = block_pairs(members, BLOCK_ROWS, BLOCK_SHINGLES, part=True)
     met = met.join(fetched.withColumnRenamed("cls", "id"), "id").select("pair", "side", "id", "part", "_text")
 

@@ -10,10 +10,13 @@ exactly its target.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from commentloom.llm.hot import join_classes
 from commentloom.llm.scratch import numbered, stored
 from commentloom.operators.running import running_total
 
@@ -21,6 +24,8 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 BLOCK_WORDS = 256
 WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
+# Rows that are ordered by one task, about.
+CHUNK_ROWS = 4096
 SEED = "mix:"
 
 
@@ -51,69 +56,73 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     return shares.withColumn("target", target).select("source", "source_rank", "source_size", "weight", "target")
 
 
-def mix_schedule(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-    block_words: int = BLOCK_WORDS,
-    weights: tuple[int, ...] = WEIGHTS,
-    most: int = MOST_REPEATS,
-    carry: tuple[str, ...] = (),
-) -> tuple[DataFrame, DataFrame]:
-    """Two tables: the rows, with their targets, and the schedule.
-
-    Rows: the columns to ``carry``, row_id, doc_id, source, size, source_size, target. Schedule: slot, source_rank, block,
-    row_id, start and length in words, repeat. A slot without documents does not occur. NULL text
-    has size 0; a document of size 0 is never scheduled. NULL is a source of its own. Repeated rows
-    are documents of their own. The order within a source hangs on the doc_id alone (then on size), so
-    a rerun gives the same schedule. An empty table gives two empty tables.
-    """
+def _laid(
+    docs: DataFrame, doc_id: str, text: str, source: str, block_words: int, weights: tuple[int, ...], most: int, carry: tuple[str, ...]
+) -> tuple[DataFrame, int]:
+    """Rows with their source's targets, their place among its words (_at) and its blocks; and the bits of a slot."""
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    order = F.md5(F.concat(F.lit(SEED), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
+    shuffled = F.md5(
+        F.concat(
+            F.lit(SEED), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"),
+            F.md5(F.coalesce(F.col(text), F.lit(""))),
+        )
+    )
     rows = stored(
         numbered(
-            docs.select(*carry, F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.alias("size"), order.alias("_order"))
+            docs.select(*carry, F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.alias("size"), shuffled.alias("_order"))
         ),
         "rows",
     )
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
     # A source takes its target, to the word, in whole blocks but for the last.
     words = F.least(most * F.col("source_size"), F.floor(F.col("target") + 0.5))
     before = W.orderBy("source_rank").rowsBetween(W.unboundedPreceding, -1)
-    sources = (
-        source_targets(sizes, weights, most)
+    shares = source_targets(sizes.select("source", "source_size"), weights, most)
+    counted = sizes.select(F.col("source").alias("_counted"), "_rows")
+    sources = stored(
+        shares.join(counted, F.col("source").eqNullSafe(F.col("_counted")))
+        .drop("_counted")
         .withColumn("_words", words)
         .withColumn("_blocks", F.ceil(F.col("_words") / block_words))
-        .withColumn("_low", F.coalesce(F.sum("_blocks").over(before), F.lit(0)))
+        .withColumn("_low", F.coalesce(F.sum("_blocks").over(before), F.lit(0))),
+        "sources",
     )
-    sources = stored(sources, "sources")
-    named = sources.withColumnRenamed("source", "_name")
+    total = sources.agg(F.coalesce(F.sum("_blocks"), F.lit(0)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
+    named = sources.withColumnRenamed("source", "_name").drop("_rows")
     placed = rows.join(named, F.col("source").eqNullSafe(F.col("_name"))).drop("_name")
-    pieces = _pieces(placed, block_words, most)
-    schedule = pieces.join(_slots(sources), ["source_rank", "block"]).select(
-        "slot", "source_rank", "block", "row_id", "start", "length", "repeat"
+    placed = placed.withColumn("_key", F.concat_ws(":", "source_rank", "_order"))
+    # Equal rows lie next to one another; a run of them is one row of the first sum, however many they are.
+    digits = max(3, math.ceil(math.log(max(total[1], 1) / CHUNK_ROWS, 16)) if total[1] > CHUNK_ROWS else 0)
+    runs = placed.groupBy("_key", "source_rank", "_order", "size").agg(F.count(F.lit(1)).alias("_copies"))
+    chunk = F.conv(F.substring("_order", 1, digits), 16, 10).cast("long")
+    ahead = running_total(
+        runs.withColumn("_chunk", chunk), ["source_rank"], "_chunk", ["_order"], F.col("_copies") * F.col("size"), "_ahead"
     )
-    return placed.select(*carry, "row_id", "doc_id", "source", "size", "source_size", "target"), schedule
+    part = F.expr(f"row_id div {CHUNK_ROWS}")
+    nth = running_total(placed.withColumn("_part", part), ["_key"], "_part", ["row_id"], F.lit(1), "_nth").drop("_part")
+    laid = join_classes(nth, ahead.select("_key", "_ahead", "_copies"), "_key", "_copies")
+    at = F.col("_ahead") + F.col("_nth") * F.col("size")
+    return laid.withColumn("_at", at), max(1, (max(int(total[0]), 1) - 1).bit_length())
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """row_id, doc_id, source, size, source_size, target and taken of every row, and columns to carry.
+def mix_schedule(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    block_words: int = BLOCK_WORDS,
+    weights: tuple[int, ...] = WEIGHTS,
+    most: int = MOST_REPEATS,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """The schedule: one row per slot and document in it.
 
-    ``taken`` is the number of words that the schedule takes from the document, repeats counted.
+    Columns: those to carry, row_id, doc_id, slot, source_rank, block, start and length in words, repeat. A slot without documents
+    does not occur. NULL text has size 0; a document of size 0 is never scheduled. NULL is a source of its own. Repeated
+    rows are documents of their own. The order within a source hangs on the doc_id and the text alone, so a rerun gives
+    the same schedule. An empty table gives an empty schedule.
     """
-    rows, schedule = mix_schedule(docs, **options)
-    taken = schedule.groupBy("row_id").agg(F.sum("length").alias("_taken"))
-    return rows.join(taken, "row_id", "left").select(
-        *rows.columns, F.coalesce("_taken", F.lit(0)).cast("long").alias("taken")
-    )
-
-
-def _pieces(placed: DataFrame, block_words: int, most: int) -> DataFrame:
-    """The shuffled documents of each source, cut at the block borders."""
-    # The first three digits of the random order cut a source into chunks, whatever its size.
-    chunked = placed.where("size > 0").withColumn("_chunk", F.conv(F.substring("_order", 1, 3), 16, 10).cast("int"))
-    laid = running_total(chunked, ["source_rank"], "_chunk", ["_order", "size", "row_id"], F.col("size"), "_at")
+    laid, bits = _laid(docs, doc_id, text, source, block_words, weights, most, carry)
     first = F.col("repeat") * F.col("source_size") + F.col("_at")
     return (
         laid.withColumn("repeat", F.explode(F.array(*[F.lit(r) for r in range(most)])))
@@ -124,45 +133,52 @@ def _pieces(placed: DataFrame, block_words: int, most: int) -> DataFrame:
         .withColumn("_start", F.greatest("_from", F.col("block") * block_words))
         .withColumn("_end", F.least("_to", (F.col("block") + 1) * block_words))
         .select(
-            "source_rank", "block", "row_id", "repeat",
+            *carry, "row_id", "doc_id", F.expr(_slot("block", bits)).alias("slot"), "source_rank", "block", "repeat",
             (F.col("_start") - F.col("_from")).alias("start"),
             (F.col("_end") - F.col("_start")).alias("length"),
         )
     )
 
 
-def _slots(sources: DataFrame) -> DataFrame:
-    """(slot, source_rank, block): the source of each point and its rank among the source's points."""
-    total = sources.agg(F.coalesce(F.sum("_blocks"), F.lit(0)).alias("n")).first()["n"]
-    bits = max(1, (max(total, 1) - 1).bit_length())
-    points = (
-        sources.sparkSession.range(1 << bits)
-        .withColumn("_point", F.expr(_reversed_bits("id", bits)))
-        .where(F.col("_point") < total)
-    )
-    # Points and shares meet by stretches of the number line.
-    width = 1 << ((bits + 1) // 2)
-    shares = sources.where("_blocks > 0").select(
-        "source_rank", "_low", (F.col("_low") + F.col("_blocks")).alias("_high")
-    ).withColumn("_stretch", F.explode(F.expr(f"sequence(_low div {width}, (_high - 1) div {width})")))
-    found = (
-        points.withColumn("_stretch", F.expr(f"_point div {width}"))
-        .join(shares, "_stretch")
-        .where("_point >= _low AND _point < _high")
-        .select(F.col("id").alias("slot"), "source_rank")
-        .withColumn("_chunk", F.shiftright("slot", 16))
-    )
-    return running_total(found, ["source_rank"], "_chunk", ["slot"], F.lit(1), "block").select(
-        "slot", "source_rank", "block"
+def mixed(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    block_words: int = BLOCK_WORDS,
+    weights: tuple[int, ...] = WEIGHTS,
+    most: int = MOST_REPEATS,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """The schedule by row: what it takes of each document, and where.
+
+    Columns: those to carry, row_id, doc_id, source, size, source_size, target, taken (words, repeats counted), n_slots
+    (slots that hold a part of the document, repeats counted) and slots (the first slot of each time it is taken, in
+    order). Cases as in ``mix_schedule``; a document that is not taken has no slots.
+    """
+    laid, bits = _laid(docs, doc_id, text, source, block_words, weights, most, carry)
+    for r in range(most):
+        laid = laid.withColumn(f"_from{r}", F.col("_at") + r * F.col("source_size")).withColumn(
+            f"_to{r}", F.greatest(F.col(f"_from{r}"), F.least(F.col(f"_from{r}") + F.col("size"), F.col("_words")))
+        )
+    times = range(most)
+    taken = " + ".join(f"(_to{r} - _from{r})" for r in times)
+    held = " + ".join(f"if(_to{r} > _from{r}, (_to{r} - 1) div {block_words} - _from{r} div {block_words} + 1, 0L)" for r in times)
+    slots = ", ".join(f"if(_to{r} > _from{r}, {_slot(f'_from{r} div {block_words}', bits)}, NULL)" for r in times)
+    return laid.select(
+        *carry, "row_id", "doc_id", "source", "size", "source_size", "target",
+        F.expr(taken).alias("taken"), F.expr(held).alias("n_slots"), F.expr(f"array_compact(array({slots}))").alias("slots"),
     )
 
 
-def _reversed_bits(number: str, bits: int) -> str:
-    """The lowest ``bits`` bits of a number back to front, as SQL: swap ever larger halves."""
-    masks = ((1, 0x5555555555555555), (2, 0x3333333333333333), (4, 0x0F0F0F0F0F0F0F0F),
-             (8, 0x00FF00FF00FF00FF), (16, 0x0000FFFF0000FFFF))
-    value = number
-    for step, mask in masks:
-        value = f"(shiftleft({value} & {mask}L, {step}) | (shiftrightunsigned({value}, {step}) & {mask}L))"
-    whole = f"(shiftleft({value}, 32) | shiftrightunsigned({value}, 32))"
-    return f"shiftrightunsigned({whole}, {64 - bits})"
+def _slot(block: str, bits: int) -> str:
+    """The slot of the source's block, as SQL: its place among the points of the sequence that fall into its share.
+
+    Point i lies at i's bits back to front, and the source owns the stretch [_low, _low + _blocks). The slot's bits are found from
+    the highest on: of the points that have the bits so far, those with a zero next come first, and how many of them lie in the stretch
+    follows from the remainders of its ends.
+    """
+    ahead = "shiftright(_low + _blocks - 1 - s.low, k) - shiftright(_low - 1 - s.low, k)"
+    return f"""aggregate(sequence(1, {bits}), named_struct('left', {block}, 'low', 0L, 'slot', 0L), (s, k) ->
+        if(s.left < {ahead}, s, named_struct('left', s.left - ({ahead}), 'low', s.low + shiftleft(1L, k - 1),
+          'slot', s.slot + shiftleft(1L, {bits} - k)))).slot"""

@@ -23,6 +23,8 @@ BUCKET_BITS = 18
 SIZES = (1, 2, 3, 4)
 # Stated bound of the labelled sample, for each of the two classes.
 SAMPLE_PER_CLASS = 2_000
+# And of the buckets of one text in it; so the fit holds 262 MB at most. Scoring has no such bound.
+FIT_BUCKETS = 1 << 14
 THRESHOLD = 0.3
 FOLDS = 5
 LONGEST_RUN = 8
@@ -125,8 +127,10 @@ def fit(
     """Fit on a sample of at most ``per_class`` labelled rows per class.
 
     The sample's doc_ids are few and are sent to the tasks, which turn the sampled texts into
-    buckets; only these reach the driver. Without rows of both classes the model scores
-    every text with the share of label 1 (1 without labels).
+    buckets, at most ``FIT_BUCKETS`` of a text, and one task fits the model on these; only the model reaches the
+    driver. Without rows of both classes, so with empty tables too, the model scores every text with the share of
+    label 1 (1 without labels). NULL and empty texts have no buckets; rows of one doc_id count once; labels other than
+    0 and 1 and NULL ids are left out; other columns are not looked at, whatever their names.
     """
     chosen = labelled_sample(labels, doc_id, quality, per_class, folds).collect()
     if not {row["quality"] for row in chosen} == {0, 1}:
@@ -138,24 +142,49 @@ def fit(
         F.broadcast(ids), F.col("_doc") == F.col("_id")
     )
 
+    kind = docs.schema[doc_id].dataType.simpleString()
+
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [gram_buckets(t.as_buffer().to_pybytes()).astype("<u4").tobytes() for t in batch.column("_text")]
+            sets = [bounded(gram_buckets(t.as_buffer().to_pybytes())).astype("<u4").tobytes() for t in batch.column("_text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_doc"), batch.column("_quality"), pa.array(sets, pa.binary())],
                 names=["doc", "quality", "buckets"],
             )
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    table = texts.select("_doc", F.col("_quality").cast("int").alias("_quality"), "_text").mapInArrow(
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        rows = pa.Table.from_batches(held).to_pandas()
+        if rows["quality"].nunique() < 2:
+            return
+        # Repeated rows of a document count once; the order of the fit is fixed.
+        rows = rows.sort_values(["doc", "buckets"]).drop_duplicates("doc")
+        model = fit_sets([np.frombuffer(b, "<u4") for b in rows["buckets"]], rows["quality"].to_numpy())
+        numbers = np.array([model.bias, model.slope, model.shift])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([v.tobytes()], pa.binary()) for v in (model.ratios, model.weights, numbers)],
+            names=["ratios", "weights", "numbers"],
+        )
+
+    sampled = texts.select("_doc", F.col("_quality").cast("int").alias("_quality"), "_text").mapInArrow(
         take, f"doc {kind}, quality int, buckets binary"
-    ).toPandas()
-    if table["quality"].nunique() < 2:
+    )
+    # One task learns: at most 2 * per_class rows of at most FIT_BUCKETS numbers. Only the model reaches the driver.
+    found = sampled.repartition(1).mapInArrow(learn, "ratios binary, weights binary, numbers binary").first()
+    if found is None:
         return _constant(chosen)
-    # Repeated rows of a document count once; the order of the fit is fixed.
-    table = table.sort_values(["doc", "buckets"]).drop_duplicates("doc")
-    sets = [np.frombuffer(b, "<u4") for b in table["buckets"]]
-    return fit_sets(sets, table["quality"].to_numpy())
+    ratios, weights, numbers = (np.frombuffer(v) for v in found)
+    return QualityModel(ratios, weights, *numbers.tolist())
+
+
+def bounded(buckets: np.ndarray) -> np.ndarray:
+    """The buckets of a text, or of a very long one an even sample of them, the same on every run."""
+    if len(buckets) <= FIT_BUCKETS:
+        return buckets
+    # An odd factor deals the numbers out anew: those that come first are as good as drawn at random.
+    return buckets[np.argpartition(buckets.astype(np.uint32) * np.uint32(0x9E3779B1), FIT_BUCKETS)[:FIT_BUCKETS]]
 
 
 def _constant(chosen) -> QualityModel:
@@ -165,48 +194,63 @@ def _constant(chosen) -> QualityModel:
     return QualityModel(nothing, nothing, 0.0, 0.0, float(np.log(share / (1 - share))))
 
 
-def fit_sets(sets: list[np.ndarray], quality: np.ndarray) -> QualityModel:
+def log_count_ratios(sets: list[np.ndarray], quality: np.ndarray) -> np.ndarray:
+    """Per bucket, the logarithm of its smoothed share in class 1 over that in class 0."""
     counts = np.full((2, 1 << BUCKET_BITS), SMOOTHING)
     for found, label in zip(sets, quality):
         counts[label, found] += 1
     shares = counts / counts.sum(axis=1, keepdims=True)
-    ratios = np.log(shares[1] / shares[0])
-    signs = np.where(quality == 1, 1.0, -1.0)
-    weights, bias = _dual_coordinate_descent(sets, signs, ratios)
-    # Margins of rows that the fit has not seen give the map to probabilities.
-    half = np.arange(len(sets)) % 2 == 0
-    margins = np.empty(len(sets))
-    for part in (half, ~half):
-        w, b = _dual_coordinate_descent([s for s, p in zip(sets, part) if p], signs[part], ratios)
-        model = QualityModel(ratios, w, b, 1.0, 0.0)
-        margins[~part] = model.margins([s for s, p in zip(sets, part) if not p])
-    slope, shift = _logistic(margins, quality)
-    return QualityModel(ratios, weights, bias, slope, shift)
-
-
-def _dual_coordinate_descent(
-    sets: list[np.ndarray], signs: np.ndarray, ratios: np.ndarray
+    return np.log(shares[1] / shares[0])
+
+
+def _fit_half(sets: list[np.ndarray], quality: np.ndarray) -> QualityModel:
+    ratios = log_count_ratios(sets, quality)
+    weights, bias = dual_coordinate_descent(sets, np.where(quality == 1, 1.0, -1.0), ratios)
+    return QualityModel(ratios, weights, bias, 1.0, 0.0)
+
+
+def fit_sets(sets: list[np.ndarray], quality: np.ndarray) -> QualityModel:
+    """Model of the bucket sets of texts with labels 0 and 1."""
+    whole = _fit_half(sets, quality)
+    # Margins of rows that neither the ratios nor the weights have seen give the map to probabilities.
+    margins, seen = np.zeros(len(sets)), np.zeros(len(sets), dtype=bool)
+    for part in (np.arange(len(sets)) % 2 == 0, np.arange(len(sets)) % 2 == 1):
+        if len(set(quality[part])) == 2:
+            model = _fit_half([s for s, p in zip(sets, part) if p], quality[part])
+            margins[~part] = model.margins([s for s, p in zip(sets, part) if not p])
+            seen |= ~part
+    if len(set(quality[seen])) < 2:
+        # Too few rows for halves: the fitted rows themselves have to do.
+        margins, seen = whole.margins(sets), np.ones(len(sets), dtype=bool)
+    slope, shift = _logistic(margins[seen], quality[seen])
+    return QualityModel(whole.ratios, whole.weights, whole.bias, slope, shift)
+
+
+def dual_coordinate_descent(
+    sets: list[np.ndarray], signs: np.ndarray, ratios: np.ndarray, rounds: int = ROUNDS, close: float = 1e-3
 ) -> tuple[np.ndarray, float]:
     """Weights of the scaled, unit-length rows under squared hinge loss, and the bias.
 
     Each step solves one dual variable exactly. The bias is one more feature of value 1.
     """
-    rows = [ratios[s] / np.sqrt((ratios[s] ** 2).sum() + 1e-12) for s in sets]
-    diagonal = np.array([(r**2).sum() for r in rows]) + 1 + 1 / (2 * COST)
+    # Rows are scaled as they are met, so only the buckets are held.
+    norms = np.array([np.sqrt((ratios[s] ** 2).sum() + 1e-12) for s in sets])
+    diagonal = np.array([(ratios[s] ** 2).sum() for s in sets]) / norms**2 + 1 + 1 / (2 * COST)
     weights, bias, alpha = np.zeros(len(ratios)), 0.0, np.zeros(len(sets))
     random = np.random.default_rng(7)
-    for _ in range(ROUNDS):
+    for _ in range(rounds):
         largest = 0.0
         for i in random.permutation(len(sets)):
-            gradient = signs[i] * (weights[sets[i]] @ rows[i] + bias) - 1 + alpha[i] / (2 * COST)
+            row = ratios[sets[i]] / norms[i]
+            gradient = signs[i] * (weights[sets[i]] @ row + bias) - 1 + alpha[i] / (2 * COST)
             before = alpha[i]
             alpha[i] = max(before - gradient / diagonal[i], 0.0)
             step = (alpha[i] - before) * signs[i]
             if step:
-                weights[sets[i]] += step * rows[i]
+                weights[sets[i]] += step * row
                 bias += step
                 largest = max(largest, abs(step))
-        if largest < 1e-3:
+        if largest < close:
             break
     return weights, bias
 
@@ -237,8 +281,8 @@ def score(
 ) -> DataFrame:
     """doc_id, score and predicted of every row, and the columns to ``keep`` (not named like these).
 
-    A NULL or empty text has no n-grams and gets the score of the bias. Repeated rows get equal
-    scores. ``predicted`` is 1 from ``threshold`` on.
+    A NULL or empty text has no n-grams and gets the score of the bias; a long one is scored as a whole. Repeated rows
+    get equal scores. ``predicted`` is 1 from ``threshold`` on. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)

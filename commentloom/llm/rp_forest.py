@@ -1,91 +1,119 @@
 """Near-duplicate vectors by a forest of random-projection trees.
 
-Every tree halves the space again and again at the median of a random projection; vectors close to
-a border go to both sides. A node so dense that its halves would overlap for the most part is a leaf. Vectors
+Every tree splits the vectors of a label again and again by random projections. A border lies where it saves most
+comparisons, so beside a dense group and not through it, and vectors close to
+a border go to both sides. A node that no border would make cheaper is a leaf, and so is a small one. Trees are fitted
+in rounds: borders come from a sample of a node's own rows, and what is still large below them is sampled anew,
+so leaves stay small however many vectors there are. Vectors
 are compared within the leaves only, in double precision, so each
 reported link is a true one, and a pair is lost only if all trees part it. Leaves of any size are
-compared in pairs of blocks. Pairs never leave a task: a leaf gives each vector's number of links
+compared in pairs of blocks; what a large leaf of the first tree has compared, the other trees leave out. Pairs never leave a task: a leaf gives each vector's number of links
 and a tree of links, and a pair that meets in several leaves is counted in the first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commentloom.llm.blocks import block_pairs, map_runs
+from commentloom.llm.blocks import SMALL, block_pairs, map_runs
 from commentloom.llm.components import connected_components
+from commentloom.llm.hot import join_classes
 from commentloom.llm.scratch import numbered, stored
+from commentloom.llm.shingles import BASE, mixed
 
 TREES = 4
 # Width of the overlap at a border, in standard deviations of a projected pair at the threshold.
-SPILL = 2.0
-LEAF_ROWS = 512
-# Stated bound of the sample that places the borders; every vector is indexed.
-SAMPLE_ROWS = 20_000
-LEAST_NODE = 16
+SPILL = 1.6
+LEAF_ROWS = 32
+# Directions that a node chooses from, and the share of its comparisons that a split may leave at most.
+DIRECTIONS = 8
+WORTH = 0.8
+# Sample of one node that places the borders below it, in rows and bytes, and the rows of a sample that can carry a border.
+FIT_ROWS = 8192
+FIT_BYTES = 16 << 20
+LEAST_SAMPLE = 16
+MOST_LEVELS = 60
+# Rows that one task sends down a node's borders.
+ROUTE_ROWS = 1 << 16
 BLOCK_ROWS = 512
 BLOCK_NUMBERS = 512 * 1024
 
+Borders = dict[int, tuple[int, float]]
 
-@dataclass(frozen=True)
-class Forest:
-    """Directions (tree, level, dimension) and borders (tree, node), nodes numbered from 1 by level."""
-
-    directions: np.ndarray
-    borders: np.ndarray
-    margin: float
-
-    def leaves(self, tree: int, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, leaf) of all rows of a matrix of unit vectors."""
-        rows, nodes = np.arange(len(unit)), np.ones(len(unit), dtype=np.int64)
-        done = []
-        for level in range(self.directions.shape[1]):
-            border = self.borders[tree, nodes]
-            inner = ~np.isnan(border)
-            done.append((rows[~inner], nodes[~inner]))
-            rows, nodes, border = rows[inner], nodes[inner], border[inner]
-            place = unit[rows] @ self.directions[tree, level, : unit.shape[1]]
-            left, right = place < border + self.margin, place >= border - self.margin
-            rows = np.concatenate([rows[left], rows[right]])
-            nodes = np.concatenate([2 * nodes[left], 2 * nodes[right] + 1])
-        done.append((rows, nodes))
-        return np.concatenate([r for r, _ in done]), np.concatenate([n for _, n in done])
-
-
-def fit_forest(sample: np.ndarray, trees: int, depth: int, distance: float, spill: float) -> Forest:
-    """Borders at the medians of the sample (unit vectors).
-
-    A node with few of them is a leaf, and so is one whose rows lie so close together that halving it would
-    save no comparisons: there it would only part near vectors.
+
+def directions(seed: int, level: int, width: int) -> np.ndarray:
+    """Unit vectors in the columns, the same wherever they are asked for."""
+    found = np.random.default_rng([11, seed, level, width]).standard_normal((width, DIRECTIONS))
+    return found / np.linalg.norm(found, axis=0)
+
+
+def best_border(places: np.ndarray, margin: float) -> tuple[float, int, float] | None:
+    """(comparisons left, direction, border) of the split that leaves least; None if none makes both sides smaller."""
+    best = None
+    for way, column in enumerate(places.T):
+        ordered = np.sort(column)
+        tried = ordered[np.unique(np.linspace(0, len(ordered) - 1, 256).astype(int))]
+        left = np.searchsorted(ordered, tried + margin)
+        right = len(ordered) - np.searchsorted(ordered, tried - margin)
+        cost = np.where((left < len(ordered)) & (right < len(ordered)), left.astype(float) ** 2 + right.astype(float) ** 2, np.inf)
+        at = cost.argmin()
+        if np.isfinite(cost[at]) and (best is None or cost[at] < best[0]):
+            best = (cost[at], way, float(tried[at]))
+    return best
+
+
+def fit_borders(sample: np.ndarray, rows: int, seed: int, margin: float, leaf_rows: int) -> tuple[Borders, set[int]]:
+    """Borders by node (1 is the root, 2i and 2i + 1 lie below i), and the leaves that want a sample of their own.
+
+    ``sample`` are unit vectors of a node of ``rows`` vectors.
     """
-    random = np.random.default_rng(11)
-    width = max(1, sample.shape[1])
-    directions = random.standard_normal((trees, max(depth, 1), width))
-    directions /= np.linalg.norm(directions, axis=2, keepdims=True)
-    borders = np.full((trees, 2 << depth), np.nan)
-    margin = spill * distance / np.sqrt(width) / 2
-    for tree in range(trees):
-        held = {1: np.arange(len(sample))}
-        for level in range(depth):
-            below = {}
-            for node, rows in held.items():
-                if len(rows) < LEAST_NODE:
-                    continue
-                place = sample[rows] @ directions[tree, level]
-                border = np.median(place)
-                left, right = place < border + margin, place >= border - margin
-                if left.sum() ** 2 + right.sum() ** 2 >= len(rows) ** 2:
-                    continue
-                borders[tree, node] = border
-                below[2 * node], below[2 * node + 1] = rows[left], rows[right]
-            held = below
-    return Forest(directions, borders, margin)
+    borders: Borders = {}
+    again: set[int] = set()
+    share = len(sample) / max(rows, 1)
+    held = {1: np.arange(len(sample))}
+    while held:
+        below = {}
+        for node, own in held.items():
+            level = node.bit_length() - 1
+            if len(own) <= leaf_rows * share or level >= MOST_LEVELS:
+                continue
+            if len(own) < LEAST_SAMPLE:
+                # A whole node is never sampled again, and so its rows are compared as they are.
+                if share < 1:
+                    again.add(node)
+                continue
+            places = sample[own] @ directions(seed, level, sample.shape[1])
+            found = best_border(places, margin)
+            if found is None or found[0] > WORTH * len(own) ** 2:
+                continue
+            _, way, border = found
+            borders[node] = (way, border)
+            below[2 * node] = own[places[:, way] < border + margin]
+            below[2 * node + 1] = own[places[:, way] >= border - margin]
+        held = below
+    return borders, again
+
+
+def leaves_of(unit: np.ndarray, borders: Borders, seed: int, margin: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, leaf) of the rows of a matrix of unit vectors; a row may be in several leaves."""
+    found = []
+    held = {1: np.arange(len(unit))}
+    while held:
+        below = {}
+        for node, own in held.items():
+            if node not in borders:
+                found.append((own, np.full(len(own), node)))
+                continue
+            way, border = borders[node]
+            places = unit[own] @ directions(seed, node.bit_length() - 1, unit.shape[1])[:, way]
+            below[2 * node], below[2 * node + 1] = own[places < border + margin], own[places >= border - margin]
+        held = below
+    return tuple(np.concatenate(c) for c in zip(*found))
 
 
 def near_duplicate_vectors(
@@ -97,6 +125,7 @@ def near_duplicate_vectors(
     trees: int = TREES,
     spill: float = SPILL,
     leaf_rows: int = LEAF_ROWS,
+    fit_rows: int = FIT_ROWS,
 ) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row.
 
@@ -104,7 +133,8 @@ def near_duplicate_vectors(
     A vector without label, or that is NULL, empty, all zero or has a NULL or non-finite component, is
     linked with nothing. Equal vectors are compared once and counted as often as they occur.
     component_id is the smallest vec_id reachable; a NULL vec_id is never the smallest unless the
-    component has no other, and ``kept`` is false for it. An empty table gives an empty result.
+    component has no other, and ``kept`` is false for it. An empty table gives an empty result. Vectors may be of any
+    length, and a label may hold all of them. Other columns are not looked at, whatever their names.
     """
     usable = (
         F.col("label").isNotNull()
@@ -117,7 +147,7 @@ def near_duplicate_vectors(
             vectors.select(
                 F.col(vec_id).alias("vec_id"),
                 F.col(label).alias("label"),
-                F.col(embedding).cast("array<double>").alias("embedding"),
+                F.col(embedding).alias("embedding"),
             ).withColumn("_usable", F.coalesce(usable, F.lit(False)))
         ),
         "vectors",
@@ -128,7 +158,7 @@ def near_duplicate_vectors(
         .agg(F.min("row_id").alias("cls"), F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("_least")),
         "classes",
     )
-    found = _linked(classes, cosine, trees, spill, leaf_rows)
+    found = _linked(classes, cosine, trees, spill, leaf_rows, fit_rows)
     components = connected_components(found.where("root IS NOT NULL").select(F.col("id").alias("a"), F.col("root").alias("b")))
     links = found.groupBy(F.col("id").alias("cls")).agg(F.sum("links").alias("_links"))
     placed = (
@@ -166,48 +196,127 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def _linked(classes: DataFrame, cosine: float, trees: int, spill: float, leaf_rows: int) -> DataFrame:
-    """(id, links, root): links that a leaf found, and the smallest class they lead to."""
-    spark = classes.sparkSession
-    size = F.size("embedding")
-    largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    width = classes.agg(F.max(size)).first()[0] or 1
-    sample = classes.select("embedding").orderBy(F.xxhash64("cls")).limit(SAMPLE_ROWS).toArrow()
-    depth = max(0, int(np.ceil(np.log2(max(1, largest) / leaf_rows))))
-    unit = np.zeros((0, width))
-    if sample.num_rows:
-        unit = _unit(_matrix(sample.column(0).combine_chunks(), width))
-    forest = fit_forest(unit, trees, depth, float(np.sqrt(2 - 2 * cosine)), spill)
-    shared = spark.sparkContext.broadcast(forest)
+_ENTRY = "cls bigint, tree int, node bigint, open boolean"
+
+
+def _entries(classes: DataFrame, cosine: float, trees: int, spill: float, leaf_rows: int, fit_rows: int) -> DataFrame:
+    """(cls, tree, node): the leaves of each class in each tree; nodes are numbers that only equal nodes share."""
+    width = F.size("embedding")
+    margin = spill * float(np.sqrt(2 - 2 * cosine)) / 2
+    roots = classes.select("cls", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "label", width.alias("width"))
+    entries = stored(
+        roots.select("cls", "tree", F.xxhash64("label", "width", "tree").alias("node"), F.lit(True).alias("open")), "entries"
+    )
+    done = []
+    while True:
+        sizes = stored(entries.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("open")), "sizes")
+        large = sizes.where(f"open AND n > {leaf_rows}").select("node", "n")
+        if large.isEmpty():
+            done.append(entries.select("cls", "tree", "node"))
+            break
+        counted = join_classes(entries.drop("open"), sizes, "node", "n")
+        is_large = F.expr(f"open AND n > {leaf_rows}")
+        done.append(counted.where(~is_large).select("cls", "tree", "node"))
+        wanted = counted.where(is_large).select("cls", "tree", "node", "n")
+        rows = wanted.join(classes.select("cls", "embedding"), "cls")
+        borders = _fitted(rows, margin, leaf_rows, fit_rows)
+        entries = stored(_routed(rows, large, borders, margin), "entries")
+    found = done[0]
+    for part in done[1:]:
+        found = found.union(part)
+    return stored(found, "leaves")
+
+
+def _fitted(rows: DataFrame, margin: float, leaf_rows: int, fit_rows: int) -> DataFrame:
+    """(node, tree, borders) of the nodes, each fitted by one task on a bounded sample of its rows."""
+    most = F.greatest(F.lit(LEAST_SAMPLE), F.least(F.lit(fit_rows), F.floor(F.lit(FIT_BYTES) / (8 * F.size("embedding")))))
+    chance = F.ceil(F.col("n") / most)
+    sample = rows.where(F.pmod(F.xxhash64("node", "cls"), chance) == 0)
+
+    def fit(run: pa.Table) -> pa.RecordBatch:
+        run = run.combine_chunks()
+        unit = _unit(_matrix(run.column("embedding").chunk(0)))
+        tree, size = run.column("tree")[0].as_py(), run.column("n")[0].as_py()
+        # The rows come in any order; the borders do not hang on it.
+        borders, again = fit_borders(unit, max(size, len(unit)), tree, margin / np.sqrt(unit.shape[1]), leaf_rows)
+        packed = np.array([(n, w, 0) for n, (w, _) in borders.items()] + [(n, -1, 0) for n in again], np.int64).reshape(-1, 3)
+        places = np.array([b for _, b in borders.values()] + [0.0] * len(again))
+        packed[:, 2] = places.view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [run.column("node").chunk(0)[:1], pa.array([packed.tobytes()], pa.binary())], names=["node", "borders"]
+        )
+
+    return stored(map_runs(sample, "node", fit, "node bigint, borders binary"), "borders")
+
+
+def _routed(rows: DataFrame, nodes: DataFrame, borders: DataFrame, margin: float) -> DataFrame:
+    """The entries below the fitted nodes. A node's borders go once to each task that has rows of it."""
+    parts = F.ceil(F.col("n") / ROUTE_ROWS)
+    kind = rows.schema["embedding"].dataType.simpleString()
+    first = nodes.join(borders, "node").select(
+        "node", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), F.lit(0).alias("side"),
+        F.lit(None).cast("bigint").alias("cls"), F.lit(None).cast("int").alias("tree"),
+        F.lit(None).cast(kind).alias("embedding"), "borders",
+    )
+    then = rows.select(
+        "node", F.pmod(F.xxhash64("cls"), parts).alias("part"), F.lit(1), "cls", "tree", "embedding", F.lit(None).cast("binary")
+    )
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = shared.value
+        known: tuple[Borders, np.ndarray] = ({}, np.empty(0, np.int64))
+        fitted_for = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            unit = _unit(_matrix(batch.column("embedding")))
-            rows, leaves = zip(*(fitted.leaves(t, unit) for t in range(trees)))
-            tree = np.repeat(np.arange(trees), [len(r) for r in rows])
-            row, leaf = np.concatenate(rows), np.concatenate(leaves)
-            order = np.lexsort((leaf, tree, row))
-            # One number per leaf of a tree; a row's numbers are in order.
-            number = (tree * fitted.borders.shape[1] + leaf)[order]
-            ends = np.cumsum(np.bincount(row, minlength=batch.num_rows))
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(number, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "leaves"])
-
-    kind = classes.schema["label"].dataType.simpleString()
-    routed = stored(
-        classes.select("cls", "label", "embedding", "copies").mapInArrow(
-            route, f"cls bigint, label {kind}, embedding array<double>, copies bigint, leaves array<bigint>"
-        ),
-        "routed",
+            node, side = batch.column("node").to_numpy(), batch.column("side").to_numpy()
+            cuts = np.flatnonzero((node[1:] != node[:-1]) | (side[1:] != side[:-1])) + 1
+            for start, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if start == end:
+                    continue
+                run = batch.slice(start, end - start)
+                if side[start] == 0:
+                    packed = np.frombuffer(run.column("borders")[0].as_py(), np.int64).reshape(-1, 3)
+                    places = np.ascontiguousarray(packed[:, 2]).view(np.float64).tolist()
+                    found = {n: (w, p) for (n, w, _), p in zip(packed.tolist(), places) if w >= 0}
+                    known, fitted_for = (found, packed[packed[:, 1] < 0, 0]), node[start]
+                    continue
+                # A sample may have missed a small node: it stays as it is then.
+                (borders, again), old = known if fitted_for == node[start] else ({}, np.empty(0, np.int64)), node[start]
+                unit = _unit(_matrix(run.column("embedding")))
+                tree = run.column("tree")[0].as_py()
+                row, leaf = leaves_of(unit, borders, tree, margin / np.sqrt(unit.shape[1]))
+                new = mixed(np.uint64(old.view(np.uint64) if old < 0 else old) * np.uint64(BASE) + leaf.astype(np.uint64))
+                yield pa.RecordBatch.from_arrays(
+                    [run.column("cls").take(pa.array(row)), run.column("tree").take(pa.array(row)),
+                     pa.array(new.view(np.int64)), pa.array(np.isin(leaf, again))],
+                    names=["cls", "tree", "node", "open"],
+                )
+
+    keys = ["node", "part"]
+    return first.union(then).repartition(*keys).sortWithinPartitions(*keys, "side").mapInArrow(route, _ENTRY)
+
+
+def _linked(
+    classes: DataFrame, cosine: float, trees: int, spill: float, leaf_rows: int, fit_rows: int
+) -> DataFrame:
+    """(id, links, root): links that a leaf found, and the smallest class they lead to."""
+    entries = _entries(classes, cosine, trees, spill, leaf_rows, fit_rows)
+    # Numbers of leaves rise with the tree, so that the first tree's come first in a row's list.
+    number = F.expr("shiftleft(cast(tree AS bigint), 56) + shiftrightunsigned(node, 8)")
+    entries = entries.select("cls", number.alias("leaf"), "tree")
+    sizes = entries.where("tree = 0").groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+    homes = join_classes(entries.where("tree = 0").select("cls", "leaf"), sizes, "leaf", "n")
+    homes = homes.groupBy("cls").agg(F.max(F.struct("n", "leaf")).alias("_home")).select("cls", F.col("_home.leaf").alias("_home"))
+    lists = entries.groupBy("cls").agg(F.array_sort(F.collect_set("leaf")).alias("leaves"))
+    size = F.size("embedding")
+    routed = stored(classes.select("cls", "label", "embedding", "copies").join(lists, "cls").join(homes, "cls"), "routed")
+    members = routed.select("cls", size.alias("weight"), "_home", F.explode("leaves").alias("leaf")).select(
+        F.col("leaf").alias("group"),
+        F.col("cls").alias("id"),
+        "weight",
+        # Rows of one leaf of the first tree have met there.
+        F.when(F.col("leaf") < F.lit(1 << 56), F.lit(SMALL)).otherwise(F.col("_home")).cast("bigint").alias("part"),
     )
-    members = routed.select(
-        "cls", "label", size.alias("weight"), F.explode("leaves").alias("leaf")
-    ).select(F.xxhash64("label", "weight", "leaf").alias("group"), F.col("cls").alias("id"), "weight", "leaf")
-    met = block_pairs(members, BLOCK_ROWS, BLOCK_NUMBERS).join(
-        routed.withColumnRenamed("cls", "id"), "id"
+    met = block_pairs(members, BLOCK_ROWS, BLOCK_NUMBERS, part=True).join(
+        routed.withColumnRenamed("cls", "id").drop("_home"), "id"
     )
 
     def compare(rows: pa.Table) -> pa.RecordBatch | None:
@@ -227,8 +336,8 @@ def _linked(classes: DataFrame, cosine: float, trees: int, spill: float, leaf_ro
         i, j = np.nonzero(linked)
         i, j = left[i], right[j]
         labels = rows.column("label").to_numpy(zero_copy_only=False)
-        leaf, width = rows.column("leaf").to_numpy(), rows.column("weight").to_numpy()
-        same = (labels[i] == labels[j]) & (leaf[i] == leaf[j]) & (width[i] == width[j])
+        leaf, width = rows.column("group").to_numpy(), rows.column("weight").to_numpy()
+        same = (labels[i] == labels[j]) & (width[i] == width[j])
         i, j = i[same], j[same]
         if not len(i):
             return None
@@ -245,7 +354,7 @@ def _linked(classes: DataFrame, cosine: float, trees: int, spill: float, leaf_ro
             names=["id", "links", "root"],
         )
 
-    wanted = ["pair", "side", "id", "label", "weight", "leaf", "embedding", "copies", "leaves"]
+    wanted = ["pair", "side", "id", "label", "weight", "group", "embedding", "copies", "leaves"]
     return stored(
         map_runs(met.select(*wanted), "pair", compare, "id bigint, links bigint, root bigint"), "links"
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,16 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def settle(spark: SparkSession) -> None:
+    """Let go of what finished steps leave on the driver: plans, broadcasts and shuffles that nothing refers to.
+
+    Spark's cleaner removes broadcasts and shuffle files once the driver's JVM has collected their handles, which a
+    long run of many small plans may put off for very long.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def numbered(df: DataFrame, name: str = "row_id") -> DataFrame:
     """Rows with a number each. Only fixed once stored: store before using the number twice."""
     return df.withColumn(name, F.monotonically_increasing_id())

@@ -7,12 +7,14 @@ suspected. A host is blocked when its distrust is above the threshold and above
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commentloom.llm.html_text import host_of
+from commentloom.functions import quote
+from commentloom.llm.html_text import host_of, page_links
 from commentloom.llm.scratch import forget, numbered, stored
 
 #: (host, path, verdict)
@@ -27,7 +29,9 @@ ROUNDS = 10
 # A host is suspect above this part of the mean distrust of a host.
 THRESHOLD = 0.5
 
-_LINK = "(?i)<a\\b[^>]*?\\bhref\\s*=\\s*[\"']?([^\"'\\s>]+)"
+# A page without any of these has no link to another host: a base, or an address that begins with a scheme, two slashes
+# or a reference.
+_MAY_LINK = "(?i)<base\\b|href\\s*=\\s*[\"']?\\s*([a-z][a-z0-9+.-]*:|//|&)"
 
 
 def path_of(url: str) -> str:
@@ -43,9 +47,9 @@ def rule_for(host: str, path: str, rules: Sequence[tuple[str, str, str]] = RULES
     cases = []
     for rule_host, rule_path, verdict in sorted(rules, key=lambda r: (-len(r[0] + r[1]), r)):
         fits = (
-            f"({host} = '{rule_host}' OR endswith({host}, '.{rule_host}')) AND startswith({path}, '{rule_path}')"
+            f"({host} = {quote(rule_host)} OR endswith({host}, {quote('.' + rule_host)})) AND startswith({path}, {quote(rule_path)})"
         )
-        cases.append(f"WHEN {fits} THEN named_struct('rule', '{rule_host + rule_path}', 'verdict', '{verdict}')")
+        cases.append(f"WHEN {fits} THEN named_struct('rule', {quote(rule_host + rule_path)}, 'verdict', {quote(verdict)})")
     return f"CASE {' '.join(cases)} END" if cases else "CAST(NULL AS struct<rule: string, verdict: string>)"
 
 
@@ -62,8 +66,8 @@ def judge_urls(
 
     A NULL url or one without ``://`` has empty host and path, fits no rule and is allowed. Where no rule fits,
     the host's verdict counts; a host that no walk reaches is allowed. Hosts of whose pages the
-    rules allow (block) half or more are the seeds. NULL html has no links. Repeated rows count as often as they
-    occur. An empty table gives an empty result, other columns are not looked at.
+    rules allow (block) half or more are the seeds. NULL html has no links, nor have comments and scripts. Urls may be of any length. Repeated rows
+    count as often as they occur. An empty table gives an empty result, other columns are not looked at.
     """
     named = pages.select(
         F.col(page_id).alias("page_id"),
@@ -105,13 +109,19 @@ def judge_urls(
 
 def host_edges(named: DataFrame) -> DataFrame:
     """(src, dst): the links between different hosts, each once. Links within a host move nothing."""
-    target = F.expr(host_of("_link"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            links = [sorted(set(page_links(source))) for source in batch.column("_html").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("host"), pa.array(links, pa.list_(pa.string()))], names=["host", "links"]
+            )
+
+    linking = named.where(F.col("host") != "").where(F.rlike("_html", F.lit(_MAY_LINK)))
+    links = linking.select("host", "_html").mapInArrow(read, "host string, links array<string>")
     return (
-        named.where("host <> ''")
-        .select("host", F.explode(F.array_distinct(F.regexp_extract_all("_html", F.lit(_LINK), F.lit(1)))).alias("_link"))
-        # A link without a scheme keeps to its host, but for one that begins with two slashes.
-        .withColumn("_link", F.when(F.startswith("_link", F.lit("//")), F.concat(F.lit("http:"), "_link")).otherwise(F.col("_link")))
-        .select(F.col("host").alias("src"), target.alias("dst"))
+        links.select(F.col("host").alias("src"), F.explode("links").alias("_link"))
+        .select("src", F.expr(host_of("_link")).alias("dst"))
         .where("dst <> '' AND src <> dst")
         .distinct()
     )

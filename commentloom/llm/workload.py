@@ -14,7 +14,7 @@ from commentloom.llm.html_text import extract_text
 from commentloom.llm.minhash_join import near_duplicates
 from commentloom.llm.mixing import mixed
 from commentloom.llm.packing import pack_documents
-from commentloom.llm.preference import format_preferences, swapped_replies
+from commentloom.llm.preference import learned_chars, preference_turns, rendered_chars, swapped_replies
 from commentloom.llm.rp_forest import near_duplicate_vectors
 from commentloom.llm.url_rank import judge_urls
 from commentloom.llm.whitening import whiten
@@ -30,15 +30,29 @@ def op1_rp_forest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    found = format_preferences(*swapped_replies(table(spark, folder, "conversations")))
-    return found.select(
-        "pair_id", "prompt_turns",
-        *[F.md5(c).alias(f"{c}_md5") for c in ("prompt", "chosen", "rejected")],
-        *[F.length(c).cast("long").alias(f"{c}_chars") for c in ("prompt", "chosen", "rejected")],
+    """Per pair and part the turns, characters, learned characters and a digest of the turns in order.
+
+    Turns travel as digests of their texts, made where they are read.
+    """
+    turns = table(spark, folder, "conversations").select(
+        "conv_id", "turn", "role", F.md5(F.coalesce("text", F.lit(""))).alias("text"),
+        F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("chars"),
+    )
+    found = preference_turns(*swapped_replies(turns, carry=("chars",)), carry=("chars",))
+    role, chars = F.col("role"), F.col("chars")
+    code = F.conv(F.substring(F.md5(F.concat(F.coalesce(role, F.lit("")), F.lit(":"), "text")), 1, 15), 16, 10).cast("decimal(19,0)")
+    parts = found.groupBy("pair_id", "prompt_turns").agg(
         *[
-            F.aggregate(f"{c}_mask", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias(f"{c}_learned")
-            for c in ("chosen", "rejected")
-        ],
+            F.coalesce(F.sum(F.when(F.col("part") == p, value)), F.lit(0)).alias(f"{p}_{name}")
+            for p in ("prompt", "chosen", "rejected")
+            for name, value in (
+                ("chars", rendered_chars(role, chars)), ("learned", learned_chars(role, chars)), ("digest", code * (F.col("place") + 1)),
+            )
+        ]
+    )
+    return parts.select(
+        "pair_id", "prompt_turns", *[f"{p}_chars" for p in ("prompt", "chosen", "rejected")], "chosen_learned", "rejected_learned",
+        *[F.col(f"{p}_digest").cast("decimal(38,0)").cast("string").alias(f"{p}_digest") for p in ("prompt", "chosen", "rejected")],
     )
 
 
@@ -74,7 +88,7 @@ def op8_host_suffixes(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_low_discrepancy_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed(table(spark, folder, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken"
+        "doc_id", "size", "source_size", "target", "taken", "n_slots", F.get("slots", F.lit(0)).alias("first_slot")
     )
 
 
@@ -116,55 +130,57 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 # Turns of both sides in order, and the first place where they differ.
 _PAIRS = """
-    WITH replies AS (
-      SELECT conv_id, max({'turn': turn, 'text': text}) AS r FROM conversations
-      WHERE role = 'assistant' GROUP BY conv_id),
+    WITH turns AS (
+      SELECT conv_id, turn, role, md5(coalesce(text, '')) AS text, coalesce(length(text), 0) AS chars,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS nth
+      FROM conversations WHERE conv_id IS NOT NULL),
+    replies AS (
+      SELECT conv_id, max(nth) AS last, row_number() OVER (ORDER BY conv_id) - 1 AS k, count(*) OVER () AS n
+      FROM turns WHERE role = 'assistant' GROUP BY conv_id),
     both_sides AS (
-      SELECT a.conv_id AS pair_id, a.r.turn AS last_turn, b.r.text AS other
-      FROM replies a JOIN replies b ON xor(a.conv_id, 1) = b.conv_id),
+      SELECT a.conv_id AS pair_id, a.last, t.turn, o.text AS other, o.chars AS other_chars
+      FROM replies a JOIN replies b ON b.k = CASE WHEN xor(a.k, 1) < a.n THEN xor(a.k, 1) ELSE 0 END AND a.k <> b.k
+      JOIN turns t ON t.conv_id = a.conv_id AND t.nth = a.last JOIN turns o ON o.conv_id = b.conv_id AND o.nth = b.last),
     sides AS (
-      SELECT 'c' AS side, pair_id, turn, role, text FROM conversations JOIN both_sides ON conv_id = pair_id
+      SELECT 'chosen' AS side, pair_id, t.turn, role, text, chars FROM turns t JOIN both_sides ON conv_id = pair_id
       UNION ALL
-      SELECT 'r', pair_id, turn, role, text FROM conversations JOIN both_sides ON conv_id = pair_id
-      WHERE turn < last_turn
+      SELECT 'rejected', pair_id, t.turn, role, text, chars FROM turns t JOIN both_sides ON conv_id = pair_id
+      WHERE nth < last
       UNION ALL
-      SELECT 'r', pair_id, last_turn, 'assistant', other FROM both_sides),
+      SELECT 'rejected', pair_id, turn, 'assistant', other, other_chars FROM both_sides),
     placed AS (
-      SELECT *, row_number() OVER (PARTITION BY side, pair_id ORDER BY turn, role, text) AS place FROM sides),
+      SELECT *, coalesce(role, '') AS named,
+        row_number() OVER (PARTITION BY side, pair_id ORDER BY turn NULLS FIRST, coalesce(role, ''), text) - 1 AS place
+      FROM sides),
     common AS (
       SELECT coalesce(c.pair_id, r.pair_id) AS pair_id,
-        coalesce(min(CASE WHEN c.role = r.role AND c.text = r.text THEN NULL ELSE coalesce(c.place, r.place) END) - 1,
+        coalesce(min(CASE WHEN c.named = r.named AND c.text = r.text THEN NULL ELSE coalesce(c.place, r.place) END),
           count(*)) AS prompt_turns
-      FROM (SELECT * FROM placed WHERE side = 'c') c
-      FULL JOIN (SELECT * FROM placed WHERE side = 'r') r ON c.pair_id = r.pair_id AND c.place = r.place
+      FROM (SELECT * FROM placed WHERE side = 'chosen') c
+      FULL JOIN (SELECT * FROM placed WHERE side = 'rejected') r ON c.pair_id = r.pair_id AND c.place = r.place
       GROUP BY 1),
-    rendered AS (
-      SELECT p.pair_id, prompt_turns, side,
-        CASE WHEN place <= prompt_turns THEN 'p' ELSE side END AS part,
-        '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS piece,
-        CASE WHEN role = 'assistant' THEN length(text) + 8 ELSE 0 END AS learned, place
-      FROM placed p JOIN common c ON p.pair_id = c.pair_id),
-    texts AS (
-      SELECT pair_id, prompt_turns,
-        coalesce(string_agg(piece, '' ORDER BY place) FILTER (part = 'p' AND side = 'c'), '') AS prompt,
-        coalesce(string_agg(piece, '' ORDER BY place) FILTER (part = 'c'), '') AS chosen,
-        coalesce(string_agg(piece, '' ORDER BY place) FILTER (part = 'r'), '') AS rejected,
-        coalesce(sum(learned) FILTER (part = 'c'), 0) AS cl, coalesce(sum(learned) FILTER (part = 'r'), 0) AS rl
-      FROM rendered GROUP BY pair_id, prompt_turns)"""
+    parts AS (
+      SELECT p.pair_id, prompt_turns, CASE WHEN place < prompt_turns THEN 'prompt' ELSE side END AS part,
+        chars + length(named) + 13 AS chars, CASE WHEN role = 'assistant' THEN chars + 8 ELSE 0 END AS learned,
+        CAST('0x' || substr(md5(named || ':' || text), 1, 15) AS HUGEINT) * (place + 1) AS code
+      FROM placed p JOIN common c ON p.pair_id = c.pair_id WHERE place >= prompt_turns OR side = 'chosen')"""
+
+
+def _of_parts(name: str, value: str, kind: str, parts: tuple[str, ...] = ("prompt", "chosen", "rejected")) -> str:
+    return ", ".join(f"CAST(coalesce(sum({value}) FILTER (part = '{p}'), 0) AS {kind}) AS {p}_{name}" for p in parts)
+
 
 ORACLES = {
-    "op2_preference_pairs": _PAIRS + """
-        SELECT pair_id, CAST(prompt_turns AS BIGINT) AS prompt_turns, md5(prompt) AS prompt_md5,
-          md5(chosen) AS chosen_md5, md5(rejected) AS rejected_md5, length(prompt) AS prompt_chars,
-          length(chosen) AS chosen_chars, length(rejected) AS rejected_chars,
-          CAST(cl AS BIGINT) AS chosen_learned, CAST(rl AS BIGINT) AS rejected_learned
-        FROM texts""",
+    "op2_preference_pairs": f"""{_PAIRS}
+        SELECT pair_id, CAST(prompt_turns AS BIGINT) AS prompt_turns, {_of_parts("chars", "chars", "BIGINT")},
+          {_of_parts("learned", "learned", "BIGINT", ("chosen", "rejected"))}, {_of_parts("digest", "code", "VARCHAR")}
+        FROM parts GROUP BY pair_id, prompt_turns""",
     # Sources stop at three times their size: in the order of cap per weight the capped ones come
     # first. A source's words are then taken from the front of its shuffled documents, in rounds.
     "op9_low_discrepancy_mix": """
         WITH d AS (
           SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
-            md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS o
+            md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS o
           FROM documents),
         s AS (
           SELECT source, CAST(sum(size) AS BIGINT) AS n,
@@ -179,18 +195,37 @@ ORACLES = {
               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS share
           FROM w),
         t AS (
-          SELECT source, n, least(CAST(cap AS DOUBLE),
+          SELECT source, n, r, least(CAST(cap AS DOUBLE),
             coalesce(max(CASE WHEN ratio > share THEN share END) OVER (), 0) * weight) AS target
           FROM c),
+        b AS (
+          SELECT *, least(3 * n, CAST(floor(target + 0.5) AS BIGINT)) AS words,
+            CAST(ceil(words / 256) AS BIGINT) AS blocks,
+            CAST(sum(blocks) OVER (ORDER BY r) AS BIGINT) AS high, high - blocks AS low,
+            greatest(1, length(ltrim(bin(greatest(sum(blocks) OVER (), 1) - 1), '0'))) AS bits
+          FROM t),
+        -- Every point of the sequence, the source that it falls to, and its rank there.
+        p AS (
+          SELECT i, list_sum(list_transform(range(bits), lambda k: ((i >> k) & 1) << (bits - 1 - k))) AS v
+          FROM (SELECT bits, unnest(range(1 << bits)) AS i FROM (SELECT any_value(CAST(bits AS INTEGER)) AS bits FROM b))),
+        q AS (
+          SELECT b.r, i AS slot, row_number() OVER (PARTITION BY b.r ORDER BY i) - 1 AS block
+          FROM p JOIN b ON v >= low AND v < high),
         x AS (
-          SELECT d.*, t.n, t.target, least(3 * t.n, CAST(floor(t.target + 0.5) AS BIGINT)) AS words,
-            CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY o, size, doc_id
+          SELECT d.*, b.n, b.r, b.target, words,
+            CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY o
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS f
-          FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-        SELECT doc_id, CAST(size AS BIGINT) AS size, n AS source_size, target,
-          CAST(greatest(0, least(size, words - f)) + greatest(0, least(size, words - n - f))
-            + greatest(0, least(size, words - 2 * n - f)) AS BIGINT) AS taken
-        FROM x""",
+          FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source),
+        y AS (
+          SELECT *, greatest(0, least(size, words - f)) AS t0, greatest(0, least(size, words - n - f)) AS t1,
+            greatest(0, least(size, words - 2 * n - f)) AS t2
+          FROM x)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, n AS source_size, target, CAST(t0 + t1 + t2 AS BIGINT) AS taken,
+          CAST(CASE WHEN t0 > 0 THEN (f + t0 - 1) // 256 - f // 256 + 1 ELSE 0 END
+            + CASE WHEN t1 > 0 THEN (n + f + t1 - 1) // 256 - (n + f) // 256 + 1 ELSE 0 END
+            + CASE WHEN t2 > 0 THEN (2 * n + f + t2 - 1) // 256 - (2 * n + f) // 256 + 1 ELSE 0 END AS BIGINT) AS n_slots,
+          CAST(CASE WHEN t0 > 0 THEN q.slot END AS BIGINT) AS first_slot
+        FROM y LEFT JOIN q ON q.r = y.r AND q.block = f // 256""",
     "op10_block_naming": f"""
         WITH texts AS (SELECT doc_id, {_LOWER} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id,

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import zlib
 
@@ -159,7 +160,7 @@ def test_mixing(docs):
 
 
 def test_mixing_schedule_is_even(docs):
-    _, schedule = mix_schedule(docs, block_words=16)
+    schedule = mix_schedule(docs, block_words=16)
     slots = schedule.groupBy("slot", "source_rank").agg(F.sum("length").alias("n")).orderBy("slot").collect()
     total, seen = collections.Counter(), collections.Counter()
     for s in slots:
@@ -170,6 +171,50 @@ def test_mixing_schedule_is_even(docs):
             assert abs(seen[r] - i * n / len(slots)) <= 6
 
 
+def test_slots_follow_the_sequence(docs):
+    """Slots against the sequence itself: each point, its bits turned round, falls to a source; blocks take a source's points in turn."""
+    schedule = mix_schedule(docs, block_words=16).collect()
+    blocks = {(r.source_rank, r.block) for r in schedule}
+    counts = collections.Counter(rank for rank, _ in blocks)
+    total = sum(counts.values())
+    bits = max(1, (total - 1).bit_length())
+    low, owner = 0, []
+    for rank in sorted(counts):
+        owner += [rank] * counts[rank]
+    taken, slot_of = collections.Counter(), {}
+    for slot in range(1 << bits):
+        point = int(f"{slot:0{bits}b}"[::-1], 2)
+        if point < total:
+            slot_of[owner[point], taken[owner[point]]] = slot
+            taken[owner[point]] += 1
+    assert all(slot_of[r.source_rank, r.block] == r.slot for r in schedule) and len(schedule) > 300
+    by_row = collections.defaultdict(set)
+    starts = collections.defaultdict(dict)
+    for r in schedule:
+        by_row[r.row_id].add((r.repeat, r.slot))
+        starts[r.row_id].setdefault(r.repeat, r.slot)
+        starts[r.row_id][r.repeat] = min(starts[r.row_id][r.repeat], r.slot)
+    rows = mixed(docs, block_words=16).collect()
+    # Row numbers are given anew in each run: compare what rows hold.
+    got = collections.Counter((r.n_slots, tuple(r.slots)) for r in rows if r.taken)
+    want = collections.Counter((len(s), tuple(v for _, v in sorted(starts[i].items()))) for i, s in by_row.items())
+    assert got == want
+
+
+def test_mixing_spreads_equal_rows(spark):
+    # Half of all rows are one document: they are laid one after another like any others.
+    rows = [(7, "a b c", "s")] * 6000 + [(None, f"w{i} x", "s") for i in range(3000)] + [(i, "one two three four", "t") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(6)
+    found = mixed(docs).collect()
+    assert len(found) == len(rows) and all(0 <= r.taken <= 3 * r["size"] for r in found)
+    for s in "st":
+        mine = [r for r in found if r.source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 1
+    again = mixed(docs.repartition(3)).collect()
+    key = lambda r: (r.doc_id or 0, r.size, r.taken, tuple(r.slots))
+    assert sorted(map(key, found)) == sorted(map(key, again))
+
+
 def test_packing(docs):
     found = pack_documents(docs, sequence=64, keep_ids=True).collect()
     plain = tokenizer(vocabulary_path()).tokenizer
@@ -270,3 +315,50 @@ def test_empty_tables(nothing):
     labels = nothing.sparkSession.createDataFrame([], "doc_id bigint, quality int")
     assert quality.score(nothing, quality.fit(nothing, labels)).count() == 0
     assert isinstance(exact_dedup(nothing).schema["doc_id"].dataType, T.LongType)
+
+
+def test_ratios_dual_solution_and_score_against_a_second_computation():
+    rng = np.random.default_rng(4)
+    size = 1 << quality.BUCKET_BITS
+    sets, labels = [], []
+    for i in range(60):
+        label = i % 2
+        own = rng.integers(0, 40, 12) + 30 * label
+        sets.append(np.unique(np.concatenate([own, rng.integers(0, 200, 10)])).astype(np.uint32))
+        labels.append(label)
+    labels = np.array(labels)
+    ratios = quality.log_count_ratios(sets, labels)
+    for bucket in (0, 35, 69, 150, 5000):
+        shares = []
+        for label in (1, 0):
+            counts = [sum(bucket in s for s, q in zip(sets, labels) if q == label), sum(len(s) for s, q in zip(sets, labels) if q == label)]
+            shares.append((counts[0] + 1) / (counts[1] + size))
+        assert ratios[bucket] == pytest.approx(math.log(shares[0] / shares[1]))
+    signs = np.where(labels == 1, 1.0, -1.0)
+    weights, bias = quality.dual_coordinate_descent(sets, signs, ratios, rounds=500, close=1e-10)
+    # The primal problem, |w|^2 / 2 + b^2 / 2 + C * sum(max(0, 1 - y f)^2), has its minimum where its gradient is zero.
+    table = np.zeros((len(sets), size))
+    for i, s in enumerate(sets):
+        table[i, s] = ratios[s] / np.sqrt((ratios[s] ** 2).sum())
+    slack = np.maximum(0, 1 - signs * (table @ weights + bias))
+    gradient = weights - 2 * quality.COST * (signs * slack) @ table
+    assert np.abs(gradient).max() < 1e-6 and abs(bias - 2 * quality.COST * (signs * slack).sum()) < 1e-6
+    model = quality.fit_sets(sets, labels)
+    margins = table @ model.weights + model.bias
+    expected = 1 / (1 + np.exp(-(model.slope * margins + model.shift)))
+    assert model.scores(sets) == pytest.approx(expected, abs=1e-9)
+    assert (expected[labels == 1].mean() - expected[labels == 0].mean()) > 0.3
+
+
+def test_the_fit_is_bounded_and_scores_long_texts_whole(spark):
+    rng = random.Random(2)
+    long_text = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(40000))
+    assert len(quality.gram_buckets(long_text.encode())) > quality.FIT_BUCKETS
+    few = quality.bounded(quality.gram_buckets(long_text.encode()))
+    assert len(few) == quality.FIT_BUCKETS == len(set(few.tolist()))
+    rows = [(i, ("good text here " if i % 2 else "BAD!!! ") * (5 + i % 7), i % 2) for i in range(200)] + [(1000, long_text, 1), (1001, "BAD!!! " * 90000, 0)]
+    docs = spark.createDataFrame([(i, t, 1, "k") for i, t, _ in rows], "doc_id bigint, text string, quality int, score string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id bigint, quality int")
+    model = quality.fit(docs, labels)
+    found = {r.doc_id: r.predicted for r in quality.score(docs, model).collect()}
+    assert sum(found[i] == q for i, _, q in rows) >= 0.98 * len(rows) and found[1001] == 0
