@@ -41,3 +41,27 @@ def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """The same rows, plus a counter that fills in when a job runs over them."""
     seen = Observation(name)
     return df.observe(seen, F.count(F.lit(1)).alias("rows_processed")), seen
+
+
+# Precision of the sketches of distinct keys, and the relative error that their estimates keep but for one time in a thousand.
+SKETCH_BITS = 14
+SKETCH_ERROR = 0.03
+
+
+def key_sketch(df: DataFrame, key: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows and a sketch of the distinct keys of each group: a few kilobytes however many keys there are.
+
+    Sketches of parts, such as weeks or deliveries, are kept and merged by ``merged_sketches`` without reading the parts again.
+    """
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("total_rows"), F.hll_sketch_agg(F.xxhash64(*key), SKETCH_BITS).alias("keys")
+    )
+
+
+def merged_sketches(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return sketches.groupBy(*by).agg(F.sum("total_rows").alias("total_rows"), F.hll_union_agg("keys").alias("keys"))
+
+
+def sketch_profile(sketches: DataFrame) -> DataFrame:
+    """Like ``key_profile``, with the number of distinct keys to within ``SKETCH_ERROR`` of the exact one."""
+    return sketches.withColumn("distinct_keys", F.hll_sketch_estimate("keys")).drop("keys")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commentloom.functions import quote
@@ -28,8 +28,8 @@ BATCH_SIZE = 32
 
 
 class Scorer(Protocol):
-    def scores(self, text: str) -> Column:
-        """Array of (label, score) for a SQL text expression; NULL in, NULL out."""
+    def add_scores(self, df: DataFrame, text: str, into: str) -> DataFrame:
+        """The table with an array of (label, score) for a SQL text expression; NULL in, NULL out."""
         ...
 
 
@@ -43,20 +43,21 @@ class LexiconScorer:
     positive: Sequence[str] = POSITIVE_TERMS
     negative: Sequence[str] = NEGATIVE_TERMS
 
-    def scores(self, text: str) -> Column:
+    def add_scores(self, df: DataFrame, text: str, into: str) -> DataFrame:
         def hits(terms: Sequence[str]) -> str:
-            distinct = ", ".join(quote(t) for t in dict.fromkeys(terms))
-            return f"size(filter(array({distinct}), t -> contains(lowered, t)))"
+            return " + ".join(f"int(contains(_text, {quote(t)}))" for t in dict.fromkeys(terms)) or "int(0)"
 
-        # One-element transforms name the lowered text and then the counts, so that each is
-        # worked out once per text.
-        counts = f"""transform(array(lower({text})), lowered ->
-            named_struct('p', {hits(self.positive)}, 'n', {hits(self.negative)}))"""
-        shares = f"""transform({counts}, c -> array(
-            named_struct('label', 'positive', 'score', c.p / double(c.p + c.n + 1)),
-            named_struct('label', 'negative', 'score', c.n / double(c.p + c.n + 1)),
-            named_struct('label', 'neutral', 'score', 1D / double(c.p + c.n + 1))))[0]"""
-        return F.expr(f"CASE WHEN {text} IS NOT NULL THEN {shares} END")
+        # One projection per step: the lowered text and then the counts are used many times, so Catalyst keeps
+        # the steps apart and works each out once, in generated code.
+        lowered = df.selectExpr("*", f"lower({text}) AS _text")
+        counted = lowered.selectExpr(
+            "* EXCEPT (_text)", f"{hits(self.positive)} AS _p", f"{hits(self.negative)} AS _n", "_text IS NOT NULL AS _has"
+        )
+        shares = ", ".join(
+            f"named_struct('label', '{label}', 'score', {count} / double(_p + _n + 1))"
+            for label, count in (("positive", "_p"), ("negative", "_n"), ("neutral", "1D"))
+        )
+        return counted.selectExpr("* EXCEPT (_p, _n, _has)", f"CASE WHEN _has THEN array({shares}) END AS `{into}`")
 
 
 Model = Callable[[list[str]], list[list[dict]]]
@@ -79,7 +80,7 @@ class ModelScorer:
         if self.on_error not in ("fail", "skip"):
             raise ValueError("on_error is 'fail' or 'skip'")
 
-    def scores(self, text: str) -> Column:
+    def add_scores(self, df: DataFrame, text: str, into: str) -> DataFrame:
         load, size, skip = self.load, self.batch_size, self.on_error == "skip"
 
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -105,13 +106,13 @@ class ModelScorer:
 
         # Python evaluates annotations lazily here; the UDF needs real types.
         score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-        return F.pandas_udf(score, SCORES)(F.expr(text))
+        return df.withColumn(into, F.pandas_udf(score, SCORES)(F.expr(text)))
 
 
 def score_sentiment(
     df: DataFrame, scorer: Scorer, text: str = "text_original", into: str = "scores"
 ) -> DataFrame:
-    return df.withColumn(into, scorer.scores(text))
+    return scorer.add_scores(df, text, into)
 
 
 def parallel_map(

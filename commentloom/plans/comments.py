@@ -47,7 +47,7 @@ def score_comments(
     The scorer sees NULL instead of an irrelevant text, so the model never runs on it.
     """
     body = f"if(is_relevant, {text}, NULL)"
-    scored = triaged.select(*keep, text, "word_count", scorer.scores(body).alias("_scores"))
+    scored = scorer.add_scores(triaged, body, "_scores").select(*keep, text, "word_count", "_scores")
     # No scores, whether skipped or failed, means no category either.
     lowered = scored.selectExpr(
         *keep,

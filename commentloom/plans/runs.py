@@ -1,63 +1,55 @@
-"""Whole runs over stored tables: enrich what is pending, clean what is staged."""
+"""Whole runs over declared tables: enrich what is pending, clean what is staged."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from commentloom.operators.language import LanguageProfile
-from commentloom.operators.merging import (
-    apply_enrichment,
-    drain_staging,
-    fetch_by_ids,
-    still_pending,
-    upsert,
-)
+from commentloom.operators.merging import apply_enrichment, drain_staging, fetch_by_ids, still_pending
 from commentloom.operators.ranking import SAMPLE_PER_VIDEO, dedupe_latest, enrichment_phase
 from commentloom.operators.scoring import Scorer
 from commentloom.plans.comments import enrich_comments
 from commentloom.plans.videos import clean_videos
-from commentloom.sources.versions import VersionedTables, touched_weeks
+from commentloom.sources.tables import WEEK, overwrite_parts, rows_of_parts, stored, upsert_into
 
 
 def run_enrichment(
-    store: VersionedTables,
+    spark: SparkSession,
+    comments: str = "comments",
     k: int = SAMPLE_PER_VIDEO,
     profile: LanguageProfile | None = None,
     scorer: Scorer | None = None,
-    comments: str = "comments",
 ) -> None:
-    """Enrich the pending comments of the stored table, the newest k of each video first.
+    """Enrich the pending comments of the declared table, the newest k of each video first.
 
-    Each phase is published when it is done, so dashboards have the sample early, and a run that is
-    broken off goes on with what is pending then. Only the weeks of enriched comments are written.
+    Both phases come from one snapshot of the pending ids, stored once. Each phase is written when it is done, so
+    dashboards have the sample early, and a run that is broken off goes on with what is pending then. Only the weeks
+    of enriched comments are read and written again. One run at a time.
     """
+    phases = enrichment_phase(still_pending(spark.table(comments)), k)
+    pending = stored(phases.groupBy("comment_id").agg(F.min("phase").alias("phase")), "pending")
     for phase in (1, 2):
-        table = store.read(comments)
-        pending = still_pending(table)
-        wanted = pending
-        if phase == 1:
-            ids = enrichment_phase(pending, k).where(F.col("phase") == 1).select("comment_id").distinct()
-            wanted = fetch_by_ids(pending, ids)
+        table = spark.table(comments)
         # All rows of an id share its enrichment, that of the newest one.
-        rows = fetch_by_ids(table, wanted.select("comment_id").distinct())
-        if wanted.isEmpty():
+        rows = fetch_by_ids(table, pending.where(F.col("phase") == phase))
+        weeks = stored(rows.groupBy(WEEK).agg(F.count(F.lit(1)).alias("n")), "weeks")
+        if weeks.isEmpty():
             continue
-        enriched = enrich_comments(rows, profile, scorer)
-        merged = apply_enrichment(touched_weeks(table, rows), enriched)
-        store.publish(weekly={comments: merged.select(*table.columns)})
+        enriched = stored(enrich_comments(rows, profile, scorer), "enriched")
+        merged = apply_enrichment(rows_of_parts(table, weeks, WEEK), enriched.drop("published_at"))
+        overwrite_parts(merged, comments)
 
 
-def run_cleaning(
-    store: VersionedTables, staging: str = "videos_staging", videos: str = "videos"
-) -> None:
-    """Clean the staged videos, upsert them and empty the staging table, all published at once."""
-    staged = store.read(staging)
-    cleaned = dedupe_latest(clean_videos(staged), ["video_id"], [F.col("published_at").desc()])
-    target = store.read(videos)
-    store.publish({videos: upsert(target, cleaned), staging: drain_staging(staged, cleaned)})
+def run_cleaning(spark: SparkSession, staging: str = "videos_staging", videos: str = "videos") -> None:
+    """Clean the staged videos, upsert them and take them out of the staging table.
 
-
-def publish_tables(store: VersionedTables, whole: dict[str, DataFrame], weekly: dict[str, DataFrame]) -> None:
-    """First state of the tables."""
-    store.publish(whole, weekly)
+    A run that is broken off in between is made good by the next: the same rows are upserted once more. One run at a
+    time, and no load into the staging table meanwhile.
+    """
+    staged = spark.table(staging)
+    cleaned = dedupe_latest(clean_videos(staged), ["video_id"], [F.col("published_at").desc()])
+    cleaned = stored(cleaned, "cleaned")
+    left = stored(drain_staging(staged, cleaned), "left")
+    upsert_into(cleaned, videos)
+    overwrite_parts(left, staging)

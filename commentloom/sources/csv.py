@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,40 +14,49 @@ from commentloom.schemas import (
     RAW_COMMENTS,
     STAGING_VIDEOS,
 )
-from commentloom.sources.split_csv import parse_record, read_header, read_split_csv
 from commentloom.sources.tables import evolve_schema, union_all
 
 
+# Stands for NULL while a file is read: with the empty string in this place quoted empty fields would be NULL too.
+_NO_VALUE = "\ue000null\ue000"
+
+
+def _reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
+    return spark.read.options(
+        header=True, multiLine=multi_line, quote='"', escape='"', mode="FAILFAST", maxColumns=100_000,
+        nullValue=_NO_VALUE,
+    )
+
+
 def read_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
     schema: T.StructType,
     names: Mapping[str, str] | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """One or more files with a header line as one table; a bad row fails the load.
 
     Columns go by position, or by header name if ``names`` maps headers to columns of the schema;
-    a header that it does not know becomes a text column. Any quote opens or closes quoting, two of them inside
-    are one, and one that is never closed is an error. An unquoted empty field is NULL, a quoted one
-    is an empty string. Lines end with a line feed, with both signs, or with a carriage return throughout the
-    file. One reader serves files of any size.
+    a header that it does not know becomes a text column. Inside quotes two of them are one. An unquoted empty
+    field is NULL, a quoted one is an empty string; a quote inside an unquoted field is a character. A quote that is never closed
+    takes what follows into its field, which fails unless the number of fields happens to fit. In files whose lines end in
+    carriage return and line feed, such ends inside quotes come out as line feeds. A file whose quotes hold line breaks
+    is one task, so large exports are best delivered in several files; without such breaks ``multi_line=False`` reads any file in splits.
     """
-    files = spark.read.text([paths] if isinstance(paths, str) else list(paths)).inputFiles()
-    layouts: dict[tuple, list[str]] = {}
-    for file in files:
-        header, line_end = read_header(spark, file)
-        columns = tuple(c or "" for c in parse_record(header)) if names else ()
-        layouts.setdefault((columns, line_end), []).append(file)
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if not names:
+        return _reader(spark, multi_line).schema(schema).csv(paths)
     by_name = {f.name: f for f in schema.fields}
+    # Files with equal headers are read together; only headers are looked at here.
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file in spark.read.format("binaryFile").load(paths).inputFiles():
+        layouts.setdefault(tuple(_reader(spark, multi_line).csv(file).columns), []).append(file)
     parts = []
-    for (columns, line_end), same in layouts.items():
-        layout = schema
-        if names:
-            known = [by_name.get(names.get(c, "")) for c in columns]
-            layout = T.StructType(
-                [k or T.StructField(c, T.StringType()) for c, k in zip(columns, known)]
-            )
-        parts.append(read_split_csv(spark, same, layout, line_end))
+    for columns, same in layouts.items():
+        known = [by_name.get(names.get(c, "")) for c in columns]
+        layout = T.StructType([k or T.StructField(c, T.StringType()) for c, k in zip(columns, known)])
+        parts.append(_reader(spark, multi_line).schema(layout).csv(same))
     return union_all(*parts) if parts else spark.createDataFrame([], schema)
 
 
@@ -55,9 +64,9 @@ def load_videos_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
     return read_csv(spark, paths, STAGING_VIDEOS)
 
 
-def load_comments_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def load_comments_csv(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True) -> DataFrame:
     """All comment files as one table, with the enrichment columns still NULL."""
-    return evolve_schema(read_csv(spark, paths, RAW_COMMENTS), COMMENTS)
+    return evolve_schema(read_csv(spark, paths, RAW_COMMENTS, multi_line=multi_line), COMMENTS)
 
 
 def load_videos_camel(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -1,41 +1,124 @@
-"""Parquet tables: declaration, schema evolution, time layout, snapshots."""
+"""Parquet tables: declaration, schema evolution, layout by week and by key, stored changes."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commentloom.schemas import CLEAN_VIDEOS, COMMENTS, STAGING_VIDEOS
+from commentloom.operators.merging import upsert
+from commentloom.schemas import CLEAN_VIDEOS, COMMENTS, ENRICHED, STAGING_VIDEOS
+from commentloom.session import configure, scratch_path
 
 # The tables by name.
 TABLES = {"videos_staging": STAGING_VIDEOS, "videos": CLEAN_VIDEOS, "comments": COMMENTS}
 WEEK = "week"
+BUCKET = "bucket"
+# The week of rows without a time, so that every row lies in a week that a join can name.
+NO_WEEK = "0001-01-01"
+BUCKETS = 64
+_BUCKETS_KEY = "buckets"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write to the session's shared folder and read back."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def declare_table(
+    spark: SparkSession,
+    name: str,
+    schema: T.StructType,
+    by: str | None = None,
+    location: str | None = None,
+    buckets: int = BUCKETS,
+) -> None:
+    """Create a table where absent, laid out ``by`` the week of published_at, the bucket of a key, or not at all."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    layout = ""
+    if by:
+        columns += f", `{by}` {'date' if by == WEEK else 'int'}"
+        layout = f" PARTITIONED BY ({by})"
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{layout}{where}"
+        f" TBLPROPERTIES ('{_BUCKETS_KEY}' = '{buckets}')"
+    )
 
 
-def declare_tables(spark: SparkSession, database: str = "default", location: str | None = None):
-    """Create the three tables where absent; comments are partitioned by week."""
-    for name, schema in TABLES.items():
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        layout = ""
-        if name == "comments":
-            columns += f", `{WEEK}` date"
-            layout = f" PARTITIONED BY ({WEEK})"
-        where = f" LOCATION '{location}/{name}'" if location else ""
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet"
-            f"{layout}{where}"
-        )
+def declare_tables(
+    spark: SparkSession, database: str = "default", location: str | None = None, buckets: int = BUCKETS
+) -> None:
+    """Create the tables where absent: comments and their enrichment by week, videos by hashed key."""
+    layouts = {"videos": BUCKET, "comments": WEEK, "enriched": WEEK}
+    for name, schema in {**TABLES, "enriched": ENRICHED}.items():
+        folder = f"{location}/{name}" if location else None
+        declare_table(spark, f"`{database}`.`{name}`", schema, layouts.get(name), folder, buckets)
 
 
-def insert_into(df: DataFrame, table: str) -> None:
-    """Add rows to a declared table, columns by name; a weekly table gets its week from published_at."""
-    columns = df.sparkSession.table(table).columns
+def _placed(df: DataFrame, table: str, key: str = "video_id") -> DataFrame:
+    """The columns of the table, its week or bucket worked out where that is missing."""
+    spark = df.sparkSession
+    columns = spark.table(table).columns
     if WEEK in columns and WEEK not in df.columns:
-        df = df.withColumn(WEEK, week_of(F.col("published_at")))
-    df.select(*columns).write.insertInto(table)
+        df = df.withColumn(WEEK, part_week(F.col("published_at")))
+    if BUCKET in columns and BUCKET not in df.columns:
+        count = spark.sql(f"SHOW TBLPROPERTIES {table} ('{_BUCKETS_KEY}')").first()["value"]
+        df = df.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(int(count))).cast("int"))
+    return df.select(*columns)
+
+
+def insert_into(df: DataFrame, table: str) -> None:
+    """Add rows to a declared table, columns by name."""
+    _placed(df, table).write.insertInto(table)
+
+
+def overwrite_parts(df: DataFrame, table: str) -> None:
+    """Replace the weeks or buckets that the rows fall in, and nothing else; a table without parts is replaced whole.
+
+    The rows may be worked out from the table itself if it has parts. REBALANCE sizes the files at run time.
+    """
+    spark = configure(df.sparkSession)
+    placed = _placed(df, table)
+    part = next((c for c in (WEEK, BUCKET) if c in placed.columns), None)
+    if part:
+        placed = placed.hint("rebalance", part)
+    placed.write.insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)
+
+
+def rows_of_parts(table: DataFrame, parts: DataFrame, part: str) -> DataFrame:
+    """The rows of the weeks or buckets that ``parts`` (part, n) names; other folders are not read.
+
+    The list is broadcast: it has a row per week or bucket, of which a table has a bounded number whatever its size.
+    """
+    wanted = F.broadcast(parts.where("n > 0").select(part))
+    return table.join(wanted, part, "left_semi").select(*table.columns)
+
+
+def upsert_into(df: DataFrame, table: str, key: str = "video_id") -> None:
+    """Insert or replace rows of a table laid out by bucket; only the buckets of the given rows are read and written.
+
+    The rows have one row per key.
+    """
+    rows = stored(_placed(df, table, key), "delivery")
+    touched = stored(rows.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")), "touched")
+    overwrite_parts(upsert(rows_of_parts(df.sparkSession.table(table), touched, BUCKET), rows, key), table)
+
+
+def drop_weeks(spark: SparkSession, table: str, weeks: Sequence) -> None:
+    """Empty weeks of a declared table and take them off its list; a table with a location of its own keeps files otherwise."""
+    schema = spark.table(table).schema
+    nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in schema if f.name != WEEK)
+    for week in weeks:
+        part = f"PARTITION ({WEEK} = DATE'{week}')"
+        spark.sql(f"INSERT OVERWRITE TABLE {table} {part} SELECT {nothing} WHERE false")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {part}")
 
 
 def evolve_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -57,10 +140,15 @@ def scan_staging(staging: DataFrame) -> DataFrame:
     return staging.select(*[n for n in STAGING_VIDEOS.fieldNames() if n != "kind"])
 
 
-def week_of(timestamp) -> object:
+def week_of(timestamp: Column) -> Column:
     return F.to_date(F.date_trunc("week", timestamp))
 
 
+def part_week(timestamp: Column) -> Column:
+    """The week that a declared table files a row under."""
+    return F.coalesce(week_of(timestamp), F.lit(NO_WEEK).cast("date"))
+
+
 def write_time_partitioned(
     df: DataFrame, path: str, column: str = "published_at", mode: str = "overwrite"
 ) -> None:
@@ -72,7 +160,8 @@ def write_time_partitioned(
     """
     laid_out = df.withColumn(WEEK, week_of(F.col(column))).hint("rebalance", WEEK)
     by = [WEEK, *[c for c in ("video_id",) if c in df.columns], column]
-    laid_out.sortWithinPartitions(*by).write.mode(mode).partitionBy(WEEK).parquet(path)
+    writer = laid_out.sortWithinPartitions(*by).write.mode(mode).partitionBy(WEEK)
+    writer.option("partitionOverwriteMode", "static").parquet(path)
 
 
 def between_published(
@@ -87,13 +176,6 @@ def between_published(
     )
 
 
-def write_snapshot(df: DataFrame, root: str, version: int) -> str:
-    """Write a whole new version beside the old ones, so none that is being read is touched."""
-    path = f"{root}/version={version:012d}"
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
 def publish_marts(marts: dict[str, DataFrame], root: str) -> dict[str, str]:
     """Write dashboard tables, by week where they have a time bucket."""
     paths = {}

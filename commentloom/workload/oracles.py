@@ -425,6 +425,9 @@ ORACLES: dict[str, str] = {
     "category_by_channel": breakdown("channel_id"),
     "sentiment_trend_mart": TREND,
     "published_trend": TREND,
+    "incremental_trend": TREND,
+    "key_sketches": f"""WITH {RAW} SELECT count(*) AS total_rows, count(DISTINCT comment_id) AS distinct_keys,
+        true AS within_error FROM comments""",
     "channel_comparison": f"WITH {ROWS} SELECT channel_id, {MIX} FROM enriched_rows GROUP BY channel_id",
     "comments_with_videos_mart": f"""{ORPHANS}
         SELECT comment_id, strftime(c.published_at, '%Y-%m-%d %H:%M:%S') AS published_at, video_id,
@@ -439,6 +442,8 @@ ORACLES: dict[str, str] = {
         SELECT {RAW_VIDEO.removeprefix('kind, ')} FROM staging""",
     "csv_comments": LOADED,
     "csv_comments_split": LOADED,
+    "csv_flat_export": f"""SELECT * REPLACE (translate(text_original, chr(13) || chr(10), '  ') AS text_original)
+        FROM ({LOADED})""",
     "time_partitioned_scan": f"""WITH {RAW} SELECT {KEYS}, video_id, text_original FROM comments
         WHERE comments.published_at >= TIMESTAMP '2024-01-08'
           AND comments.published_at < TIMESTAMP '2024-01-15'""",
@@ -450,8 +455,13 @@ ORACLES: dict[str, str] = {
     ),
     "stream_enrich": ENRICHED,
     "stream_upsert": UPSERTED,
+    "stream_sample": f"WITH {RAW}, {sampled('comments', SAMPLE)} SELECT {KEYS}, video_id, rank FROM sample",
     "cleaning_run": UPSERTED,
     "compacted_videos": UPSERTED,
+    "compacted_comments": f"WITH {ROWS} SELECT {KEYS}, {shown()} FROM newest",
+    "stream_metrics": f"""WITH {RAW}, sizes AS (SELECT (SELECT count(*) FROM conversations) AS turns)
+        SELECT 0 AS delivery, count(*) - (SELECT turns FROM sizes) AS rows_processed FROM comments
+        UNION ALL SELECT 1, turns FROM sizes""",
     "declared_tables": f"WITH {STAGING}, {clean('staging', 'videos')} SELECT {VIDEO} FROM videos",
     "enrichment_run": f"""WITH {ROWS}
         SELECT c.comment_id, strftime(c.published_at, '%Y-%m-%d %H:%M:%S') AS published_at,

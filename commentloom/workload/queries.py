@@ -31,13 +31,17 @@ from commentloom.operators.scoring import (
     LexiconScorer,
     ModelScorer,
     parallel_map,
+    score_sentiment,
 )
 from commentloom.plans.comments import KEY, enrich_comments, enrich_rows, triage_comments
 from commentloom.plans.marts import (
+    TREND_PARTS,
+    add_to_trend,
     category_breakdown,
     comments_with_videos,
     group_comparison,
     sentiment_trend,
+    trend_of_parts,
 )
 from commentloom.plans.runs import run_cleaning, run_enrichment
 from commentloom.plans.videos import COUNTS, clean_videos
@@ -45,7 +49,6 @@ from commentloom.schemas import CAMEL_VIDEO_COLUMNS, COMMENTS, ENRICHMENT, STAGI
 from commentloom.session import scratch_path
 from commentloom.sources import csv as csv_source
 from commentloom.sources import tables
-from commentloom.sources.versions import VersionedTables
 from commentloom.streaming import drains
 from commentloom.workload.views import Views
 
@@ -119,13 +122,13 @@ def rules_join_many(v: Views) -> DataFrame:
 
 @query
 def sentiment_scores(v: Views) -> DataFrame:
-    scored = v.comments().select(*KEY, LexiconScorer().scores("text_original").alias("scores"))
+    scored = score_sentiment(v.comments(), LexiconScorer()).select(*KEY, "scores")
     return rounded(stamp(scored.selectExpr(*KEY, *spread_scores("scores"))), *SCORE_COLUMNS)
 
 
 @query
 def dominant_sentiments(v: Views) -> DataFrame:
-    scored = v.comments().select(*KEY, LexiconScorer().scores("text_original").alias("scores"))
+    scored = score_sentiment(v.comments(), LexiconScorer()).select(*KEY, "scores")
     return stamp(scored.selectExpr(*KEY, f"{dominant_sentiment('scores')} AS sentiment"))
 
 
@@ -365,47 +368,68 @@ def upsert_videos(v: Views) -> DataFrame:
     return show_videos(merging.upsert(clean_videos(v.staging()), clean_videos(v.updates())))
 
 
+def _database(v: Views, label: str) -> str:
+    """A fresh database below the shared folder, with the declared tables."""
+    root = scratch_path(v.spark, label)
+    database = "loom_" + root.rsplit("-", 1)[1]
+    v.spark.sql(f"CREATE DATABASE {database} LOCATION '{root}'")
+    tables.declare_tables(v.spark, database, root)
+    return database
+
+
 @query
 def enrichment_run(v: Views) -> DataFrame:
-    """A stored comments table after a run in two phases: sample first, then the rest."""
-    store = VersionedTables(v.spark, scratch_path(v.spark, "store"))
-    store.publish(weekly={"comments": tables.evolve_schema(v.comment_keys(), COMMENTS)})
-    run_enrichment(store, SAMPLE)
-    return show_enriched(store.read("comments").select(*KEY, "video_id", *ENRICHMENT.fieldNames()))
+    """A declared comments table after a run in two phases: sample first, then the rest."""
+    comments = f"{_database(v, 'enrichment')}.comments"
+    tables.insert_into(tables.evolve_schema(v.comment_keys(), COMMENTS), comments)
+    run_enrichment(v.spark, comments, SAMPLE)
+    return show_enriched(v.spark.table(comments).select(*KEY, "video_id", *ENRICHMENT.fieldNames()))
 
 
 @query
 def cleaning_run(v: Views) -> DataFrame:
-    """Stored videos after a later delivery was staged, cleaned and published."""
-    store = VersionedTables(v.spark, scratch_path(v.spark, "store"))
-    store.publish({"videos": clean_videos(v.staging()), "videos_staging": v.updates()})
-    run_cleaning(store)
-    left = store.read("videos_staging").select("video_id")
-    return show_videos(store.read("videos").join(left, "video_id", "left_anti"))
+    """The declared videos after a later delivery was staged, cleaned and upserted by bucket."""
+    database = _database(v, "cleaning")
+    staging, videos = f"{database}.videos_staging", f"{database}.videos"
+    tables.insert_into(clean_videos(v.staging()), videos)
+    tables.insert_into(_as_staging(v.updates()), staging)
+    run_cleaning(v.spark, staging, videos)
+    left = v.spark.table(staging).select("video_id")
+    return show_videos(v.spark.table(videos).drop(tables.BUCKET).join(left, "video_id", "left_anti"))
 
 
 @query
 def compacted_videos(v: Views) -> DataFrame:
-    """The drained log folded into the stored table; read from there alone."""
-    root = scratch_path(v.spark, "compact-videos")
-    store = VersionedTables(v.spark, f"{root}/store")
-    store.publish({"videos": clean_videos(v.staging())})
-    drains.drain_videos(v.update_stream(), f"{root}/log", f"{root}/checkpoint").awaitTermination()
-    drains.compact_videos(v.spark, f"{root}/log", store)
-    return show_videos(store.read("videos"))
+    """The drained log folded into the declared table; read from there alone."""
+    database = _database(v, "compact-videos")
+    log, checkpoint = (scratch_path(v.spark, n) for n in ("log", "checkpoint"))
+    tables.insert_into(clean_videos(v.staging()), f"{database}.videos")
+    drains.drain_videos(v.update_stream(), log, checkpoint).awaitTermination()
+    drains.compact_videos(v.spark, log, f"{database}.videos")
+    return show_videos(v.spark.table(f"{database}.videos").drop(tables.BUCKET))
+
+
+@query
+def compacted_comments(v: Views) -> DataFrame:
+    """The first delivery folded into the declared table, the second still in the log, both read as one."""
+    table = f"{_database(v, 'compact-comments')}.enriched"
+    log = scratch_path(v.spark, "log")
+    for number, delivery in enumerate(v.comment_deliveries()):
+        checkpoint = scratch_path(v.spark, "checkpoint")
+        drains.drain_comments(delivery, log, checkpoint, partitions=_tasks(v)).awaitTermination()
+        if number == 0:
+            drains.compact_comments(v.spark, log, table)
+    return show_enriched(drains.current_enrichment(v.spark, log, v.spark.table(table)))
 
 
 @query
 def declared_tables(v: Views) -> DataFrame:
     """Staged videos written into the declared staging table and cleaned from it into the declared videos."""
-    root = scratch_path(v.spark, "declared")
-    database = "loom_" + root.rsplit("-", 1)[1]
-    v.spark.sql(f"CREATE DATABASE {database} LOCATION '{root}'")
-    tables.declare_tables(v.spark, database, root)
+    database = _database(v, "declared")
     tables.insert_into(_as_staging(v.staging()), f"{database}.videos_staging")
     cleaned = clean_videos(tables.scan_staging(v.spark.table(f"{database}.videos_staging")))
     tables.insert_into(cleaned, f"{database}.videos")
-    return show_videos(v.spark.table(f"{database}.videos"))
+    return show_videos(v.spark.table(f"{database}.videos").drop(tables.BUCKET))
 
 
 @query
@@ -427,6 +451,19 @@ def key_profile(v: Views) -> DataFrame:
     return profiling.key_profile(v.comment_keys(), ["comment_id"])
 
 
+@query
+def key_sketches(v: Views) -> DataFrame:
+    """Distinct comment ids from merged sketches of each week, held against the exact number."""
+    rows = v.comment_keys().withColumn("week", tables.week_of(F.col("published_at")))
+    weekly = tables.stored(profiling.key_sketch(rows, ["comment_id"], ["week"]), "sketches")
+    estimate = profiling.sketch_profile(profiling.merged_sketches(weekly))
+    exact = profiling.key_profile(v.comment_keys(), ["comment_id"]).first()["distinct_keys"]
+    off = F.abs(F.col("distinct_keys") / exact - 1)
+    return estimate.select(
+        "total_rows", F.lit(exact).alias("distinct_keys"), (off <= profiling.SKETCH_ERROR).alias("within_error")
+    )
+
+
 @query
 def column_profile(v: Views) -> DataFrame:
     return profiling.column_profile(clean_videos(v.staging()))
@@ -505,6 +542,21 @@ def published_trend(v: Views) -> DataFrame:
     )
 
 
+@query
+def incremental_trend(v: Views) -> DataFrame:
+    """The trend kept up to date by two deliveries, the second of which arrives twice."""
+    table = f"{_database(v, 'trend')}.trend"
+    tables.declare_table(v.spark, table, TREND_PARTS, tables.WEEK)
+    for name in ("documents", "conversations", "conversations"):
+        part = v.comments().where(F.col("parent_comment_id").isNull() == (name == "documents"))
+        scored = merging.with_skip_defaults(enrich_rows(part).drop("text_original"))
+        add_to_trend(scored, table, name)
+    trend = trend_of_parts(v.spark.table(table))
+    return stamp(
+        rounded(trend, "mean_positive", "mean_negative", "mean_neutral", "share"), "bucket"
+    )
+
+
 # --- sources and sinks ------------------------------------------------------------------------
 
 
@@ -536,13 +588,7 @@ def csv_videos_camel(v: Views) -> DataFrame:
     return _show_staging(loaded.drop("kind"))
 
 
-def _loaded_comments(v: Views) -> DataFrame:
-    paths = []
-    for part in v.comment_exports():
-        path = scratch_path(v.spark, "comments-csv")
-        csv_source.write_csv(part, path)
-        paths.append(path)
-    loaded = csv_source.load_comments_csv(v.spark, paths)
+def _show_comments(loaded: DataFrame) -> DataFrame:
     return stamp(
         loaded.select(
             "kind", *KEY, "channel_id", "video_id", "author_id", "text_original",
@@ -552,26 +598,52 @@ def _loaded_comments(v: Views) -> DataFrame:
     )
 
 
+def _loaded_comments(v: Views) -> DataFrame:
+    paths = []
+    for part in v.comment_exports():
+        path = scratch_path(v.spark, "comments-csv")
+        csv_source.write_csv(part, path)
+        paths.append(path)
+    return _show_comments(csv_source.load_comments_csv(v.spark, paths))
+
+
 @query
 def csv_comments(v: Views) -> DataFrame:
     """Two exports loaded as one table."""
     return _loaded_comments(v)
 
 
-@query
-def csv_comments_split(v: Views) -> DataFrame:
-    """The same with records that cross the borders of small splits."""
+def _in_small_splits(v: Views, load) -> DataFrame:
     setting = "spark.sql.files.maxPartitionBytes"
     before = v.spark.conf.get(setting)
     v.spark.conf.set(setting, "64k")
     try:
-        loaded = _loaded_comments(v)
         # The splits are cut when the plan is made; it is kept with the session's setting put back.
-        path = scratch_path(v.spark, "comments-loaded")
-        loaded.write.parquet(path)
+        return tables.stored(load(), "comments-loaded")
     finally:
         v.spark.conf.set(setting, before)
-    return v.spark.read.parquet(path)
+
+
+@query
+def csv_comments_split(v: Views) -> DataFrame:
+    """The same where splits are far smaller than the files: records with line breaks stay whole."""
+    return _in_small_splits(v, lambda: _loaded_comments(v))
+
+
+@query
+def csv_flat_export(v: Views) -> DataFrame:
+    """Exports without line breaks inside quotes, each read in many splits."""
+    paths = []
+    for part in v.comment_exports():
+        path = scratch_path(v.spark, "comments-csv")
+        flat = F.translate("text_original", "\r\n", "  ")
+        csv_source.write_csv(part.withColumn("text_original", flat).coalesce(1), path)
+        paths.append(path)
+
+    def load() -> DataFrame:
+        return _show_comments(csv_source.load_comments_csv(v.spark, paths, multi_line=False))
+
+    return _in_small_splits(v, load)
 
 
 @query
@@ -596,13 +668,18 @@ def schema_evolution(v: Views) -> DataFrame:
 # --- incremental runs -------------------------------------------------------------------------
 
 
+def _tasks(v: Views) -> int:
+    """A delivery of these tables is one file; a batch of it is dealt out to all cores."""
+    return int(v.spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query
 def stream_enrich(v: Views) -> DataFrame:
     """Comments enriched batch by batch, read back as one row per id."""
     root = scratch_path(v.spark, "drain-comments")
     profile = train_profile(v.documents())
     drains.drain_comments(
-        v.comment_stream(), f"{root}/log", f"{root}/checkpoint", profile
+        v.comment_stream(), f"{root}/log", f"{root}/checkpoint", profile, partitions=_tasks(v)
     ).awaitTermination()
     return show_enriched(drains.current_enrichment(v.spark, f"{root}/log"))
 
@@ -612,10 +689,40 @@ def stream_two_deliveries(v: Views) -> DataFrame:
     """Documents and conversations arrive apart, each drained with a checkpoint of its own into one log."""
     root = scratch_path(v.spark, "drain-deliveries")
     for name, delivery in zip(("first", "second"), v.comment_deliveries()):
-        drains.drain_comments(delivery, f"{root}/log", f"{root}/{name}").awaitTermination()
+        drains.drain_comments(delivery, f"{root}/log", f"{root}/{name}", partitions=_tasks(v)).awaitTermination()
     return show_enriched(drains.current_enrichment(v.spark, f"{root}/log"))
 
 
+@query
+def stream_sample(v: Views) -> DataFrame:
+    """The priority sample kept as state over two deliveries of one stream."""
+    source, log, checkpoint = (scratch_path(v.spark, n) for n in ("deliveries", "log", "checkpoint"))
+    for export in v.comment_exports():
+        narrow = export.select("comment_id", "video_id", "published_at")
+        narrow.write.mode("append").parquet(source)
+        drains.drain_sample(drains.read_stream(v.spark, source, narrow.schema), log, checkpoint, SAMPLE).awaitTermination()
+    return stamp(drains.current_sample(v.spark, log, SAMPLE))
+
+
+@query
+def stream_metrics(v: Views) -> DataFrame:
+    """Comments of each delivery as the drain's listener saw them, beside the rows that the log holds."""
+    log = scratch_path(v.spark, "log")
+    seen = drains.DrainCounts()
+    v.spark.streams.addListener(seen)
+    try:
+        runs = []
+        for delivery in v.comment_deliveries():
+            run = drains.drain_comments(delivery, log, scratch_path(v.spark, "checkpoint"), partitions=_tasks(v))
+            run.awaitTermination()
+            runs.append(str(run.runId))
+        seen.wait(runs)
+    finally:
+        v.spark.streams.removeListener(seen)
+    rows = [(number, seen.rows(run)) for number, run in enumerate(runs)]
+    return v.spark.createDataFrame(rows, "delivery int, rows_processed long")
+
+
 @query
 def stream_upsert(v: Views) -> DataFrame:
     """A later delivery of videos drained over the clean table."""
