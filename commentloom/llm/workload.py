@@ -87,8 +87,9 @@ def op8_host_suffixes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_low_discrepancy_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """The mix by document; first_slot is -1 where it takes none of it."""
     return mixed(table(spark, folder, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken", "n_slots", F.get("slots", F.lit(0)).alias("first_slot")
+        "doc_id", "size", "source_size", "target", "taken", "n_slots", F.coalesce(F.get("slots", F.lit(0)), F.lit(-1)).alias("first_slot")
     )
 
 
@@ -224,7 +225,7 @@ ORACLES = {
           CAST(CASE WHEN t0 > 0 THEN (f + t0 - 1) // 256 - f // 256 + 1 ELSE 0 END
             + CASE WHEN t1 > 0 THEN (n + f + t1 - 1) // 256 - (n + f) // 256 + 1 ELSE 0 END
             + CASE WHEN t2 > 0 THEN (2 * n + f + t2 - 1) // 256 - (2 * n + f) // 256 + 1 ELSE 0 END AS BIGINT) AS n_slots,
-          CAST(CASE WHEN t0 > 0 THEN q.slot END AS BIGINT) AS first_slot
+          CAST(CASE WHEN t0 > 0 THEN q.slot ELSE -1 END AS BIGINT) AS first_slot
         FROM y LEFT JOIN q ON q.r = y.r AND q.block = f // 256""",
     "op10_block_naming": f"""
         WITH texts AS (SELECT doc_id, {_LOWER} AS t FROM documents)
