@@ -29,11 +29,14 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can read.
 
     The session names it in ``spark.checkpoint.dir``. Without that setting a folder below the
-    warehouse is taken: every session has one, and on a cluster it is shared storage.
+    warehouse is taken: every session has one. On a cluster it has to be shared storage, so a warehouse on the driver's own
+    disk is refused there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_commentloom"
+        if folder.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can read")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

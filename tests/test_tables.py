@@ -9,8 +9,17 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from commentloom.operators import profiling
+from commentloom.operators.ranking import priority_sample
 from commentloom.plans.comments import enrich_comments, enrich_rows
-from commentloom.plans.marts import category_breakdown, comments_with_videos, sentiment_trend
+from commentloom.plans.marts import (
+    TREND_PARTS,
+    add_to_trend,
+    category_breakdown,
+    comments_with_videos,
+    sentiment_trend,
+    trend_of_parts,
+)
 from commentloom.plans.runs import run_cleaning, run_enrichment
 from commentloom.plans.videos import clean_videos
 from commentloom.schemas import CLEAN_VIDEOS, COMMENTS, ENRICHED, STAGING_VIDEOS
@@ -327,6 +336,46 @@ def test_the_comment_log_folds_into_weeks(spark, database, tmp_path):
     assert spark.table(table).drop("week").count() == 32
 
 
+def test_a_delivery_of_the_trend_replaces_itself(spark, database, tmp_path):
+    rows = enrich_comments(Views(spark, SF).comments())
+    early, late = rows.where("published_at < '2024-01-10'"), rows.where("published_at >= '2024-01-10'")
+    table = f"{database}.trend"
+    tables.declare_table(spark, table, TREND_PARTS, "week", str(tmp_path / "db" / "trend"))
+    add_to_trend(early, table, "a")
+    before = part_files(tmp_path / "db" / "trend")
+    for _ in range(2):
+        add_to_trend(late, table, "b")
+    after = part_files(tmp_path / "db" / "trend")
+    untouched = [w for w in before if w < "week=2024-01-08"]
+    assert untouched and all(after[w] == before[w] for w in untouched)
+    key = lambda r: (r["bucket"], r["sentiment"], r["comments"])
+    assert sorted(map(key, trend_of_parts(spark.table(table)).collect())) == sorted(map(key, sentiment_trend(rows).collect()))
+
+
+def test_a_live_sample_keeps_the_newest_of_all_deliveries(spark, tmp_path):
+    rows = [(i, None if i % 3 == 0 else f"v{i % 3}", START + timedelta(minutes=i * 7919 % 600)) for i in range(300)] + [(900, "v1", None)]
+    schema = "comment_id long, video_id string, published_at timestamp"
+    whole = spark.createDataFrame(rows, schema)
+    source, log, checkpoint = (str(tmp_path / n) for n in ("in", "log", "checkpoint"))
+    for part in ("comment_id < 100", "comment_id >= 100", "comment_id < 50"):  # the last comes again
+        whole.where(part).write.mode("append").parquet(source)
+        stream = drains.read_stream(spark, source, whole.schema)
+        drains.drain_sample(stream, log, checkpoint, k=4, buckets=3).awaitTermination()
+    key = lambda r: (r["video_id"] or "", r["rank"], r["comment_id"], r["published_at"])
+    got, want = drains.current_sample(spark, log, 4).collect(), priority_sample(whole, 4).collect()
+    assert sorted(map(key, got)) == sorted(map(key, want)) and len(got) == 12
+    # What a part emits is bounded, however many comments it has seen.
+    assert drains.read_log(spark, log, drains.SAMPLED).groupBy("video_id", "part", "run", "batch_id").count().agg(F.max("count")).first()[0] == 4
+
+
+def test_merged_sketches_keep_their_error(spark):
+    rows = spark.range(60_000).selectExpr("id % 40000 AS id", "id % 7 AS part")
+    parts = profiling.key_sketch(rows, ["id"], ["part"])
+    found = profiling.sketch_profile(profiling.merged_sketches(parts)).first()
+    assert found["total_rows"] == 60_000 and abs(found["distinct_keys"] / 40_000 - 1) <= profiling.SKETCH_ERROR
+    assert profiling.sketch_profile(profiling.merged_sketches(parts.where("false"))).first()["distinct_keys"] in (0, None)
+
+
 def test_views_read_whole_texts(spark):
     views = Views(spark, SF)
     docs = views.table("documents")
