@@ -126,6 +126,24 @@ def test_long_lists_are_cut_and_nothing_is_lost(docs, monkeypatch):
     assert {(r.doc_id, r.component_id) for r in near_duplicates(docs).collect()} == whole
 
 
+def test_joins_beyond_the_broadcast_bounds_give_the_same_rows(docs, monkeypatch):
+    from commentloom.llm import minhash_join, packing
+
+    near = {(r.doc_id, r.component_id) for r in near_duplicates(docs).collect()}
+    pieces = collections.Counter((r.doc_id, r.start, r.length) for r in pack_documents(docs).collect())
+    monkeypatch.setattr(minhash_join, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(packing, "BROADCAST_PLACES", 0)
+    assert {(r.doc_id, r.component_id) for r in near_duplicates(docs).collect()} == near
+    packed = pack_documents(docs).collect()
+    assert collections.Counter((r.doc_id, r.start, r.length) for r in packed) == pieces
+    # Gapless in every sequence.
+    held = collections.defaultdict(list)
+    for r in packed:
+        held[r.sequence_id].append((r.offset, r.length))
+    for parts in held.values():
+        assert [o for o, _ in sorted(parts)] == [sum(n for _, n in sorted(parts)[:i]) for i in range(len(parts))]
+
+
 def test_match_threshold():
     assert least_matches(1, 0.5, 1e-9) == 1
     assert least_matches(32, 0.85**3, 1e-5) == 8
