@@ -140,4 +140,9 @@ def _places(spark: SparkSession, patterns: list) -> tuple[DataFrame, int]:
 
 
 def pack_documents(docs: DataFrame, sequence: int = SEQUENCE, **options) -> DataFrame:
+    """The pieces of all documents with their places, as ``token_pieces`` and ``pack_pieces`` give them.
+
+    NULL and empty texts are one token, texts of any length are encoded whole and cut into pieces, repeated rows and
+    rows of one or no doc_id are documents of their own, other columns are not looked at. An empty table gives an empty result.
+    """
     return pack_pieces(token_pieces(docs, sequence=sequence, **options), sequence)
