@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from commentloom.functions.categories import confidence_of, first_match, rules_table
 from commentloom.operators import merging, profiling, ranking
 from commentloom.operators.language import LanguageProfile, detect_language, train_profile
-from commentloom.operators.rules import match_rules
+from commentloom.operators.rules import FIRST_CANDIDATES, _lengths, _offered, _ranked, _slots, match_rules
 from commentloom.operators.scoring import (
     LexiconScorer,
     ModelScorer,
@@ -171,6 +171,30 @@ def test_a_short_keyword_leaves_the_anchors_of_others_alone(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
 
 
+def test_texts_offer_few_substrings_to_many_rules(spark):
+    begun = "b" * 64
+    texts = ["alpha beta " * 30, None, "", "ab", "é" + "zeta" * 9, f"{begun}x gamma", f"{begun}y0 gamma", "delta", "\u00c9TA w1999 w7"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, "beta")], "comment_id long, text_original string")
+    # Ten keywords begin like two of the texts, and only one of them is in one.
+    rules = [(0, f"long {i}", f"{begun}y{i}") for i in range(10)] + [(5, "five", "zeta"), (5, "Five", "gamma"), (3, "three", "eta"), (9, "nine", "a")]
+    rules += [(None, "none", "delta"), (1, "none", ""), (4, "four", "éta")] + [(20 + i, f"w{i}", f"w{i} ") for i in range(2000)]
+    table = spark.createDataFrame(rules, "priority int, category string, keyword string").repartition(3)
+    got = {r["comment_id"]: r["category"] for r in match_rules(df, table, ["comment_id"]).collect()}
+
+    def first(text):
+        hits = [(p is not None, p or 0, c) for p, c, k in rules if k and k in (text or "").lower()]
+        return min(hits)[2] if hits else "General Feedback"
+
+    assert got == {None: "three"} | {i: first(t) for i, t in enumerate(texts)}
+    assert got[5] == "Five" and got[6] == "long 0" and got[7] == "none"
+    # Before, a text sent a row per distinct substring of up to four characters.
+    ranked = _ranked(table)
+    shared = spark.sparkContext.broadcast((_slots(ranked, ranked.count()), _lengths(ranked)))
+    lowered = df.selectExpr("comment_id", "lower(coalesce(text_original, '')) AS _text")
+    offered = _offered(lowered, ["comment_id"], shared, FIRST_CANDIDATES)
+    assert offered.groupBy("comment_id").count().agg(F.max("count")).first()[0] <= FIRST_CANDIDATES
+
+
 def test_a_mapping_compiles_and_joins_nothing(comments):
     plan = plan_of(match_rules(comments, {"X": ("boom",)}, ["comment_id"]))
     assert "Join" not in plan and "Exchange" not in plan
