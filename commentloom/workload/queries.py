@@ -637,7 +637,7 @@ def csv_flat_export(v: Views) -> DataFrame:
     for part in v.comment_exports():
         path = scratch_path(v.spark, "comments-csv")
         flat = F.translate("text_original", "\r\n", "  ")
-        csv_source.write_csv(part.withColumn("text_original", flat).coalesce(1), path)
+        csv_source.write_csv(part.withColumn("text_original", flat), path)
         paths.append(path)
 
     def load() -> DataFrame:
