@@ -215,7 +215,8 @@ def comments_enriched(v: Views) -> DataFrame:
 @query
 def triage_score_merge(v: Views) -> DataFrame:
     """Triage and scores as two tables, merged per id with the defaults filled in."""
-    newest = merging.with_skip_defaults(_newest_rows(v))
+    # Both tables come from one pass over the texts.
+    newest = tables.stored(merging.with_skip_defaults(_newest_rows(v)), "newest")
     triage = newest.select(
         *KEY, "is_spam", "comment_length", "language_confidence"
     )
