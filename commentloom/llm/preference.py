@@ -150,7 +150,11 @@ def format_preferences(chosen: DataFrame, rejected: DataFrame, most_chars: int =
     as in ``preference_turns``. The texts of a pair of more than ``most_chars`` characters are NULL: such a pair is to be
     taken turn by turn from there.
     """
-    turns = preference_turns(chosen, rejected)
+    return render_preferences(preference_turns(chosen, rejected), most_chars)
+
+
+def render_preferences(turns: DataFrame, most_chars: int = MOST_CHARS) -> DataFrame:
+    """The rows of ``format_preferences`` from those of ``preference_turns``."""
     chars = F.coalesce(F.length("text"), F.lit(0)).cast("long")
     sizes = turns.groupBy("pair_id", "prompt_turns").agg(F.sum(rendered_chars(F.col("role"), chars)).alias("_chars"))
     fits = sizes.where(F.col("_chars") <= most_chars).select("pair_id")
