@@ -1,6 +1,7 @@
 """Vectors, pages, links and preferences against brute force, and the pipeline as a whole."""
 
 import collections
+import hashlib
 import itertools
 import os
 import random
@@ -313,6 +314,27 @@ def test_propagation_is_personalised_pagerank(spark):
     assert host_edges(spark.createDataFrame([], "host string, _html string")).count() == 0
 
 
+def test_suffixes_are_sorted_for_pages_that_markup_settles(spark):
+    menu = " ".join(f"entry{i}" for i in range(9))
+    rows = [(i, f"http://{h}.net/{i}", f"<nav>{menu} page {i}</nav><article><p>text {i} {menu}</p></article>") for i, h in enumerate("aaab")]
+    found = {r.page_id: r for r in extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    # Runs are nine tokens and the one after them; article text keeps them.
+    assert [found[i].n_beside for i in range(4)] == [10, 10, 10, 0]
+    assert all(found[i].text == f"text {i} {menu}" and found[i].n_repeated == 0 for i in range(4))
+
+
+def test_query_renders_its_preferences(spark):
+    found = workload.op2_preference_pairs(spark, SF)
+    turns = spark.read.parquet(f"{SF}/conversations.parquet")
+    texts = {r.pair_id: r for r in format_preferences(*swapped_replies(turns)).collect()}
+    rows = found.collect()
+    assert len(rows) == len(texts) > 0
+    for r in rows:
+        t = texts[r.pair_id]
+        assert [r.prompt_md5, r.chosen_md5, r.rejected_md5] == [hashlib.md5(x.encode()).hexdigest() for x in (t.prompt, t.chosen, t.rejected)]
+        assert r.chosen_learned == sum(m.end - m.start for m in t.chosen_mask)
+
+
 def test_preferences(spark):
     turns = [(0, 0, "user", "hi"), (0, 1, "assistant", "yes"), (1, 0, "user", "hé"), (1, 1, "assistant", "no"), (1, 2, "user", None),
              (2, 0, "user", "x"), (3, 0, "assistant", "y"), (4, 0, "assistant", "alone"), (None, 0, "user", "z")]
