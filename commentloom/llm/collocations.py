@@ -173,8 +173,16 @@ def shard_grams(labels: np.ndarray, pieces: np.ndarray, size: int, frequent: Fil
         return np.empty((0, size), np.uint64), np.empty(0, np.int64)
     parts = gram_keys([labels[i : len(labels) - size + 2 + i] for i in range(size - 1)])
     good = frequent(parts)
+    del parts
     at = np.flatnonzero(good[:-1] & good[1:] & (pieces[:count] == pieces[size - 1 :]))
-    names, number = np.unique(labels, return_inverse=True)
+    # Only the words of n-grams that stay are numbered.
+    used = np.zeros(len(labels), dtype=bool)
+    for i in range(size):
+        used[at + i] = True
+    names = np.unique(labels[used])
+    number = np.zeros(len(labels), dtype=np.uint32)
+    number[used] = np.searchsorted(names, labels[used])
+    del used
     key, space = number[at].astype(np.uint64), len(names)
     for i in range(1, size):
         if space * len(names) >= 1 << 64:
@@ -249,6 +257,7 @@ def count_grams(docs: DataFrame, size: int, frequent: Filter, bits: dict[str, in
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, shards in held.items():
                 labels, pieces = (np.concatenate(p) for p in zip(*shards))
+                shards.clear()
                 grams, counts = shard_grams(labels, pieces, size, known)
                 yield _batch(list(_automata(lang, grams, counts, widths.get(lang, 0))))
 
@@ -259,8 +268,9 @@ def count_grams(docs: DataFrame, size: int, frequent: Filter, bits: dict[str, in
                     continue
                 before = held.setdefault(lang, [])
                 # Pieces go on counting from stretch to stretch.
-                at = before[-1][1][-1] + 1 if before else 0
-                before.append((labels, pieces + at))
+                at = int(before[-1][1][-1]) + 1 if before else 0
+                # Only neighbours are compared, so narrow numbers do.
+                before.append((labels, (pieces + at).astype(np.int32)))
                 total += len(labels)
                 if total >= SHARD_WORDS:
                     yield from flush()
