@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from commentloom.llm import quality, workload
+from commentloom.llm import html_text, quality, scratch, workload
 from commentloom.llm.html_text import extract_text, page_blocks, page_links
 from commentloom.llm.mixing import mixed
 from commentloom.llm.preference import format_preferences, preference_turns, swapped_replies
@@ -323,6 +323,18 @@ def test_suffixes_are_sorted_for_pages_that_markup_settles(spark):
     assert all(found[i].text == f"text {i} {menu}" and found[i].n_repeated == 0 for i in range(4))
 
 
+def test_texts_that_markup_settles_are_not_stored(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(html_text, "stored", lambda df, label: kept.append(scratch.stored(df, label)) or kept[-1])
+    menu = " ".join(f"entry{i}" for i in range(9))
+    rows = [(i, f"http://a.net/{i}", f"<nav>{menu}</nav><article><p>settled {i}</p></article>") for i in range(5)]
+    rows += [(5, "http://a.net/5", f"<p>open text of its own {menu}</p>")]
+    found = extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    assert {(r.page_id, r.text, r.n_beside) for r in found.collect()} == {(i, f"settled {i}", 9) for i in range(5)} | {(5, "open text of its own", 0)}
+    held = [str(r) for df in kept for r in df.collect()]
+    assert any("open text" in row for row in held) and not any("settled" in row for row in held)
+
+
 def test_query_renders_its_preferences(spark):
     found = workload.op2_preference_pairs(spark, SF)
     turns = spark.read.parquet(f"{SF}/conversations.parquet")
