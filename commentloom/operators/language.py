@@ -18,6 +18,8 @@ from commentloom.functions import quote
 UNKNOWN = "unknown"
 TOP_GRAMS = 400
 SLICE_CHARS = 1_000_000
+#: Of a code point.
+BITS = 21
 
 PROFILE_SCHEMA = T.StructType(
     [T.StructField("gram", T.StringType()), T.StructField("weights", T.ArrayType(T.LongType()))]
@@ -44,17 +46,70 @@ class LanguageProfile:
 
 def words_only(text: str) -> str:
     """Lower-cased runs of letters, single blanks between them."""
-    return rf"trim(regexp_replace(lower(coalesce({text}, '')), {quote(r'[^\p{L}]+')}, ' '))"
+    # A lone blank, as most words have between them, is right as it is: only other runs are replaced.
+    others = r"[^\p{L}](?:[^\p{L}]+|(?<! ))"
+    return f"trim(regexp_replace(lower(coalesce({text}, '')), {quote(others)}, ' '))"
 
 
-def trigrams(words: str) -> str:
-    """Every letter of the whole text with the character on either side, blanks at word ends.
+def _trigram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every letter with the character on either side, blanks at word ends, and how often it comes.
 
-    The letter alone and with its left neighbour are the shorter grams, so one pass serves all
-    three sizes. The look-ahead takes linear time; substring() would restart at the front of the
-    text for each letter.
+    The letter alone and with its left neighbour are the shorter grams, so one pass serves all three sizes.
     """
-    return f"regexp_extract_all(concat(' ', {words}, ' '), '(?=(.[^ ].))', 1)"
+    for batch in batches:
+        of_language: dict = {}
+        for lang, words in zip(batch.column("lang").to_pylist(), batch.column("words").to_pylist()):
+            of_language.setdefault(lang, []).append(words)
+        for lang, texts in of_language.items():
+            for part in _slices(texts):
+                grams, counts = _trigrams(part)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(grams), batch.schema.field("lang").type), pa.array(grams, pa.string()), pa.array(counts, pa.int64())],
+                    names=["lang", "gram", "n"],
+                )
+
+
+def _slices(texts: list[str]) -> Iterator[list[str]]:
+    """Runs of texts of about a million characters, which bound the memory of a batch."""
+    start, size = 0, 0
+    for end, one in enumerate(texts, 1):
+        size += len(one) + 1
+        if size > SLICE_CHARS or end == len(texts):
+            yield texts[start:end]
+            start, size = end, 0
+
+
+def _trigrams(texts: list[str]) -> tuple[list[str], np.ndarray]:
+    _, distinct, _, counts = _letters(texts)
+    joined = distinct.astype("<u4").tobytes().decode("utf-32-le")
+    return [joined[i : i + 3] for i in range(0, len(joined), 3)], counts
+
+
+def _letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of every letter in the texts, put together with blanks, its place and the number of its trigram; and the distinct
+    trigrams, (left, letter, right) each, and how often they come.
+
+    Characters are numbered first, so that trigrams are counted in a table; a large alphabet is sorted instead.
+    """
+    joined = " " + " ".join(texts) + " "
+    points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+    alphabet = np.flatnonzero(np.bincount(points))
+    number = np.zeros(alphabet[-1] + 1, dtype=np.int64)
+    number[alphabet] = np.arange(len(alphabet))
+    base = len(alphabet)
+    numbered = number[points]
+    at = np.flatnonzero(points[1:-1] != 32) + 1
+    codes = (numbered[at - 1] * base + numbered[at]) * base + numbered[at + 1]
+    if base**3 <= 4 * len(codes):
+        table = np.bincount(codes, minlength=base**3)
+        found = np.flatnonzero(table)
+        counts = table[found]
+        table[found] = np.arange(len(found))
+        which = table[codes]
+    else:
+        found, which, counts = np.unique(codes, return_inverse=True, return_counts=True)
+    distinct = alphabet[np.stack([found // base**2, found // base % base, found % base], axis=1)]
+    return at, distinct, which, counts
 
 
 def sizes_of(gram: str) -> list[str]:
@@ -74,16 +129,13 @@ def train_profile(
     if top < 1:
         raise ValueError("top is 1 or more")
     spark = corpus.sparkSession
-    words = (
-        corpus.where(F.col(language).isNotNull())
-        .selectExpr(f"{language} AS lang", f"explode(split({words_only(text)}, ' ')) AS word")
-        .where("word <> ''")
-    )
-    # Words repeat: they are counted first, and only distinct ones are taken apart.
+    texts = corpus.where(F.col(language).isNotNull()).selectExpr(f"{language} AS lang", f"{words_only(text)} AS words")
+    # Grams repeat: each task counts them slice by slice, and only distinct ones become rows.
     counts = (
-        words.groupBy("lang", "word")
-        .agg(F.expr("count(1) AS n"))
-        .selectExpr("lang", f"explode({trigrams('word')}) AS gram", "n")
+        texts.where("words <> ''")
+        .mapInArrow(_trigram_counts, f"lang {texts.schema['lang'].dataType.simpleString()}, gram string, n bigint")
+        .groupBy("lang", "gram")
+        .agg(F.expr("sum(n) AS n"))
         .selectExpr("lang", f"explode(array({', '.join(sizes_of('gram'))})) AS gram", "n")
         .groupBy("lang", "gram")
         .agg(F.expr("sum(n) AS n"))
@@ -147,15 +199,7 @@ def detect_language(
     def detect(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known, weight, names = shared.value
         for batch in batches:
-            texts = batch.tolist()
-            places = []
-            # Slices of about a million characters bound the memory of a batch.
-            start, size = 0, 0
-            for end, one in enumerate(texts, 1):
-                size += len(one) + 1
-                if size > SLICE_CHARS or end == len(texts):
-                    places.append(_best(texts[start:end], known, weight))
-                    start, size = end, 0
+            places = [_best(part, known, weight) for part in _slices(batch.tolist())]
             yield pd.Series(names[np.concatenate(places)] if places else [], dtype=object)
 
     # Python evaluates annotations lazily here; the UDF needs real types.
@@ -165,28 +209,30 @@ def detect_language(
 
 
 def _gram_number(gram: str) -> int:
-    """A gram of one to three characters as one number, 21 bits each."""
+    """A gram of one to three characters as one number, ``BITS`` bits each."""
     number = 0
     for character in gram:
-        number = number << 21 | ord(character)
+        number = number << BITS | ord(character)
     return number
 
 
 def _best(texts: list[str], known: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Place of the best language of each text; the place after the last means none."""
-    joined = " " + " ".join(texts) + " "
-    points = np.frombuffer(joined.encode("utf-32-le"), "<u4").astype(np.uint64)
-    ends = np.cumsum([len(t) + 1 for t in texts])
-    at = np.flatnonzero(points[1:-1] != 32) + 1
-    owner = np.searchsorted(ends, at - 1, side="right")
-    left, letter, right = points[at - 1], points[at], points[at + 1]
-    totals = np.zeros((len(texts), weights.shape[1]))
-    bits = np.uint64(21)
+    at, distinct, which, _ = _letters(texts)
+    bits = np.uint64(BITS)
+    left, letter, right = distinct.astype(np.uint64).T
     pair = left << bits | letter
+    # What a trigram and the shorter grams in it weigh; weights are whole numbers, so sums are exact in any order.
+    weighed = np.zeros((len(distinct), weights.shape[1]))
     for grams in (letter, pair, pair << bits | right) if len(known) else ():
         place = np.minimum(np.searchsorted(known, grams), len(known) - 1)
         hit = known[place] == grams
-        for i in range(weights.shape[1]):
-            totals[:, i] += np.bincount(owner[hit], weights[place[hit], i], minlength=len(texts))
+        weighed[hit] += weights[place[hit]]
+    # Which text a letter is of, by where the next ones begin.
+    begins = np.searchsorted(at - 1, np.cumsum([0, *(len(t) + 1 for t in texts)]))
+    owner = np.repeat(np.arange(len(texts)), np.diff(begins))
+    totals = np.zeros((len(texts), weights.shape[1]))
+    for i in range(weights.shape[1]):
+        totals[:, i] = np.bincount(owner, weighed[which, i], minlength=len(texts))
     # Every weight is below zero, so a sum of zero means that no gram was known.
     return np.where(totals[:, 0] < 0, totals.argmax(axis=1), weights.shape[1])

@@ -1,14 +1,25 @@
 """Joins, ranking, rules, scoring and profiling on small tables with skew and odd keys."""
 
+import collections
+import random
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
-from conftest import plan_of
+from conftest import column, plan_of
 from pyspark.sql import functions as F
 
 from commentloom.functions.categories import confidence_of, first_match, rules_table
 from commentloom.operators import merging, profiling, ranking
-from commentloom.operators.language import LanguageProfile, detect_language, train_profile
+from commentloom.operators.language import (
+    LanguageProfile,
+    _letters,
+    _trigram_counts,
+    _trigrams,
+    detect_language,
+    train_profile,
+    words_only,
+)
 from commentloom.operators.rules import FIRST_CANDIDATES, _lengths, _offered, _ranked, _slots, match_rules
 from commentloom.operators.scoring import (
     LexiconScorer,
@@ -355,3 +366,28 @@ def test_profiles(spark):
     assert tuple(profiling.key_profile(df, ["k"]).first()) == (3, 2, 1)
     observed, seen = profiling.observe_rows(df, "t")
     assert observed.count() == 3 and seen.get["rows_processed"] == 3
+
+
+def test_grams_are_counted_by_table_and_by_sorting_alike():
+    rng = random.Random(3)
+    few = ["".join(rng.choice("abc é") for _ in range(400)).strip() for _ in range(30)]
+    few = [" ".join(t.split()) for t in few]
+    many = ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(30)) for _ in range(9)] + ["\U00010400x", "", "y"]
+    for texts in (few, many, [""], ["a"]):
+        expected = collections.Counter()
+        for text in texts:
+            for word in text.split():
+                expected.update(f" {word} "[i : i + 3] for i in range(len(word)))
+        grams, counts = _trigrams(texts)
+        assert dict(zip(grams, counts.tolist())) == expected
+        at, distinct, which, _ = _letters(texts)
+        joined = " " + " ".join(texts) + " "
+        assert ["".join(map(chr, distinct[w])) for w in which] == [joined[i - 1 : i + 2] for i in at]
+    # A task gives a row for each distinct gram, not for each word of the texts.
+    batch = pa.RecordBatch.from_arrays([pa.array(["x", "y"] * 50), pa.array(["aa bb aa bb"] * 100)], names=["lang", "words"])
+    assert sum(b.num_rows for b in _trigram_counts([batch])) == 8
+
+
+def test_words_keep_lone_blanks_and_lose_other_runs(spark):
+    values = ["a b", " a  b ", "a, b", "a ,b", "a,b", "a\tb", " ", "", None, "a b c.", "1a2", "\U00010400 x", "a \u00a0 b", "Ab-C  "]
+    assert column(spark, words_only, values) == ["a b", "a b", "a b", "a b", "a b", "a b", "", "", "", "a b c", "a", "\U00010428 x", "a b", "ab c"]
