@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -21,6 +21,7 @@ from commentloom.llm.scratch import numbered, stored
 from commentloom.operators.running import running_total
 
 WORD = "[^\\x20\\x09-\\x0D]+"
+BETWEEN = "[\\x20\\x09-\\x0D]*"
 BLOCK_WORDS = 256
 WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
@@ -56,11 +57,21 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     return shares.withColumn("target", target).select("source", "source_rank", "source_size", "weight", "target")
 
 
+def word_count(text: Column) -> Column:
+    """Words of a text, 0 for NULL.
+
+    Each word, with the white space behind it, becomes one character and these are counted. ``regexp_count`` would
+    list all words of a text first, which takes many times the memory of the text.
+    """
+    one_each = F.regexp_replace(F.ltrim(text, F.lit(" \t\n\x0b\f\r")), WORD + BETWEEN, ".")
+    return F.coalesce(F.length(one_each), F.lit(0)).cast("long")
+
+
 def _laid(
     docs: DataFrame, doc_id: str, text: str, source: str, block_words: int, weights: tuple[int, ...], most: int, carry: tuple[str, ...]
 ) -> tuple[DataFrame, int]:
     """Rows with their source's targets, their place among its words (_at) and its blocks; and the bits of a slot."""
-    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+    size = word_count(F.col(text))
     shuffled = F.md5(
         F.concat(
             F.lit(SEED), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"),

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -15,10 +16,11 @@ from commentloom.llm import quality
 from commentloom.llm.attribution import section_tokens
 from commentloom.llm.block_naming import exact_dedup
 from commentloom.llm.minhash_join import least_matches, near_duplicates
-from commentloom.llm.mixing import mix_schedule, mixed
+from commentloom.llm.mixing import mix_schedule, mixed, word_count
 from commentloom.llm.packing import pack_documents, shortest_pack_first
 from commentloom.llm.tokens import tokenizer, vocabulary_path
 
+WORDS = re.compile("[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 # Extra columns carry names that the operators use inside.
 SCHEMA = "doc_id bigint, text string, source string, row_id bigint, name string, cls int, size int, pair string, _text int"
@@ -219,6 +221,20 @@ def test_slots_follow_the_sequence(docs):
     assert got == want
 
 
+def test_mixing_counts_words_without_listing_them(spark):
+    rng = random.Random(8)
+    # White space of other kinds, signs beyond 16 bits and those that mean something in a replacement are parts of words.
+    signs = " \t\n\x0b\f\r" * 2 + "aé漢😀\x1c\x85\u2003.$\\"
+    texts = [None, "", " ", "\r\n \t", "a", " a", "a ", " $1 \\ "] + ["".join(rng.choices(signs, k=rng.randint(1, 12))) for _ in range(500)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = docs.select("text", word_count(F.col("text")).alias("n"))
+    assert [r["n"] for r in found.collect()] == [len(WORDS.findall(t or "")) for t in texts]
+    # A list of its words is many times a text's size; one of ten million words passes here.
+    assert "extract_all" not in found._jdf.queryExecution().optimizedPlan().toString()
+    long = spark.range(1).select(F.repeat(F.lit("ab cd "), 5_000_000).alias("text"))
+    assert long.select(word_count(F.col("text")).alias("n")).first()["n"] == 10_000_000
+
+
 def test_mixing_spreads_equal_rows(spark):
     # Half of all rows are one document: they are laid one after another like any others.
     rows = [(7, "a b c", "s")] * 6000 + [(None, f"w{i} x", "s") for i in range(3000)] + [(i, "one two three four", "t") for i in range(3000)]
