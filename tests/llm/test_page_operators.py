@@ -323,6 +323,44 @@ def test_suffixes_are_sorted_for_pages_that_markup_settles(spark):
     assert all(found[i].text == f"text {i} {menu}" and found[i].n_repeated == 0 for i in range(4))
 
 
+def test_suffixes_of_sure_article_text_against_brute_force(spark, monkeypatch):
+    rng = random.Random(5)
+    shared = [[f"s{k}_{i}" for i in range(rng.randint(7, 12))] for k in range(6)]
+    rows, streams = [], {}
+    for i in range(50):
+        host = "aaab"[i % 4] if i < 46 else f"c{i % 2}"
+        stream = lambda: sum(([f"own{i}_{rng.randrange(10**6)}", *rng.choice(shared)[rng.randint(0, 2) :]] for _ in range(rng.randint(1, 3))), [])
+        menu, doubt, sure = stream() if i % 3 else [], stream() if i % 5 == 0 else [], stream()
+        streams[i] = host, doubt + menu, sure, len(doubt)
+        rows.append((i, f"http://{host}.x/{i}", f"<nav>{' '.join(menu)}</nav><article><p>{' '.join(sure)}</p><p class=ad-note>{' '.join(doubt)}</p></article>"))
+    rows += [(100, rows[1][1], rows[1][2]), (101, rows[1][1], rows[1][2]), (102, None, None)]
+    beside, anywhere = collections.defaultdict(set), collections.defaultdict(set)
+    for i, (host, *both, _) in streams.items():
+        for j, words in enumerate(both):
+            for at in range(len(words) - 7):
+                anywhere[host, tuple(words[at : at + 8])].add(i)
+                if not j:
+                    beside[host, tuple(words[at : at + 8])].add(i)
+    enough = [collections.Counter(host for host, *both, _ in streams.values() if any(len(w) >= 8 for w in both[:n])) for n in (1, 2)]
+
+    def covered(host, words, pages, counts):
+        starts = [at for at in range(len(words) - 7) if len(pages[host, tuple(words[at : at + 8])]) >= max(2, min(5, counts[host] // 2 + 1))]
+        return {at + k for at in starts for k in range(8)}
+
+    monkeypatch.setattr(html_text, "MOST_HELD", 100)
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(6)
+    found = {r.page_id: r for r in extract_text(df).collect()}
+    total = 0
+    for i, (host, outside, sure, doubtful) in streams.items():
+        gone, inside = covered(host, outside, beside, enough[0]), covered(host, sure, anywhere, enough[1])
+        cut = [w for at, w in enumerate(outside[:doubtful]) if at not in gone]
+        assert found[i].text == "\n".join(" ".join(x) for x in (sure, cut) if x)
+        assert (found[i].n_repeated, found[i].n_beside) == (doubtful - len(cut), len(gone) - doubtful + len(cut))
+        assert found[i].n_inside == len(inside)
+        total += len(inside)
+    assert total > 100 and all(tuple(found[i])[1:] == tuple(found[1])[1:] for i in (100, 101))
+
+
 def test_texts_that_markup_settles_are_not_stored(spark, monkeypatch):
     kept = []
     monkeypatch.setattr(html_text, "stored", lambda df, label: kept.append(scratch.stored(df, label)) or kept[-1])
