@@ -206,6 +206,24 @@ def test_texts_offer_few_substrings_to_many_rules(spark):
     assert offered.groupBy("comment_id").count().agg(F.max("count")).first()[0] <= FIRST_CANDIDATES
 
 
+def test_the_driver_gets_ranks_packed_and_lets_go_of_them(spark, monkeypatch):
+    sent = []
+    context = type(spark.sparkContext)
+    whole = context.broadcast
+    monkeypatch.setattr(context, "broadcast", lambda self, value: sent.append((whole(self, value), value)) or sent[-1][0])
+    monkeypatch.setattr("commentloom.operators.rules.BROADCAST_RULES", 100)
+    rules = [(i % 7, f"c{i % 7}", f"word{i} ") for i in range(3000)] + [(1, "c1", f"twin{i} ") for i in range(3000)]
+    table = spark.createDataFrame(rules, "priority int, category string, keyword string").repartition(3)
+    df = spark.createDataFrame([(i, f"word{i} twin{i}") for i in range(0, 3000, 100)] + [(-1, None)], "comment_id long, text_original string")
+    got = {r["comment_id"]: r["category"] for r in match_rules(df, table, ["comment_id"]).collect()}
+    assert got == {-1: "General Feedback"} | {i: f"c{i % 7}" for i in range(0, 3000, 100)}
+    # Once a number for each of three slots a keyword: 12 bytes each, and 2 for every slot.
+    ((shared, ((size, parts), _)),) = sent
+    assert size == 1 << 17 and sum(len(data) for _, data in parts) < size
+    with pytest.raises(Exception, match="destroyed"):
+        match_rules(df, table, ["comment_id"]).sparkSession.range(1).mapInArrow(lambda it: (shared.value and b for b in it), "id long").collect()
+
+
 def test_a_mapping_compiles_and_joins_nothing(comments):
     plan = plan_of(match_rules(comments, {"X": ("boom",)}, ["comment_id"]))
     assert "Join" not in plan and "Exchange" not in plan
